@@ -1,0 +1 @@
+"""Intentionally empty: the workload is full-snapshot batch, so there is no stream to rebuild."""
