@@ -24,6 +24,19 @@ ORPHAN_RECORD = (
     "order_id", "customer_id", "product_id", "order_timestamp", "quantity", "unit_price", "discount_pct",
     "status", "updated_at",
 )
+CURATED_SCHEMA = (
+    "order_id string, customer_id string, product_id string, order_timestamp timestamp, customer_city string, "
+    "customer_tier string, product_name string, category string, brand string, quantity bigint, "
+    "unit_price decimal(14,2), discount_pct decimal(6,4), gross_amount decimal(16,2), "
+    "discount_amount decimal(16,2), net_amount decimal(16,2), status string, source_updated_at timestamp, "
+    "pipeline_run_id string, processed_at_utc timestamp, record_hash string"
+)
+ROUTED_SCHEMA = (
+    "product_id string, customer_id string, order_id string, order_timestamp timestamp, quantity bigint, "
+    "unit_price double, discount_pct double, status string, updated_at timestamp, source_record_number bigint, "
+    "customer_city string, customer_tier string, product_name string, category string, brand string, "
+    "reason_codes string, reason_detail string, route string"
+)
 CURATED, ORPHAN = "curated", "orphan"
 
 

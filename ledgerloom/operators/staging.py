@@ -33,6 +33,10 @@ QUARANTINE_COLUMNS = (
     "pipeline_run_id", "quarantined_at_utc", "layer", "dataset", "business_key", "source_record_number",
     "reason_codes", "reason_detail", "source_record",
 )
+QUARANTINE_SCHEMA = (
+    "pipeline_run_id string, quarantined_at_utc timestamp, layer string, dataset string, business_key string, "
+    "source_record_number bigint, reason_codes string, reason_detail string, source_record string"
+)
 CUSTOMER_SOURCE = (
     "customer_id", "first_name", "last_name", "email", "city", "customer_tier", "created_at", "updated_at",
 )
@@ -45,6 +49,20 @@ PRODUCT_SCHEMA = (
     "unit_price string, active boolean, updated_at string"
 )
 
+# Stored layout of the classified rows; `route` is the partition column.
+_JUDGED = (", source_record_number bigint, reason_codes string, reason_detail string, source_record string, "
+           "route string")
+CLASSIFIED_SCHEMA = {
+    "customers": "customer_id string, first_name string, last_name string, email string, "
+                 "is_email_missing boolean, city string, customer_tier string, created_at timestamp, "
+                 "updated_at timestamp" + _JUDGED,
+    "products": "product_id string, product_name string, brand string, category_name string, "
+                "category_department string, unit_price double, active boolean, updated_at timestamp" + _JUDGED,
+    "orders": "order_id string, customer_id string, product_id string, order_timestamp timestamp, "
+              "quantity double, unit_price double, discount_pct double, status string, "
+              "updated_at timestamp" + _JUDGED,
+}
+
 STAGED, EARLY, LATE = "staged", "rejected_early", "rejected_late"
 
 
