@@ -106,13 +106,17 @@ def _reference_rules(entity: str) -> list[Rule]:
 
 def curated_rows(routed: DataFrame, run_id: str, at: datetime) -> DataFrame:
     """Matched rows with exact amounts, audit columns and content hash, in curated column order."""
-    matched = routed.where(F.col("route") == CURATED)
-    measured = add_amounts(matched).withColumns({
+    return measured(routed.where(F.col("route") == CURATED), run_id, at).select(*CURATED_COLUMNS)
+
+
+def measured(matched: DataFrame, run_id: str, at: datetime) -> DataFrame:
+    """Amounts, audit columns and hash added to joined rows."""
+    audited = add_amounts(matched).withColumns({
         "source_updated_at": F.col("updated_at"),
         "pipeline_run_id": F.lit(run_id),
         "processed_at_utc": F.lit(at).cast("timestamp"),
     })
-    return measured.withColumn("record_hash", business_hash()).select(*CURATED_COLUMNS)
+    return audited.withColumn("record_hash", business_hash())
 
 
 def orphan_source_record() -> Column:
