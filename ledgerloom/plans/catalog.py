@@ -712,7 +712,7 @@ def pipeline_run_all(spark, sf_dir):
 def curated_lookup(spark, sf_dir):
     """A few named lines in key order."""
     rows = tables.curated_lines(spark, sf_dir)
-    found = report.point_lookup(rows, "order_id", ["1-1", "2-2", "3-3", "10-1", "100-4", "5979-6"])
+    found = report.point_lookup(rows, "order_id", ["1-3", "1013-3", "1070-2", "1119-1", "1153-5", "1204-6", "1250-5", "1306-5"])
     return found.select("order_id", "quantity", "unit_price", "net_amount", "status", "record_hash")
 
 

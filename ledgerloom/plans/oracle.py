@@ -373,7 +373,9 @@ def cleaned(expr: str) -> str:
 def titled(expr: str) -> str:
     cased = r"\p{Lu}\p{Ll}\p{Lt}"
     runs = f"regexp_extract_all({expr}, '[{cased}]+|[^{cased}]+')"
-    return f"list_aggregate(list_transform({runs}, lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', '')"
+    # Unicode title case of a leading sharp s is 'Ss'; this SQL's upper() would give a capital sharp s.
+    first = "CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END"
+    return f"list_aggregate(list_transform({runs}, lambda w: {first} || lower(w[2:])), 'string_agg', '')"
 
 
 ORACLES["normalized_documents"] = f"""
@@ -590,7 +592,7 @@ FROM ({_EVENTS}) WHERE event_type <> 'view' GROUP BY 1"""
 
 ORACLES["curated_lookup"] = f"""
 SELECT order_id, quantity, unit_price, net_amount, status, record_hash FROM ({CURATED})
-WHERE order_id IN ('1-1', '2-2', '3-3', '10-1', '100-4', '5979-6')"""
+WHERE order_id IN ('1-3', '1013-3', '1070-2', '1119-1', '1153-5', '1204-6', '1250-5', '1306-5')"""
 ORACLES["layer_counts"] = f"""
 SELECT 'raw' AS layer, count(*) AS row_count FROM lineitem
 UNION ALL SELECT 'latest', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
