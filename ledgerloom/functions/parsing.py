@@ -25,6 +25,11 @@ _ISO_SPELLINGS = (
 _YEAR = r"(167[89]|16[89][0-9]|1[7-9][0-9]{2}|2[01][0-9]{2}|22[0-5][0-9]|226[01])"
 _EDGE_DATE = r"1677-(09-(2[2-9]|30)|1[0-2]-[0-9]{2})|2262-(0[1-3]-[0-9]{2}|04-(0[0-9]|1[01]))"
 _TIME = r"[T ][0-9]{1,2}(:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]*)?( ?(Z|[+-][0-9]{1,2}(:?[0-9]{2})?))?)?)?"
+# The usual spelling, which the cast reads as it is.
+_ISO_USUAL = (
+    rf"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}"
+    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?)?$"
+)
 _ISO = rf"^({_YEAR}(-[0-9]{{1,2}}(-[0-9]{{1,2}}({_TIME})?)?)?|({_EDGE_DATE})({_TIME})?)$"
 _EXPONENT = r"[eE](-[0-9]+|\+?0*([12]?[0-9]{1,2}|30[0-8]))"
 _NUMBER = rf"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)({_EXPONENT})?|(?i:inf(inity)?))$"
@@ -36,9 +41,13 @@ def parse_utc(col: Column) -> Column:
     `now` and `today` are not ISO-8601 and count as unreadable, as do offsets beyond 18 hours.
     """
     text = F.btrim(col.cast("string"), F.lit(WHITESPACE))
+    other = text
     for spelling, extended in _ISO_SPELLINGS:
-        text = F.regexp_replace(text, spelling, extended)
-    return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("timestamp"))
+        other = F.regexp_replace(other, spelling, extended)
+    return (
+        F.when(F.rlike(text, F.lit(_ISO_USUAL)), text.try_cast("timestamp"))
+        .when(F.rlike(other, F.lit(_ISO)), other.try_cast("timestamp"))
+    )
 
 
 def parse_number(col: Column) -> Column:

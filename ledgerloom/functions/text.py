@@ -36,12 +36,11 @@ def title_case(col: Column) -> Column:
 def python_repr(raw: Column) -> Column:
     """Quoted source text for a reason message; null (blank in CSV) shows as ''."""
     text = F.coalesce(raw, F.lit(""))
+    single = F.contains(text, F.lit("'"))
+    both = single & F.contains(text, F.lit('"'))
+    quote = F.when(single & ~both, F.lit('"')).otherwise(F.lit("'"))
     body = text
     for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         body = F.replace(body, F.lit(plain), F.lit(escaped))
-    single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
-    return (
-        F.when(single & ~double, F.concat(F.lit('"'), body, F.lit('"')))
-        .when(single, F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'")))
-        .otherwise(F.concat(F.lit("'"), body, F.lit("'")))
-    )
+    body = F.replace(body, F.lit("'"), F.when(both, F.lit("\\'")).otherwise(F.lit("'")))
+    return F.concat(quote, body, quote)

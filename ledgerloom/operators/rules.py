@@ -28,23 +28,21 @@ class Limits:
 DEFAULT_LIMITS = Limits()
 
 
-def is_true(col: Column) -> Column:
-    """A predicate that is null does not fail the record."""
-    return F.coalesce(col, F.lit(False))
-
-
 def not_in(col: Column, allowed: Sequence[str]) -> Column:
     """Missing counts as not allowed."""
-    return ~is_true(col.isin(list(allowed)))
+    return ~F.coalesce(col.isin(list(allowed)), F.lit(False))
 
 
 def reason_codes(rules: Sequence[Rule]) -> Column:
-    """Codes of the failed rules in rule order, joined by ';' (empty text = valid)."""
-    return _joined([F.when(is_true(r.failed), F.lit(r.code)) for r in rules], ";")
+    """Codes of the failed rules in rule order, joined by ';' (empty text = valid).
+
+    A predicate that comes out null does not fail the record, as in any CASE.
+    """
+    return _joined([F.when(r.failed, F.lit(r.code)) for r in rules], ";")
 
 
 def reason_detail(rules: Sequence[Rule]) -> Column:
-    return _joined([F.when(is_true(r.failed), r.detail) for r in rules], "; ")
+    return _joined([F.when(r.failed, r.detail) for r in rules], "; ")
 
 
 def _joined(parts: list[Column], separator: str) -> Column:
