@@ -129,8 +129,8 @@ def products() -> Dataset:
 
 def orders(limits: Limits = DEFAULT_LIMITS) -> Dataset:
     raw, image = _csv_raw(ORDER_SOURCE)
-    text = {c: clean_text(F.col(f"raw.{c}")) for c in ORDER_SOURCE}
-    as_shown = {c: python_repr(F.col(f"raw.{c}")) for c in ORDER_SOURCE}
+    text = {c: clean_text(F.col(f"raw.{c}")) for c in ("order_id", "customer_id", "product_id", "status")}
+    as_shown = {c: python_repr(F.col(f"raw.{c}")) for c in ORDER_SOURCE[3:]}
     return Dataset(
         name="orders", key="order_id", raw=raw, source_record=image,
         shown_updated_at=as_shown["updated_at"],

@@ -36,6 +36,8 @@ def local_session(app: str, cpus: str = "*", **conf: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # Stack traces per column expression make building a wide plan slower than running a small one.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
