@@ -11,7 +11,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACE_RUN = f"[{WHITESPACE}]+"
+_OTHER_SPACE = WHITESPACE.replace(" ", "")
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
@@ -21,7 +21,9 @@ def clean_text(col: Column) -> Column:
 
 
 def collapse_spaces(col: Column) -> Column:
-    return F.regexp_replace(col, _SPACE_RUN, " ")
+    """Every run of whitespace becomes one space. Single spaces, by far the most, are left untouched."""
+    spaces = F.translate(col, _OTHER_SPACE, " " * len(_OTHER_SPACE))
+    return F.regexp_replace(spaces, " {2,}", " ")
 
 
 def title_case(col: Column) -> Column:
