@@ -703,7 +703,7 @@ def _run_all(spark, sf_dir) -> Pipeline:
 
 
 @query
-def pipeline_run_all(spark, sf_dir):
+def full_run_reconciliation(spark, sf_dir):
     """Land, transform, load and validate all derived sources; the reconciliation of the run."""
     return _run_all(spark, sf_dir).summary("run_1")
 

@@ -349,7 +349,7 @@ ORACLES["route_reconciliation"] = " UNION ALL ".join(
     f"""SELECT '{n}' AS dataset, raw, staged, quarantined, raw - staged - quarantined AS superseded
 FROM (SELECT count(*) FILTER (WHERE route = 'staged') AS staged, count(*) FILTER (WHERE route <> 'staged') AS quarantined
       FROM ({c})), (SELECT count(*) AS raw FROM ({raw}))""" for n, (c, raw) in _STAGED.items())
-ORACLES["pipeline_run_all"] = ORACLES["route_reconciliation"]
+ORACLES["full_run_reconciliation"] = ORACLES["route_reconciliation"]
 _ALL_REJECTS = " UNION ALL ".join(
     quarantine(c, n, k) for (n, (c, _)), k in zip(_STAGED.items(), ("customer_id", "product_id", "order_id")))
 ORACLES["quarantine_by_reason"] = f"""
