@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, sentencepiece_spans
+from ledgerloom.llm import ngram_join, packing, sentencepiece_spans
 from ledgerloom.llm.common import stored, table
 
 
@@ -16,6 +16,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(places, "pieces"))  # tokenized once, though pack counts its rows first
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), t=0.9, n=3)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +35,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_packing": op5_packing,
+    "op6_ngram_join": op6_ngram_join,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
