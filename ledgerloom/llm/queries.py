@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ngram_join, packing, sentencepiece_spans
+from ledgerloom.llm import ngram_join, packing, sentencepiece_spans, suffix_dedup
 from ledgerloom.llm.common import stored, table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     places = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -23,7 +28,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = sentencepiece_spans.decode(sentencepiece_spans.encode(docs, model).drop("text"), model)
+    pieces = sentencepiece_spans.encode(docs, model, decoded=True)
     return pieces.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -34,6 +39,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
     "op10_sentencepiece": op10_sentencepiece,
