@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import ragged, slices
 
 MARK = "▁"
-CACHE_ENTRIES = 600_000  # distinct chunks that a worker remembers; the table then starts anew
+CACHE_ENTRIES = 400_000  # distinct chunks that a worker remembers; the table then starts anew
 BREAK = re.compile("(?<! ) (?! )")
 
 
@@ -177,23 +177,28 @@ def fields(df: DataFrame, *new: T.StructField) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name.lower() not in names] + list(new))
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """Add `ids`, and `begins` and `ends`: byte offsets of each piece in the UTF-8 text. `model` is a path that
-    every executor can open."""
+    every executor can open. With `decoded` the ids are also decoded in the same pass, as `decode` does."""
     added = [T.StructField(n, T.ArrayType(T.IntegerType(), False), False) for n in ("ids", "begins", "ends")]
+    if decoded:
+        added.append(T.StructField("decoded", T.StringType(), False))
     schema = fields(docs, *added)
-    kept = [f.name for f in schema.fields[:-3]]
+    kept = [f.name for f in schema.fields[: -len(added)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 4 << 20):
             found = [enc(t or "") for t in batch.column(text).to_pylist()]
             sizes = [len(f[0]) for f in found]
             lists = [
                 ragged(np.concatenate([f[k] for f in found]).astype(np.int32, copy=False), sizes, pa.int32())
                 for k in range(3)
             ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists], [f.name for f in schema.fields])
+            if decoded:
+                texts = [enc.whole.decode(f[0].tolist()) if len(f[0]) else "" for f in found]
+                lists.append(pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists], schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
@@ -209,7 +214,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
             lists = [x if x is not None else [] for x in batch.column(ids).to_pylist()]
             texts = [enc.whole.decode(x) if x else "" for x in lists]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [f.name for f in schema.fields]
+                [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], schema.fieldNames()
             )
 
     return encoded.mapInArrow(run, schema)
