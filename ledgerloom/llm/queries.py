@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ngram_join, packing, sentencepiece_spans, suffix_dedup
+from ledgerloom.llm import ngram_join, packing, secrets, sentencepiece_spans, suffix_dedup
 from ledgerloom.llm.common import stored, table
 
 
@@ -25,6 +25,15 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), t=0.9, n=3)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.train(docs, table(spark, sf_dir, "labels")))
+    counts = [secrets.count_of(k).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +51,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
+    "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
