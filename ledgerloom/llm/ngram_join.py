@@ -88,7 +88,7 @@ def differences(a: int, b: int, t: float) -> int:
     return int(math.floor((1 - t) / (1 + t) * (a + b) + 1e-9))
 
 
-def allocation(top: int, t: float, chance: float = 0.3, meeting: float = 1e6) -> tuple[int, int]:
+def allocation(top: int, t: float, chance: float = 0.05, meeting: float = 1e6) -> tuple[int, int]:
     """(segments with exact signatures, segments with neighbourhoods) of least cost for sets of up to `top` shingles.
 
     Cost: signatures of a set, plus `meeting` times the chance that all shingles of a segment also stand in an unlike
@@ -161,7 +161,12 @@ def met(rows: DataFrame, n: int) -> DataFrame:
         held: pa.Table | None = None
 
         def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            key, own = t["key"].to_numpy(), t["own"].to_numpy()
+            key, node = t["key"].to_numpy(), t["node"].to_numpy()
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+            if not fresh.all():  # repeated rows of one document
+                t = t.filter(pa.array(fresh))
+                key = key[fresh]
+            own = t["own"].to_numpy()
             edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             count = np.diff(np.append(edge, len(key)))
             good = (count > 1) & np.logical_or.reduceat(own, edge)
@@ -183,7 +188,7 @@ def met(rows: DataFrame, n: int) -> DataFrame:
         if held is not None:
             yield from found(held)
 
-    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, schema)
+    return rows.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, schema)
 
 
 def possible(sizes: np.ndarray, others: np.ndarray, apart: np.ndarray, t: float) -> np.ndarray:
@@ -271,16 +276,18 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     same_set = ["set1", "set2", "n_shingles"]
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = stored(full.groupBy(same_set).agg(F.min("doc_id").alias("doc_id")), "sets")
-    # A row stands for its set if it has the smallest id; of several such rows, one does.
-    heads = full.join(sets, [*same_set, "doc_id"]).dropDuplicates([*same_set, "doc_id"])
-    heads = stored(heads.select(F.col("doc_id").alias("node"), "n_shingles", "own", "next", "bins"), "heads")
+    # The rows with the smallest id of a set stand for it.
+    heads = full.join(sets, [*same_set, "doc_id"]).withColumnRenamed("doc_id", "node")
     sets = sets.withColumnRenamed("doc_id", "node")
-    signed = heads.select("node", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
-        heads.select("node", F.explode("next").alias("key"), F.lit(False).alias("own")))
-    count = heads.agg(F.sum(F.size("own") + F.size("next"))).first()[0] or 0
+    filed = heads.select("node", F.explode(F.array(
+        F.struct(F.col("own").alias("keys"), F.lit(True).alias("own")),
+        F.struct(F.col("next").alias("keys"), F.lit(False).alias("own")))).alias("f"))
+    signed = filed.select("node", F.explode("f.keys").alias("key"), "f.own")
+    count = rows.agg(F.sum(F.size("own") + F.size("next"))).first()[0] or 0
     buckets = stored(met(signed, parts(docs, count, 1_000_000)), "buckets")
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
-    info = weight.join(heads.select("node", "n_shingles", "bins"), "node")
+    looks = heads.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
+    info = weight.join(looks, "node")
     members = stored(buckets.select("key", "node").join(info, "node"), "members")
 
     links = stored(verified(hub_pairs(members, t), docs, t, n), "links")

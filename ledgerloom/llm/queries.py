@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ngram_join, packing, secrets, sentencepiece_spans, suffix_dedup
+from ledgerloom.llm import ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup
 from ledgerloom.llm.common import stored, table
 
 
@@ -15,6 +15,14 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.against_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        F.array_join("signatures", " ").alias("fingerprint"),
+        F.array_join("edited_signatures", " ").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     places = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -27,11 +35,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = secrets.find_secrets(docs, secrets.train(docs, table(spark, sf_dir, "labels")))
-    counts = [secrets.count_of(k).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    found = secret_scan.find_secrets(docs, secret_scan.train(docs, table(spark, sf_dir, "labels")))
+    counts = [secret_scan.count_of(k).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
-        secrets.spelled(F.col("spans")).alias("spans"))
+        "doc_id", *counts, F.sha2(secret_scan.spelled(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spelled(F.col("spans")).alias("spans"))
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,10 +57,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
     "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_fingerprints": spotsigs.sql(),
+}
