@@ -16,6 +16,7 @@ Extra columns stay as they are; `ids`, `begins`, `ends` and `decoded` replace co
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import ragged, slices
 
 MARK = "▁"
-CACHE_ENTRIES = 400_000  # distinct chunks that a worker remembers; the table then starts anew
+CACHE_ENTRIES = 700_000  # distinct chunks that a worker remembers; the table then starts anew
 BREAK = re.compile("(?<! ) (?! )")
 
 
@@ -117,6 +118,7 @@ class Encoder:
             and not any(MARK in t.lstrip(MARK) for t in texts)
         )
         self.known: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}  # chunks that decode to something else
 
     def pieces(self, normal: str) -> np.ndarray:
         """Ids of one normalized text."""
@@ -136,7 +138,10 @@ class Encoder:
             if len(known) > CACHE_ENTRIES:
                 known.clear()
             new = list({c for c in chunks if c not in known})
-            known.update((c, np.array(ids, np.int32).tobytes()) for c, ids in zip(new, self.inner.encode([" " + c for c in new])))
+            found = self.inner.encode([" " + c for c in new])
+            known.update((c, array("i", ids).tobytes()) for c, ids in zip(new, found))
+            # A chunk begins with a space, which decoding takes from the front of a text.
+            self.odd.update((c, t) for c, t in zip(new, self.whole.decode(found)) if c != t)
             return np.frombuffer(b"".join([known[c] for c in chunks]), np.int32)
 
     def lengths(self, ids: np.ndarray, normal: str) -> np.ndarray:
@@ -149,8 +154,22 @@ class Encoder:
         found = self.inner.encode(normal, return_type="proto")
         return np.array([len(p.surface.encode("utf-8", "surrogatepass")) for p in found.pieces], np.int64)
 
+    def decoded(self, text: str, ids: np.ndarray) -> str:
+        """The text of the ids of `text`: chunk by chunk where it was encoded so, each known to decode to itself."""
+        plain = self.cuts and self.dummy and not self.chars.units and not self.collapse
+        if plain and text and MARK not in text and "  " not in text and text[0] != " ":
+            if not self.odd or self.odd.keys().isdisjoint(text.split(" ")):
+                return text
+        return self.whole.decode(ids.tolist()) if len(ids) else ""
+
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where the bytes of each begin and end in the original."""
+        if text and self.dummy and not self.chars.units and not self.collapse and MARK not in text:
+            # Nothing but the prefix is changed, and it has no bytes in the original.
+            normal = " " + text
+            ids = self.pieces(normal)
+            stop = np.cumsum(self.lengths(ids, normal))
+            return ids, np.maximum(np.concatenate([[0], stop[:-1]]) - 1, 0), stop - 1
         data, begins, ends = normalize(text, self.chars, self.dummy, self.collapse)
         if not data:
             return np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -189,14 +208,15 @@ def encode(docs: DataFrame, model: str, text: str = "text", decoded: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in slices(batches, text, 4 << 20):
-            found = [enc(t or "") for t in batch.column(text).to_pylist()]
+            rows = batch.column(text).to_pylist()
+            found = [enc(t or "") for t in rows]
             sizes = [len(f[0]) for f in found]
             lists = [
                 ragged(np.concatenate([f[k] for f in found]).astype(np.int32, copy=False), sizes, pa.int32())
                 for k in range(3)
             ]
             if decoded:
-                texts = [enc.whole.decode(f[0].tolist()) if len(f[0]) else "" for f in found]
+                texts = [enc.decoded(t or "", f[0]) for t, f in zip(rows, found)]
                 lists.append(pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists], schema.fieldNames())
 
