@@ -8,9 +8,10 @@ shard first drops the names that only one document uses; of the rest it builds a
 `length`), takes common prefixes with the neighbours by Kasai's scan, and has the first document of each
 repeated window. A shard above `SHARD` bytes is built in several arrays whose sorted windows are merged by binary search.
 
-Documents are dealt into blocks by a hash of their id. A block sends each distinct stretch of a name once, with its first
-and last document, however many documents share it, and gets back the first document of its windows, in runs.
-Blocks and shards have a bounded size whatever is repeated how often.
+Documents are dealt into blocks by a hash of their id. A block first tells each shard its names, and learns which of them
+another document has. Of those it sends each distinct stretch once, with its first and last document, however many
+documents share it, and gets back the first document of its windows, in runs. So a shard gets from a hot passage one
+stretch a block.
 
 Defined results: a null text is empty; a null document id counts as after all others. Documents with equal ids do not
 remove from each other. Texts shorter than `length` bytes stay.
@@ -42,10 +43,7 @@ LAST = np.iinfo(np.int64).max
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as a big-endian number, zeros behind the end."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    out = np.zeros(len(data), np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | padded[i : i + len(data)]
-    return out
+    return np.ndarray(len(data), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 def window_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,11 +61,14 @@ def stretches(data: np.ndarray, doc_ends: np.ndarray, length: int) -> tuple[np.n
     n = len(data) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    word = words_at(data)
-    names = mix(word[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-                + (word[GRAM - 8 :][: len(data) - GRAM + 1] ^ np.uint64(0x2545F4914F6CDD1D)))
+    word = words_at(data)[: len(data) - 4]
+    name = word[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+    name += word[4:][: len(name)] * np.uint64(0xD6E8FEB86659FD93)
+    name ^= name >> np.uint64(32)
+    name *= np.uint64(0xBF58476D1CE4E5B9)
+    name ^= name >> np.uint64(29)
     del word
-    name = window_min(names, length - GRAM + 1)
+    name = window_min(name, length - GRAM + 1)
     inside = np.ones(n, bool)
     for end in doc_ends[:-1]:
         inside[max(0, end - length + 1) : end] = False
@@ -115,9 +116,11 @@ def hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The stretches of some documents: each distinct one once, in an order that a second reading repeats."""
+    """The stretches of some documents, and the distinct ones among those of chosen names."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes], length: int):
+    def __init__(self, rows: pd.DataFrame, length: int):
+        texts, ids = rows["bytes"].tolist(), rows["id"].to_numpy()
+        self.length = length
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         found, done = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))], 0
@@ -126,9 +129,25 @@ class Block:
             done = int(ends[-1])
             name, first, count = stretches(self.data[start:done], ends - start, length)
             found.append((name, first + start, count))
-        name, first, count = (np.concatenate(x) for x in zip(*found))
-        size = count + length - 1
-        doc = ids[np.searchsorted(self.ends, first, side="right")]
+        self.name, self.first, self.count = (np.concatenate(x) for x in zip(*found))
+        self.doc = ids[np.searchsorted(self.ends, self.first, side="right")]
+
+    def names(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct names by shard: shard, name, whether several documents have it, and which name a stretch has."""
+        name, which = np.unique(self.name, return_inverse=True)
+        low, high = np.full(len(name), LAST), np.full(len(name), np.iinfo(np.int64).min)
+        np.minimum.at(low, which, self.doc)
+        np.maximum.at(high, which, self.doc)
+        shard = shard_of(name, shards)
+        by = np.argsort(shard, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        return shard[by], name[by], (low < high)[by], place[which]
+
+    def distinct(self, chosen: np.ndarray) -> None:
+        """Sort the chosen stretches into groups of equal bytes; `lead` is the first of each."""
+        name, first, count, doc = (x[chosen] for x in (self.name, self.first, self.count, self.doc))
+        size = count + self.length - 1
         key = hashes(self.data, first, size)  # equal ones are confirmed byte by byte
         order = np.lexsort((first, key, name))
         name, first, count, size, doc, key = (x[order] for x in (name, first, count, size, doc, key))
@@ -138,11 +157,20 @@ class Block:
         if len(pair):
             equal = gather(self.data, first[pair], size[pair]) == gather(self.data, first[pair - 1], size[pair])
             same[pair] = np.logical_and.reduceat(equal, np.cumsum(size[pair]) - size[pair])
-        self.first, self.doc, self.group = first, doc, np.cumsum(~same) - 1
-        lead = np.flatnonzero(~same)
-        self.name, self.at, self.count = name[lead], first[lead], count[lead]
-        self.low = np.minimum.reduceat(doc, lead) if len(lead) else doc
-        self.high = np.maximum.reduceat(doc, lead) if len(lead) else doc
+        self.member_first, self.member_doc = first, doc
+        self.lead = np.flatnonzero(~same)
+        self.times = np.diff(np.append(self.lead, len(first)))
+
+
+def shard_of(name: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(name) % np.uint64(shards)).astype(np.int64)
+
+
+def by_shard(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of a sorted array of shards."""
+    edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else np.zeros(1, int)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(shard[a]), slice(a, b)
 
 
 def ranks(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,10 +316,6 @@ def unpack_arrays(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def block_of(rows: pd.DataFrame, length: int) -> Block:
-    return Block(rows["id"].to_numpy(), rows["bytes"].tolist(), length)
-
-
 def ordered(rows: pd.DataFrame) -> pd.DataFrame:
     """Rows of a block in an order that does not depend on how they were read."""
     digest = [hashlib.md5(b).digest() for b in rows["bytes"]]
@@ -311,27 +335,54 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     # Rows of one id are spread by their text, so that an id of very many rows is not one block.
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks))).repartition(blocks, "block")
 
-    def send(rows: pd.DataFrame) -> pd.DataFrame:
-        b = block_of(ordered(rows), length)
-        shard = (mix(b.name) % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], shard[by][1:] != shard[by][:-1]])) if len(by) else []
+    def name(rows: pd.DataFrame) -> pd.DataFrame:
+        """What a block tells each shard first: half of the hash of each name, and if several documents have it."""
+        shard, names, several, _ = Block(ordered(rows), length).names(shards)
+        half, block = (mix(names ^ np.uint64(LAST)) >> np.uint64(32)).astype(np.uint32), int(rows["block"].iat[0])
+        out = [(block, k, half[at].tobytes(), np.packbits(several[at]).tobytes()) for k, at in by_shard(shard)]
+        return pd.DataFrame(out, columns=["block", "shard", "names", "several"])
+
+    def census(rows: pd.DataFrame) -> pd.DataFrame:
+        """Which names of a block more than one document has, here or elsewhere; half a hash errs to that side."""
+        sent = [np.frombuffer(x, np.uint32) for x in rows["names"]]
+        flags = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(n)) for x, n in zip(rows["several"], sent)]
+        which, count = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)[1:]
+        shared = count > 1
+        shared[which[np.concatenate(flags) > 0]] = True
+        ends = np.cumsum([len(n) for n in sent])
+        bits = [np.packbits(shared[which[e - len(n) : e]]).tobytes() for e, n in zip(ends, sent)]
+        return pd.DataFrame({"block": rows["block"], "shard": rows["shard"], "bits": bits})
+
+    def send(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        """The distinct stretches of shared names, to the shards of their names."""
+        b = Block(ordered(rows), length)
+        shard, _, _, which = b.names(shards)
+        shared, bits = np.zeros(len(shard), bool), dict(zip(told["shard"], told["bits"]))
+        for k, at in by_shard(shard):
+            shared[at] = np.unpackbits(np.frombuffer(bits[k], np.uint8), count=at.stop - at.start)
+        use = np.flatnonzero(shared[which]) if len(which) else which
+        b.distinct(use)
+        first, doc = b.member_first, b.member_doc
+        low = np.minimum.reduceat(doc, b.lead) if len(doc) else doc
+        high = np.maximum.reduceat(doc, b.lead) if len(doc) else doc
+        at = np.searchsorted(b.first, first[b.lead])
+        names, count, first = b.name[at], b.count[at], b.first[at]
+        by = np.lexsort((first, shard_of(names, shards)))
         out = []
-        for part in np.split(by, edges[1:]) if len(by) else []:
-            data = gather(b.data, b.at[part], b.count[part] + length - 1)
-            blob = pack_arrays(b.name[part], b.low[part], b.high[part], b.count[part].astype(np.int16), data)
-            out.append((int(rows["block"].iat[0]), int(shard[part[0]]), blob))
+        for k, part in by_shard(shard_of(names[by], shards)):
+            i = by[part]
+            blob = pack_arrays(names[i], low[i], high[i], count[i].astype(np.int16), first[i].astype(np.int32),
+                               gather(b.data, first[i], count[i] + length - 1))
+            out.append((int(rows["block"].iat[0]), k, blob))
         return pd.DataFrame(out, columns=["block", "shard", "blob"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        sent = [unpack_arrays(x, "<u8", "<i8", "<i8", "<i2", "<u1") for x in rows["blob"]]
-        sizes = [len(x[0]) for x in sent]
-        name, low, high, count, data = (np.concatenate(x) for x in zip(*sent))
+        """Runs of windows with the same first document, where that is before some document of the stretch."""
+        sent = [unpack_arrays(x, "<u8", "<i8", "<i8", "<i2", "<i4", "<u1") for x in rows["blob"]]
+        owner = np.repeat(np.arange(len(sent)), [len(x[0]) for x in sent])
+        names, low, high, count, place, data = (np.concatenate(x) for x in zip(*sent))
         count = count.astype(np.int64)
-        kept, first = shard_answers(name, low, high, count, data, length)
-        owner = np.repeat(np.arange(len(sent)), sizes)
-        local = np.arange(len(name)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        # Runs of windows with the same first document, where that is before some document of the stretch.
+        kept, first = shard_answers(names, low, high, count, data, length)
         which = np.repeat(kept, count[kept])
         window = np.arange(len(which)) - np.repeat(np.cumsum(count[kept]) - count[kept], count[kept])
         use = first < high[which]
@@ -341,10 +392,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
         lead = np.flatnonzero(new)
         run = np.diff(np.append(lead, len(which))).astype(np.int16)
         which, window, first = which[lead], window[lead].astype(np.int16), first[lead]
+        by = np.argsort(owner[which], kind="stable")
         out = []
-        for i in np.unique(owner[which]):
-            m = owner[which] == i
-            blob = pack_arrays(local[which[m]].astype(np.int32), window[m], run[m], first[m])
+        for i, part in by_shard(owner[which][by]):
+            m = by[part]
+            blob = pack_arrays(place[which[m]], window[m], run[m], first[m])
             out.append((int(rows["block"].iat[i]), int(rows["shard"].iat[i]), blob))
         return pd.DataFrame(out, columns=["block", "shard", "blob"])
 
@@ -357,22 +409,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
 
     def cut(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = ordered(rows)
-        b = block_of(rows, length)
-        shard = (mix(b.name) % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        base = np.searchsorted(shard[by], np.arange(shards))
-        member = np.argsort(b.group, kind="stable")
-        begin = np.searchsorted(b.group, np.arange(len(b.name) + 1))
+        b = Block(rows, length)
         change = np.zeros(len(b.data) + 1, np.int32)
-        for s, blob in zip(answers["shard"], answers["blob"]):
-            local, window, run, first = unpack_arrays(blob, "<i4", "<i2", "<i2", "<i8")
-            group = by[base[s] + local]
-            times = begin[group + 1] - begin[group]
-            who = member[np.arange(int(times.sum())) + np.repeat(begin[group] - (np.cumsum(times) - times), times)]
-            at = b.first[who] + np.repeat(window.astype(np.int64), times)
-            hit = np.repeat(first, times) < b.doc[who]
-            np.add.at(change, at[hit], 1)
-            np.add.at(change, (at + np.repeat(run.astype(np.int64), times) + length - 1)[hit], -1)
+        if len(answers):
+            told = [unpack_arrays(x, "<i4", "<i2", "<i2", "<i8") for x in answers["blob"]]
+            place, window, run, first = (np.concatenate(x).astype(np.int64) for x in zip(*told))
+            asked = b.name[np.searchsorted(b.first, place)]
+            b.distinct(np.flatnonzero(np.isin(b.name, asked)))
+            heads = b.member_first[b.lead]
+            by = np.argsort(heads)
+            group = by[np.searchsorted(heads[by], place)]
+            times = b.times[group]
+            who = np.arange(int(times.sum())) + np.repeat(b.lead[group] - (np.cumsum(times) - times), times)
+            hit = np.repeat(first, times) < b.member_doc[who]
+            at = (b.member_first[who] + np.repeat(window, times))[hit]
+            np.add.at(change, at, 1)
+            np.add.at(change, at + np.repeat(run, times)[hit] + length - 1, -1)
         gone = np.cumsum(change[:-1]) > 0
         out, start = [], 0
         for raw, end in zip(rows["bytes"], b.ends.tolist()):
@@ -386,7 +438,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
         out.insert(0, "key", rows["key"])
         return out
 
-    sent = dealt.groupBy("block").applyInPandas(send, "block long, shard long, blob binary")
-    back = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, "block long, shard long, blob binary")
+    named = dealt.groupBy("block").applyInPandas(name, "block long, shard long, names binary, several binary")
+    told = named.repartition(shards, "shard").groupBy("shard").applyInPandas(census, "block long, shard long, bits binary")
+    piece = "block long, shard long, blob binary"
+    sent = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(send, piece)
+    back = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, piece)
     found = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(cut, result)
     return found.withColumnRenamed("key", key)
