@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup
+from ledgerloom.llm import license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, url_filter
 from ledgerloom.llm.common import stored, table
 
 
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filter.judge(pages, table(spark, sf_dir, "labels"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -33,6 +45,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), t=0.9, n=3)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs, license_scan.known_licenses(spark)).select("doc_id", "canonical_sha256", "license")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.find_secrets(docs, secret_scan.train(docs, table(spark, sf_dir, "labels")))
@@ -56,14 +73,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
+    "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
     "op3_fingerprints": spotsigs.sql(),
+    "op8_licenses": license_scan.sql(),
 }
