@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, url_filter
+from ledgerloom.llm import license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, topk, url_filter
 from ledgerloom.llm.common import stored, table
 
 
@@ -35,6 +35,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("edited_signatures", " ").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0).withColumnRenamed("id", "vec_id")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     places = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -76,6 +81,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_fingerprints": op3_fingerprints,
+    "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
     "op8_licenses": op8_licenses,
@@ -83,7 +89,18 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
+OP4_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, list_sum(list_transform(list_zip(q.v, e.v), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM e q JOIN e ON e.vec_id <> q.vec_id AND len(e.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_topk": OP4_SQL,
     "op3_fingerprints": spotsigs.sql(),
     "op8_licenses": license_scan.sql(),
 }
