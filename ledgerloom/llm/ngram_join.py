@@ -88,7 +88,7 @@ def differences(a: int, b: int, t: float) -> int:
     return int(math.floor((1 - t) / (1 + t) * (a + b) + 1e-9))
 
 
-def allocation(top: int, t: float, chance: float = 0.05, meeting: float = 1e6) -> tuple[int, int]:
+def allocation(top: int, t: float, chance: float = 0.01, meeting: float = 1e6) -> tuple[int, int]:
     """(segments with exact signatures, segments with neighbourhoods) of least cost for sets of up to `top` shingles.
 
     Cost: signatures of a set, plus `meeting` times the chance that all shingles of a segment also stand in an unlike
@@ -269,6 +269,14 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(run, PAIR).distinct()
 
 
+def one_of_each(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that stay if each group keeps its smallest id, once. Rows without an id all stay."""
+    groups = ngram_groups(docs, t, n, key, text)
+    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    named = docs.filter(F.col(key).isNotNull()).join(stay, key, "left_semi").dropDuplicates([key])
+    return named.unionByName(docs.filter(F.col(key).isNull()))
+
+
 def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles (set size), component_id (smallest id reachable by links)."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, topk, url_filter
+from ledgerloom.llm import importance, license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, topk, url_filter
 from ledgerloom.llm.common import stored, table
 
 
@@ -50,6 +50,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_groups(table(spark, sf_dir, "documents"), t=0.9, n=3)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_weight", "kept")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.scan(docs, license_scan.known_licenses(spark)).select("doc_id", "canonical_sha256", "license")
@@ -84,6 +89,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
+    "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,

@@ -322,15 +322,17 @@ def ordered(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(digest=digest).sort_values(["id", "digest"], kind="stable").reset_index(drop=True)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: (key, n_bytes, n_removed, n_spans, begins, ends, kept): removed runs as byte offsets
-    in arrays, and the bytes that are left."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text",
+                   carry: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
+    """One row per document: (key, *carry, n_bytes, n_removed, n_spans, begins, ends, kept): removed runs as byte
+    offsets in arrays, and the bytes that are left. With `whole_characters` a run is cut back to whole UTF-8 characters."""
     size = total_bytes(docs, text)
     blocks = shards = parts(docs, size, BLOCK)
     rows = docs.select(
         F.col(key).alias("key"),
         F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("id"),
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("bytes"),
+        *(F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)),
     )
     # Rows of one id are spread by their text, so that an id of very many rows is not one block.
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "bytes"), F.lit(blocks))).repartition(blocks, "block")
@@ -402,6 +404,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
 
     result = T.StructType([
         T.StructField("key", rows.schema["key"].dataType),
+        *(T.StructField(f"carry{i}", rows.schema[f"carry{i}"].dataType) for i in range(len(carry))),
         *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
         *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("begins", "ends")),
         T.StructField("kept", T.BinaryType()),
@@ -426,6 +429,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
             np.add.at(change, at, 1)
             np.add.at(change, at + np.repeat(run, times)[hit] + length - 1, -1)
         gone = np.cumsum(change[:-1]) > 0
+        if whole_characters:  # a character stays if any of its bytes does
+            lead = np.flatnonzero((b.data & 0xC0) != 0x80)
+            if len(lead):
+                gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(b.data))))
         out, start = [], 0
         for raw, end in zip(rows["bytes"], b.ends.tolist()):
             own = gone[start:end]
@@ -435,8 +442,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
             out.append((end - start, int(own.sum()), len(begins), begins, ends, kept))
             start = end
         out = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "begins", "ends", "kept"])
-        out.insert(0, "key", rows["key"])
-        return out
+        return pd.concat([rows[["key", *(f"carry{i}" for i in range(len(carry)))]], out], axis=1)
 
     named = dealt.groupBy("block").applyInPandas(name, "block long, shard long, names binary, several binary")
     told = named.repartition(shards, "shard").groupBy("shard").applyInPandas(census, "block long, shard long, bits binary")
@@ -444,4 +450,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     sent = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(send, piece)
     back = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, piece)
     found = dealt.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(cut, result)
-    return found.withColumnRenamed("key", key)
+    return found.withColumnsRenamed({"key": key} | {f"carry{i}": c for i, c in enumerate(carry)})
