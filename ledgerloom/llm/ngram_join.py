@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import parts, ragged, slices, stored
+from ledgerloom.llm.common import parts, slices, stored
 from ledgerloom.llm.components import components
 
 BINS = 128  # parts of the universe whose shingles the histograms count
@@ -123,39 +123,63 @@ def signatures(tokens: np.ndarray, band: int, t: float, plans: dict) -> np.ndarr
     return np.unique(np.concatenate(out))
 
 
-def sketches(docs: DataFrame, t: float, n: int) -> DataFrame:
-    """Per row of (doc_id, text): set size, set identity, signatures in its own band and the next, histogram."""
+def identity(tokens: np.ndarray) -> tuple[int, int]:
+    return int(np.add.reduce(mix(tokens))), int(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D))))
+
+
+def sketches(docs: DataFrame, n: int) -> DataFrame:
+    """Per row of (doc_id, text): set size, set identity and histogram."""
     schema = T.StructType([
         docs.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("n_shingles", "set1", "set2")),
-        T.StructField("own", T.ArrayType(T.LongType())), T.StructField("next", T.ArrayType(T.LongType())),
         T.StructField("bins", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plans: dict = {}
         for batch in slices(batches, "text"):
-            sizes, first, second, own, then, bins = [], [], [], [], [], []
+            sizes, sets, bins = [], [], []
             for text in batch.column("text").to_pylist():
                 tokens = hashed(text or "", n)
-                band = band_of(max(1, len(tokens)), t)
                 sizes.append(len(tokens))
-                first.append(np.add.reduce(mix(tokens)))
-                second.append(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D))))
-                own.append(signatures(tokens, band, t, plans) if len(tokens) else tokens)
-                then.append(signatures(tokens, band + 1, t, plans) if len(tokens) else tokens)
+                sets.append(identity(tokens))
                 counts = np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=BINS)
                 bins.append(np.minimum(counts, 65535).astype("<u2").tobytes())
-            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sizes, first, second)]
-            lists = [ragged(np.concatenate(x).view(np.int64), [len(y) for y in x], pa.int64()) for x in (own, then)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *longs, *lists, pa.array(bins, pa.binary())], schema.fieldNames())
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sizes, *zip(*sets))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(bins, pa.binary())], schema.fieldNames())
+
+    return docs.mapInArrow(run, schema)
+
+
+def filed(docs: DataFrame, t: float, n: int) -> DataFrame:
+    """(key, node, own): the signatures of each set in its own band and, not own, in the next.
+
+    A task files a set once, under the first id it meets, so copies shrink to one a task before the shuffle."""
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", T.LongType()), T.StructField("own", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plans: dict = {}
+        seen: set = set()
+        for batch in slices(batches, "text", 1 << 20):
+            keys, nodes, own = [np.empty(0, np.uint64)], [], []
+            for node, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                tokens = hashed(text or "", n)
+                if node is None or not len(tokens) or (key := identity(tokens)) in seen:
+                    continue
+                seen.add(key)
+                band = band_of(len(tokens), t)
+                for at in (band, band + 1):
+                    keys.append(signatures(tokens, at, t, plans))
+                    nodes.append(np.full(len(keys[-1]), node, np.int64))
+                    own.append(np.full(len(keys[-1]), at == band))
+            if nodes:
+                arrays = [np.concatenate(keys).view(np.int64), np.concatenate(nodes), np.concatenate(own)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
 
 def met(rows: DataFrame, n: int) -> DataFrame:
-    """Rows (key, node, own) whose signature another node has too, if one of them is in its own band."""
-    schema = T.StructType([rows.schema["key"], rows.schema["node"], T.StructField("members", T.LongType())])
+    """Rows (key, node) whose signature another node has too, if one of them is in its own band."""
+    schema = T.StructType([rows.schema["key"], rows.schema["node"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -171,9 +195,7 @@ def met(rows: DataFrame, n: int) -> DataFrame:
             count = np.diff(np.append(edge, len(key)))
             good = (count > 1) & np.logical_or.reduceat(own, edge)
             keep = np.repeat(good, count)
-            out = t.select(["key", "node"]).filter(pa.array(keep))
-            out = out.append_column("members", pa.array(np.repeat(count[good], count[good]).astype(np.int64)))
-            yield from out.to_batches()
+            yield from t.select(["key", "node"]).filter(pa.array(keep)).to_batches()
 
         for batch in batches:
             if not batch.num_rows:
@@ -280,23 +302,21 @@ def one_of_each(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id"
 def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles (set size), component_id (smallest id reachable by links)."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = stored(sketches(docs, t, n), "sketches")
+    rows = stored(sketches(docs, n), "sketches")
     same_set = ["set1", "set2", "n_shingles"]
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = stored(full.groupBy(same_set).agg(F.min("doc_id").alias("doc_id")), "sets")
-    # The rows with the smallest id of a set stand for it.
-    heads = full.join(sets, [*same_set, "doc_id"]).withColumnRenamed("doc_id", "node")
-    sets = sets.withColumnRenamed("doc_id", "node")
-    filed = heads.select("node", F.explode(F.array(
-        F.struct(F.col("own").alias("keys"), F.lit(True).alias("own")),
-        F.struct(F.col("next").alias("keys"), F.lit(False).alias("own")))).alias("f"))
-    signed = filed.select("node", F.explode("f.keys").alias("key"), "f.own")
-    count = rows.agg(F.sum(F.size("own") + F.size("next"))).first()[0] or 0
-    buckets = stored(met(signed, parts(docs, count, 1_000_000)), "buckets")
+    sets = stored(full.groupBy(same_set).agg(F.min("doc_id").alias("node"), F.first("bins").alias("bins")), "sets")
+    # The smallest id of a set stands for it, whichever id a task has filed it under.
+    nodes = full.select("doc_id", *same_set).join(sets.drop("bins"), same_set)
+    # About (1 - t) / (1 + t) * 2 signatures a shingle in each of two bands.
+    expected = int((full.agg(F.sum("n_shingles")).first()[0] or 0) * 4.5 * (1 - t) / (1 + t))
+    buckets = met(filed(docs, t, n), parts(docs, expected, 1_000_000))
+    buckets = buckets.join(nodes.select(F.col("doc_id").alias("node"), F.col("node").alias("head")).distinct(), "node")
+    buckets = stored(buckets.select("key", F.col("head").alias("node")).distinct(), "buckets")
+    several = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    buckets = buckets.join(several, "key")
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
-    looks = heads.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
-    info = weight.join(looks, "node")
-    members = stored(buckets.select("key", "node").join(info, "node"), "members")
+    members = stored(buckets.select("key", "node").join(weight.join(sets.select("node", "n_shingles", "bins"), "node"), "node"), "members")
 
     links = stored(verified(hub_pairs(members, t), docs, t, n), "links")
     groups = components(links).select("node", F.col("component").alias("group"))
@@ -306,7 +326,6 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     links = links.unionByName(verified(more, docs, t, n))
 
     # Equal ids of different sets, and sets of equal documents, tie nodes together as links do.
-    nodes = full.select("doc_id", *same_set).join(sets, same_set)
     same = nodes.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     final = components(links.unionByName(same)).withColumnRenamed("node", "doc_id")
     return (rows.select("doc_id", "n_shingles").join(final, "doc_id", "left")
