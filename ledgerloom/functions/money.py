@@ -11,8 +11,8 @@ BP_PER_UNIT = 10_000  # discount fractions are kept to four decimals (basis poin
 
 
 def to_cents(amount: Column) -> Column:
-    """Half-even to the cent, as a bigint. (`round` would be half-up, a decimal cast too.)"""
-    return F.rint(amount * 100).cast("bigint")
+    """Half-even to the cent, as a bigint; null beyond it. (`round` would be half-up, a decimal cast too.)"""
+    return F.rint(amount * 100).try_cast("bigint")
 
 
 def to_basis_points(fraction: Column) -> Column:
@@ -30,7 +30,7 @@ def discount_cents(gross: Column, bp: Column) -> Column:
 
 
 def cents_to_decimal(cents: Column, precision: int = 16) -> Column:
-    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
+    return (cents.try_cast("decimal(18,0)") * F.lit(Decimal("0.01"))).try_cast(f"decimal({precision},2)")
 
 
 def add_amounts(df: DataFrame) -> DataFrame:

@@ -31,8 +31,9 @@ _ISO_USUAL = (
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?)?$"
 )
 _ISO = rf"^({_YEAR}(-[0-9]{{1,2}}(-[0-9]{{1,2}}({_TIME})?)?)?|({_EDGE_DATE})({_TIME})?)$"
-_EXPONENT = r"[eE](-[0-9]+|\+?0*([12]?[0-9]{1,2}|30[0-8]))"
-_NUMBER = rf"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)({_EXPONENT})?|(?i:inf(inity)?))$"
+_EXPONENT = r"[eE][+-]?[0-9]+"
+_NUMBER = rf"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)({_EXPONENT})?$"
+_INFINITY = r"^[+-]?(?i:inf(inity)?)$"
 
 
 def parse_utc(col: Column) -> Column:
@@ -53,4 +54,6 @@ def parse_utc(col: Column) -> Column:
 def parse_number(col: Column) -> Column:
     """Decimal text -> double; non-numeric, NaN and overflowing text is null, spelled-out infinity stays."""
     text = F.btrim(col.cast("string"), F.lit(WHITESPACE))
-    return F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
+    number = text.try_cast("double")
+    finite = F.rlike(text, F.lit(_NUMBER)) & (F.abs(number) < float("inf"))
+    return F.when(finite | F.rlike(text, F.lit(_INFINITY)), number)

@@ -150,8 +150,8 @@ def require_contract(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> None:
 def table_rule_violated(limits: Limits = DEFAULT_LIMITS) -> Column:
     """One OR-ed predicate with SQL semantics: a null comparison does not count."""
     c = F.col
-    gross = (c("quantity").cast("decimal(10,0)") * c("unit_price")).cast("decimal(16,2)")
-    discount = F.round(c("gross_amount") * c("discount_pct"), 2).cast("decimal(16,2)")
+    gross = c("quantity").cast("decimal(10,0)") * c("unit_price")
+    discount = F.round(c("gross_amount") * c("discount_pct"), 2)
     return (
         ~c("quantity").between(limits.min_quantity, limits.max_quantity)
         | (c("unit_price") < 0) | ~c("discount_pct").between(0, 1)
@@ -247,6 +247,6 @@ def row_set_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
 def require_same_rows(expected: DataFrame, actual: DataFrame, label: str) -> None:
     r = row_set_difference(expected, actual).first()
     if r["expected_rows"] != r["actual_rows"] or r["mismatched"]:
-        raise AssertionError(
-            f"{label}: {r['actual_rows']} rows read, {r['expected_rows']} expected, or content differs")
+        raise ContractViolation([f"{label} holds {r['actual_rows']} of {r['expected_rows']} rows, "
+                                 f"{r['mismatched']} of them unlike the original"])
 

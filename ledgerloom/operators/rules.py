@@ -26,6 +26,8 @@ class Limits:
 
 
 DEFAULT_LIMITS = Limits()
+# Digits, two of them behind the point, of the stored unit prices and amounts.
+PRICE_DIGITS, AMOUNT_DIGITS = 14, 16
 
 
 def not_in(col: Column, allowed: Sequence[str]) -> Column:
@@ -93,9 +95,12 @@ class ShownOrder:
 
 
 def order_rules(raw: ShownOrder) -> list[Rule]:
-    """The eight order rules over the typed columns. An infinite price cannot be held in cents: invalid."""
+    """The eight order rules over the typed columns. A price is also invalid if it, or the amount it makes, does not fit
+    the stored decimals."""
     lo, hi = raw.limits.min_quantity, raw.limits.max_quantity
     qty, price, pct = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
+    cents = F.rint(price * 100)
+    too_large = (cents >= 10.0**PRICE_DIGITS) | (cents * qty >= 10.0**AMOUNT_DIGITS)
     return [
         Rule("missing_customer_id", F.col("customer_id").isNull(), F.lit("customer_id is blank")),
         Rule("missing_product_id", F.col("product_id").isNull(), F.lit("product_id is blank")),
@@ -105,7 +110,7 @@ def order_rules(raw: ShownOrder) -> list[Rule]:
              shown("quantity", raw.quantity, "is not a whole number")),
         Rule("quantity_out_of_range", (qty < lo) | (qty > hi),
              shown("quantity", raw.quantity, f"outside allowed range {lo}..{hi}")),
-        Rule("invalid_unit_price", price.isNull() | (price < 0) | (price == float("inf")),
+        Rule("invalid_unit_price", price.isNull() | (price < 0) | too_large,
              shown("unit_price", raw.unit_price, "is missing, not numeric, or negative")),
         Rule("invalid_discount_pct", pct.isNull() | (pct < 0) | (pct > 1),
              shown("discount_pct", raw.discount_pct, "is not a fraction between 0 and 1")),

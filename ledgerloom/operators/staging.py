@@ -1,20 +1,14 @@
-"""Staging: type, gate, deduplicate, judge.
+"""Staging as one plan with one shuffle.
 
-Each raw record ends up exactly once as staged, quarantined or superseded:
-
-1. a record without key or version timestamp is rejected before deduplication;
-2. the latest version per key is kept (ties: the later source record);
-3. the rules judge that version only; an older valid version is not brought back.
-
-All of it is one plan with one shuffle: early rejects ride along as groups of their own (spread by
-record number, so blank keys never pile up), and the raw text is typed after the shuffle, on winners
-only. Routes are told apart by a column; write the classified rows once and read the routes back.
+Key and version time are typed before the shuffle, everything else behind it, on one row per key. Records that
+cannot take part in that contest travel as groups of their own, spread by record number, so blank keys never pile up.
+Where a row goes is the column `route`: write the classified rows once, partitioned by it, and read the routes back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -51,7 +45,7 @@ PRODUCT_SCHEMA = (
 
 # Stored layout of the classified rows; `route` is the partition column.
 _JUDGED = (", source_record_number bigint, reason_codes string, reason_detail string, source_record string, "
-           "route string")
+           "pipeline_run_id string, staged_at_utc timestamp, route string")
 CLASSIFIED_SCHEMA = {
     "customers": "customer_id string, first_name string, last_name string, email string, "
                  "is_email_missing boolean, city string, customer_tier string, created_at timestamp, "
@@ -213,13 +207,21 @@ def _raw_inputs(numbered: DataFrame, spec: Dataset) -> list[str]:
     return ["record"] if spec.name == "products" and "record" in numbered.columns else []
 
 
-def staged_rows(classified: DataFrame, spec: Dataset, run_id: str, at: datetime) -> DataFrame:
-    """The staging table: fields, lineage and audit columns. Quantity is whole by now, so it becomes bigint."""
-    rows = classified.where(F.col("route") == STAGED)
+def stamped(classified: DataFrame, run_id: str, at: datetime) -> DataFrame:
+    """With the audit columns under which classified rows are stored."""
+    return classified.withColumns({"pipeline_run_id": F.lit(run_id), "staged_at_utc": F.lit(at).cast("timestamp")})
+
+
+def staged_table(stored: DataFrame, spec: Dataset) -> DataFrame:
+    """The staging table out of stamped rows: fields, lineage and audit columns. Quantity is whole by now: bigint."""
+    rows = stored.where(F.col("route") == STAGED)
     if "quantity" in spec.fields:
         rows = rows.withColumn("quantity", F.col("quantity").cast("bigint"))
-    return rows.select(*spec.fields, "source_record_number", F.lit(run_id).alias("pipeline_run_id"),
-                       F.lit(at).cast("timestamp").alias("staged_at_utc"))
+    return rows.select(*spec.fields, "source_record_number", "pipeline_run_id", "staged_at_utc")
+
+
+def staged_rows(classified: DataFrame, spec: Dataset, run_id: str, at: datetime) -> DataFrame:
+    return staged_table(stamped(classified, run_id, at), spec)
 
 
 def quarantine_rows(classified: DataFrame, spec: Dataset, run_id: str, at: datetime) -> DataFrame:
@@ -246,6 +248,13 @@ def stage(numbered: DataFrame, spec: Dataset, run_id: str, at: datetime) -> tupl
     return staged_rows(classified, spec, run_id, at), quarantine_rows(classified, spec, run_id, at)
 
 
-def with_limits(spec: Dataset, rules: Sequence[Rule]) -> Dataset:
-    """The same dataset under other rules."""
-    return replace(spec, rules=rules)
+def superseded_count(numbered: DataFrame, spec: Dataset) -> DataFrame:
+    """(dataset, superseded): versions beyond the first of each key among the records that pass the version gate.
+
+    Counted from the raw records alone, so that it can prove the routes wrong."""
+    slim = numbered.select(*_raw_inputs(numbered, spec), spec.raw.alias("raw"))
+    keyed = slim.select(spec.fields[spec.key].alias("key"), spec.fields["updated_at"].alias("at"))
+    versions = keyed.where(F.col("key").isNotNull() & F.col("at").isNotNull()).groupBy("key").agg(
+        (F.count(F.lit(1)) - 1).alias("more"))
+    return versions.agg(F.coalesce(F.sum("more"), F.lit(0)).alias("superseded")).select(
+        F.lit(spec.name).alias("dataset"), "superseded")

@@ -21,14 +21,22 @@ def latest_version(df: DataFrame, keys: Sequence[str | Column], newest_first: Se
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def superseded(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column],
-               identity: Sequence[str]) -> DataFrame:
-    """Every version that is not the latest one. `identity` tells any two rows apart.
+def superseded(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
+    """Every row but the latest version of its key; of equal copies of the latest, all but one.
 
-    The anti join runs on the identity, so the versions of a hot key spread over all tasks.
+    Copies are counted first, so a hot key's copies are one row a task; the join meets one winner per key, and adaptive
+    execution splits a hot key there. Nulls are values like any other.
     """
-    winners = latest_version(df.select(*identity), keys, newest_first)
-    return df.join(winners, list(identity), "left_anti")
+    columns = df.columns
+    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    winners = latest_version(df, keys, newest_first).select(*[F.col(c).alias(f"_w_{c}") for c in columns])
+    of_key = [copies[k].eqNullSafe(winners[f"_w_{k}"]) for k in keys]
+    met = copies.join(winners, of_key)
+    is_winner = F.lit(True)
+    for c in columns:
+        is_winner = is_winner & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+    left = F.col("_copies") - is_winner.cast("bigint")
+    return met.withColumn("_n", F.explode(F.when(left > 0, F.sequence(F.lit(1).cast("bigint"), left)))).select(*columns)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,10 +56,6 @@ def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(duplicate_keys(df, keys), list(keys), "inner")
 
 
-def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return latest_version(df, group, order)
-
-
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> int:
     """Fail before a many-to-one join or a load that relies on unique keys; returns the row count."""
     per_key = key_counts(df, keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def latest_version_dedup(spark, sf_dir):
 @query
 def superseded_versions(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    return _text_times(superseded(lines, list(LINE_KEY), tables.newest_first(), LINE_COLUMNS))
+    return _text_times(superseded(lines, list(LINE_KEY), tables.newest_first()))
 
 
 @query
@@ -160,7 +161,10 @@ def route_reconciliation(spark, sf_dir):
     routes = [c.groupBy("route").agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(n).alias("dataset"), "route", "row_count")
               for n, c in _classified(spark, sf_dir).items()]
-    return report.reconciliation(_raw_counts(spark, sf_dir), routes[0].unionByName(routes[1]).unionByName(routes[2]))
+    specs = {"customers": staging.customers(), "products": staging.products(), "orders": staging.orders(LIMITS)}
+    replaced = [staging.superseded_count(rawtext.numbered(spark, sf_dir, n), s) for n, s in specs.items()]
+    return report.reconciliation(_raw_counts(spark, sf_dir), reduce(DataFrame.unionByName, routes),
+                                 reduce(DataFrame.unionByName, replaced))
 
 
 @query
@@ -176,7 +180,7 @@ def rejected_keys(spark, sf_dir):
 @query
 def missing_email_customers(spark, sf_dir):
     staged, _ = staging.stage(rawtext.numbered(spark, sf_dir, "customers"), staging.customers(), RUN, AT)
-    flagged = report.quality_flagged(staged, F.col("is_email_missing"))
+    flagged = staged.where("is_email_missing")
     return flagged.select("customer_id", "first_name", "last_name", "email", "is_email_missing", "city")
 
 
@@ -648,7 +652,7 @@ def _stage_events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat_ws("/", "user_id", "event_type").alias("attempt_id"),
         F.concat(F.lit("run_"), F.col("user_id")).alias("pipeline_run_id"), F.col("event_type").alias("stage"),
-        F.lit(1).alias("attempt"), F.col("event_id").cast("int").alias("event_no"), status.alias("status"),
+        F.lit(1).alias("attempt"), F.col("event_id").cast("bigint").alias("event_no"), status.alias("status"),
         F.col("ts").alias("at_utc"), k.alias("rows_in"), (k * 2).alias("rows_out"),
         F.when(F.col("event_type") == "click", k).alias("rows_staging"),
         F.when(F.col("event_type") == "purchase", k).alias("rows_curated"),

@@ -9,15 +9,12 @@ from pyspark.sql import SparkSession
 
 # Timestamps are UTC instants everywhere, so text <-> timestamp conversions must not depend on the
 # cluster's local zone. The adaptive settings split hot join keys and hot partition months at run time.
-# Staging projections are wide: past HotSpot's 8000-byte method limit, smaller split functions run faster
-# than one large generated method that is never compiled to machine code.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,11 +13,12 @@ from ledgerloom.sources.fingerprint import file_fingerprints
 from ledgerloom.sources.paths import layer_path, path_exists
 from ledgerloom.sources.raw import POSITION, read_raw_csv, read_raw_json_array, read_raw_json_lines
 
-READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "csv": read_raw_csv,
-    "csv_multiline": lambda spark, path: read_raw_csv(spark, path, multi_line=True),
-    "json": read_raw_json_array,
-    "jsonl": read_raw_json_lines,
+# `csv` reads a file whole, so quoted text may hold line ends; `csv_lines` splits files without such texts.
+READERS: dict[str, Callable[[SparkSession, str, Sequence[str] | None], DataFrame]] = {
+    "csv": lambda spark, path, columns: read_raw_csv(spark, path, columns, multi_line=True),
+    "csv_lines": read_raw_csv,
+    "json": lambda spark, path, columns: read_raw_json_array(spark, path),
+    "jsonl": lambda spark, path, columns: read_raw_json_lines(spark, path),
 }
 
 
@@ -26,6 +27,7 @@ class Source:
     dataset: str
     path: str
     format: str
+    columns: tuple[str, ...] | None = None  # of a CSV source; by default as its first header says
 
 
 def write_positioned(raw: DataFrame, path: str) -> None:
@@ -39,10 +41,13 @@ def write_positioned(raw: DataFrame, path: str) -> None:
         spark.read.parquet(f"{path}/records").groupBy("_file", "_block")
         .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("records"))
     )
-    # One row per input split (128 MB each by default), so the running total is over a small table.
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("records").over(before), F.lit(0)))
-    offsets.coalesce(1).write.mode("overwrite").parquet(f"{path}/blocks")
+    # Splits are summed up file by file; only the files' totals, one row each, are summed up in one place.
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("_file").agg(F.sum("records").alias("_total"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("_start", F.coalesce(F.sum("_total").over(earlier), F.lit(0))).drop("_total")
+    offset = F.col("_start") + F.coalesce(F.sum("records").over(before), F.lit(0))
+    blocks.join(files, "_file").withColumn("_offset", offset).drop("_start").write.mode("overwrite").parquet(f"{path}/blocks")
 
 
 def read_numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -58,42 +63,43 @@ def read_numbered(spark: SparkSession, path: str) -> DataFrame:
 def land(spark: SparkSession, root: str, run_id: str, sources: list[Source]) -> DataFrame:
     """Land all sources of a run and return the manifest.
 
-    Same run and same content: nothing to do. Same run, other content: refused. A missing source fails
-    before anything is written; the manifest comes last, so an unfinished landing is never read.
+    The sources are fingerprinted, read, and fingerprinted again; only if both agree is the manifest written, and
+    without a manifest nothing can be read. A run that has one accepts the same bytes again and refuses others.
     """
     absent = [s.path for s in sources if not path_exists(spark, s.path)]
     if absent:
-        raise MissingSource("source file(s) not found: " + ", ".join(absent))
+        raise MissingSource("nothing to land at " + ", ".join(absent))
     manifest_path = layer_path(root, "raw", run_id, "manifest")
-    current = _fingerprints(spark, sources)
     if path_exists(spark, f"{manifest_path}/_SUCCESS"):
-        if changed_files(spark.read.parquet(manifest_path), current).limit(1).count():
-            raise SnapshotConflict(f"run {run_id} already holds a different snapshot; start a new run id")
-        return spark.read.parquet(manifest_path)
-
+        recorded = spark.read.parquet(manifest_path)
+        if not changed_files(recorded, _fingerprints(spark, sources)).isEmpty():
+            raise SnapshotConflict(f"{run_id} was landed from other bytes; land these under a run id of their own")
+        return recorded
+
+    # Written before anything is read: a lazy one would only be computed afterwards.
+    seen_path = layer_path(root, "raw", run_id, "fingerprints")
+    _fingerprints(spark, sources).write.mode("overwrite").parquet(seen_path)
+    seen = spark.read.parquet(seen_path)
     for source in sources:
-        write_positioned(READERS[source.format](spark, source.path),
+        write_positioned(READERS[source.format](spark, source.path, source.columns),
                          layer_path(root, "raw", run_id, source.dataset))
-    manifest = current.join(_landed_counts(spark, root, run_id, sources), ["dataset", "file"], "left")
+    if not changed_files(seen, _fingerprints(spark, sources)).isEmpty():
+        raise SnapshotConflict(f"a source was written to while {run_id} was landing it; nothing of it can be read")
+    manifest = seen.join(_landed_counts(spark, root, run_id, sources), ["dataset", "file"], "left")
     manifest = manifest.withColumns({"records": F.coalesce("records", F.lit(0)), "pipeline_run_id": F.lit(run_id)})
-    manifest.coalesce(1).write.mode("overwrite").parquet(manifest_path)
-    written = spark.read.parquet(manifest_path)
-    if changed_files(written, _fingerprints(spark, sources)).limit(1).count():
-        raise OSError(f"sources changed while run {run_id} was landing them")
-    return written
+    manifest.write.mode("overwrite").parquet(manifest_path)
+    return spark.read.parquet(manifest_path)
 
 
 def read_landed(spark: SparkSession, root: str, run_id: str, dataset: str) -> DataFrame:
-    path = layer_path(root, "raw", run_id, dataset)
-    if not path_exists(spark, f"{path}/blocks/_SUCCESS"):
-        raise MissingSource(f"no raw snapshot of {dataset} for run {run_id}; land the sources first")
-    return read_numbered(spark, path)
+    read_manifest(spark, root, run_id)  # without one the landing was refused or never ended
+    return read_numbered(spark, layer_path(root, "raw", run_id, dataset))
 
 
 def read_manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     path = layer_path(root, "raw", run_id, "manifest")
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        raise MissingSource(f"no raw snapshot for run {run_id}; land the sources first")
+        raise MissingSource(f"{run_id} has no landed sources")
     return spark.read.parquet(path)
 
 

@@ -1,20 +1,15 @@
-"""Run folders and existence checks on whatever file system the path names."""
+"""Where a run keeps its layers, on whatever file system the root names."""
 
 from __future__ import annotations
 
-import re
+from urllib.parse import quote
 
 from pyspark.sql import SparkSession
 
 
-def run_folder(run_id: str) -> str:
-    """Path-safe folder name of a run; the columns keep the run id unchanged."""
-    return "run_id=" + re.sub(r"[^A-Za-z0-9._-]", "_", run_id)
-
-
 def layer_path(root: str, layer: str, run_id: str, dataset: str | None = None) -> str:
-    folder = f"{root}/{layer}/{run_folder(run_id)}"
-    return f"{folder}/{dataset}" if dataset else folder
+    """Run ids are percent-encoded, so any text is one folder and no two ids share one."""
+    return "/".join(filter(None, (root, layer, "run-" + quote(run_id, safe=""), dataset)))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -23,21 +23,32 @@ def require_path(spark: SparkSession, path: str, what: str) -> None:
         raise MissingSource(f"{what} not found at {path}")
 
 
-def _csv_options(multi_line: bool) -> dict[str, str]:
-    # Quotes inside quoted text are doubled; embedded newlines make a file unsplittable, so they are opt-in.
-    return {"header": "true", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(),
-            "encoding": "UTF-8"}
+# Quotes inside quoted text are doubled.
+CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  multi_line: bool = False) -> DataFrame:
-    """Header CSV, all text. `columns` skips the header probe and is checked against the header."""
+    """Header CSV, all text. Every file's header must be `columns`, by default those of the first file read.
+
+    A record with more fields than the header stops the scan; one with fewer ends in nulls. Files whose quoted text holds line
+    ends are read whole (`multi_line`); read line by line, a record that is short of fields stops the scan too, as it may be
+    the first half of such a text.
+    """
     require_path(spark, path, "CSV source")
-    reader = spark.read.options(**_csv_options(multi_line))
-    if columns:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", "false")
-    return _positioned(reader.csv(path))
+    options = CSV | {"multiLine": str(multi_line).lower()}
+    names = list(columns or spark.read.options(**options).csv(path).columns)
+    fields = [T.StructField(c, T.StringType()) for c in (*names, "_line")]
+    rows = spark.read.options(**options).schema(T.StructType(fields)).options(
+        enforceSchema="false", columnNameOfCorruptRecord="_line").csv(path)
+    # Lines that do not have one field for each column are kept in `_line`; a further parse tells long from short.
+    wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    more = F.from_csv("_line", wide, {"quote": '"', "escape": '"', "nullValue": "\u0000"})
+    long = F.coalesce(more[f"c{len(names)}"].isNotNull(), F.lit(False))
+    wrong = long if multi_line else F.col("_line").isNotNull()
+    problem = F.concat(F.lit("MalformedSource: "), F.col("_file"), F.lit(" has a record that does not fit its header: "), F.col("_line"))
+    checked = F.when(wrong, F.raise_error(problem).cast("string")).otherwise(F.col(names[0]))
+    return _positioned(rows).withColumn(names[0], checked).drop("_line")
 
 
 def read_raw_json_array(spark: SparkSession, path: str) -> DataFrame:
@@ -52,9 +63,12 @@ def read_raw_json_array(spark: SparkSession, path: str) -> DataFrame:
         F.col("value"),
     )
     is_array = F.startswith(F.ltrim(F.col("value")), F.lit("["))
-    items = F.from_json("value", "array<string>")
+    # As the one field of an object the text must be a whole value: anything behind the array breaks the object.
+    whole_value = F.from_json(F.concat(F.lit('{"a":'), F.col("value"), F.lit("}")), "a array<string>, _bad string",
+                              {"columnNameOfCorruptRecord": "_bad"})
+    items = F.when(whole_value["_bad"].isNull(), whole_value["a"])
     checked = F.when(is_array & items.isNotNull(), items).otherwise(
-        F.raise_error(F.concat(F.col("_file"), F.lit(" must contain a JSON array of records"))))
+        F.raise_error(F.concat(F.lit("MalformedSource: "), F.col("_file"), F.lit(" is not one JSON array of records"))))
     return whole.select("_file", "_block", F.posexplode(checked).alias("_pos", "record")).select(
         "record", "_file", "_block", F.col("_pos").cast("bigint").alias("_row"))
 
@@ -63,7 +77,7 @@ def read_raw_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object per line -> its text in `record`; splittable."""
     require_path(spark, path, "JSON Lines source")
     lines = spark.read.text(path).withColumnRenamed("value", "record")
-    return _positioned(lines).where(F.trim("record") != "")
+    return _positioned(lines.where(F.trim("record") != ""))  # numbered after blank lines are gone
 
 
 def _positioned(scan: DataFrame) -> DataFrame:

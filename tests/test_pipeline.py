@@ -15,7 +15,7 @@ from ledgerloom.sources.fingerprint import file_fingerprints
 from ledgerloom.sources.landing import (
     Source, land, matches_source, read_landed, read_manifest, read_numbered, write_positioned,
 )
-from ledgerloom.sources.paths import run_folder
+from ledgerloom.sources.paths import layer_path
 from ledgerloom.sources.raw import count_records, read_raw_csv, read_raw_json_array, read_raw_json_lines
 
 
@@ -69,11 +69,6 @@ def test_missing_source_fails_before_anything_is_written(spark, sources, tmp_pat
     assert not (tmp_path / "out").exists()
 
 
-def test_fingerprint_streams_large_files(spark, sources):
-    row = file_fingerprints(spark, sources[0].path, inline_bytes=0).first()
-    assert row["sha256"] == sha(sources[0].path)
-
-
 def test_record_numbers_follow_file_order_over_many_splits(spark, tmp_path):
     lines = [f"{i},{'x' * (i % 50)}" for i in range(1, 5001)]
     (tmp_path / "n.csv").write_text("n,pad\n" + "\n".join(lines) + "\n")
@@ -106,13 +101,13 @@ def test_json_array_and_lines(spark, tmp_path):
     lines = read_raw_json_lines(spark, str(tmp_path / "a.jsonl"))
     assert [json.loads(r["record"]) for r in lines.orderBy("_row").collect()] == records
     (tmp_path / "o.json").write_text('{"a": 1}')
-    with pytest.raises(Exception, match="must contain a JSON array"):
+    with pytest.raises(Exception, match="is not one JSON array"):
         read_raw_json_array(spark, str(tmp_path / "o.json")).collect()
 
 
-def test_run_folder_is_path_safe():
-    assert run_folder("manual__2026-09-23T08:30:00.123456+00:00") == (
-        "run_id=manual__2026-09-23T08_30_00.123456_00_00")
+def test_run_folders_are_path_safe_and_distinct():
+    assert layer_path("/r", "raw", "a/b:1", "orders") == "/r/raw/run-a%2Fb%3A1/orders"
+    assert layer_path("/r", "raw", "a_b:1") != layer_path("/r", "raw", "a/b:1")
 
 
 def test_run_all_twice_then_one_partition(spark, sources):
@@ -121,20 +116,20 @@ def test_run_all_twice_then_one_partition(spark, sources):
     assert by_key(pipe.summary("run_a"), "dataset", "staged") == {"customers": 2, "products": 1, "orders": 5}
     for r in pipe.summary("run_a").collect():
         assert r["raw"] == r["staged"] + r["quarantined"] + r["superseded"]
-    assert first["transform"].run_counts == {"rows_staging": 8, "rows_curated": 3, "rows_quarantined": 4}
-    assert (first["load"].rows_in, first["load"].rows_out) == (3, 3)
+    assert first["transform"]["layers"] == {"rows_staging": 8, "rows_curated": 3, "rows_quarantined": 4}
+    assert (first["load"]["rows_in"], first["load"]["rows_out"]) == (3, 3)
     assert by_key(pipe.quarantine("run_a"), "business_key", "reason_codes") == {
         "P2": "negative_unit_price", "O2": "quantity_out_of_range", "O3": "product_rejected_in_staging",
         "O4": "orphan_customer_id"}
     second = pipe.run_all("run_b")
-    assert second["load"].rows_out == 0
+    assert second["load"]["rows_out"] == 0
     assert {r["pipeline_run_id"] for r in pipe.table.read().collect()} == {"run_a"}
     assert pipe.curated().first()["pipeline_run_id"] == "run_b"  # latest completed run
 
     loaded = pipe.run_stage("load-partition", "run_b", pipe.load_partition, 2025, 3)
-    assert (loaded.rows_in, loaded.rows_out) == (1, 0)
+    assert (loaded["rows_in"], loaded["rows_out"]) == (1, 0)
     pipe.run_stage("validate", "run_b", pipe.validate, 2025, 3)
-    with pytest.raises(StageFailed, match="produced by"):
+    with pytest.raises(StageFailed, match="come from other runs"):
         pipe.run_stage("load-partition", "run_c", lambda run: __import__(
             "ledgerloom.plans.pipeline", fromlist=["x"]).require_provenance(pipe.curated("run_a"), run))
     states = {r["pipeline_run_id"]: r for r in run_states(pipe.history.events()).collect()}
@@ -144,13 +139,85 @@ def test_run_all_twice_then_one_partition(spark, sources):
 
 def test_history_keeps_attempts_and_counts(spark):
     history = RunHistory(spark, scratch_path(spark, "hist"))
-    a = history.started("r", "transform", 1)
-    history.finished(a, "r", "transform", "SUCCESS", "ok", 10, 8, {"rows_curated": 8})
-    b = history.started("r", "load", 1)
-    state = run_states(history.events()).first()
-    assert (state["status"], state["last_stage"], state["rows_curated"], state["message"]) == (
-        "RUNNING", "load", 8, "load: started")
-    history.finished(b, "r", "load", "FAILED", "boom")
+    with history.attempt("r", "transform", 1) as outcome:
+        outcome |= {"note": "ok", "rows_in": 10, "rows_out": 8, "layers": {"rows_curated": 8}}
+    with pytest.raises(StageFailed, match="boom"), history.attempt("r", "load", 1):
+        state = run_states(history.events()).first()
+        assert (state["status"], state["last_stage"], state["rows_curated"], state["message"]) == (
+            "RUNNING", "load", 8, "load: started")
+        raise ValueError("boom")
     attempts = {r["stage"]: r for r in stage_attempts(history.events()).collect()}
     assert attempts["transform"]["rows_out"] == 8 and attempts["load"]["status"] == "FAILED"
     assert attempts["load"]["completed_at_utc"] >= attempts["load"]["started_at_utc"]
+
+
+def test_an_audit_outage_does_not_hide_the_error(spark, monkeypatch):
+    history = RunHistory(spark, scratch_path(spark, "hist"))
+    history.path = "nosuchfs://nowhere/events"
+    with pytest.raises(StageFailed, match="the real one"), history.attempt("r", "load"):
+        raise ValueError("the real one")
+    with history.attempt("r", "load") as outcome:
+        outcome["note"] = "done"
+
+
+def test_landing_sees_a_source_change_while_it_reads(spark, sources, monkeypatch):
+    from ledgerloom.sources import landing
+
+    root, write = scratch_path(spark, "land"), landing.write_positioned
+
+    def slow(raw, path):
+        write(raw, path)
+        if path.endswith("customers"):
+            with open(sources[0].path, "a", newline="") as f:
+                f.write(",".join(customer("C9")) + "\r\n")
+
+    monkeypatch.setattr(landing, "write_positioned", slow)
+    with pytest.raises(SnapshotConflict, match="while"):
+        land(spark, root, "run_1", sources)
+    with pytest.raises(MissingSource):
+        read_landed(spark, root, "run_1", "customers").count()
+    monkeypatch.setattr(landing, "write_positioned", write)
+    assert by_key(land(spark, root, "run_1", sources), "dataset", "records")["customers"] == 4
+
+
+def test_malformed_sources_stop_the_scan(spark, tmp_path):
+    (tmp_path / "two.json").write_text('[{"a": 1}]\n[{"a": 2}]')
+    with pytest.raises(Exception, match="is not one JSON array"):
+        read_raw_json_array(spark, str(tmp_path / "two.json")).collect()
+    (tmp_path / "long.csv").write_text("a,b\n1,2\n3,4,5\n")
+    for multi_line in (False, True):
+        with pytest.raises(Exception, match="does not fit its header"):
+            read_raw_csv(spark, str(tmp_path / "long.csv"), multi_line=multi_line).collect()
+    (tmp_path / "split.csv").write_text('a,b\n1,"two\nlines"\n')
+    with pytest.raises(Exception, match="does not fit its header"):
+        read_raw_csv(spark, str(tmp_path / "split.csv")).collect()
+    whole = read_raw_csv(spark, str(tmp_path / "split.csv"), multi_line=True).collect()
+    assert [(r["a"], r["b"]) for r in whole] == [("1", "two\nlines")]
+    (tmp_path / "order").mkdir()
+    (tmp_path / "order" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "order" / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path / "order"), ["a", "b"]).collect()
+
+
+def test_blank_json_lines_leave_no_gaps(spark, tmp_path):
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l" / "1.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n\n\n')
+    (tmp_path / "l" / "2.jsonl").write_text('\n{"a": 3}\n{"a": 4}\n\n{"a": 5}\n')
+    path = scratch_path(spark, "numbers")
+    write_positioned(read_raw_json_lines(spark, str(tmp_path / "l")), path)
+    got = {json.loads(r["record"])["a"]: r["source_record_number"] for r in read_numbered(spark, path).collect()}
+    assert got == {i: i for i in range(1, 6)}
+
+
+def test_large_prices_are_quarantined_and_the_run_goes_on(spark, sources):
+    with open(sources[2].path, "a", newline="") as f:
+        for i, price in enumerate(("1e12", "1e17", "1e300", "0.001e310", "999999999999.994")):
+            f.write(",".join(order(f"L{i}", price=price, qty="1")) + "\r\n")
+    pipe = Pipeline(spark, scratch_path(spark, "pipe"), sources)
+    pipe.run_all("run_a")
+    bad = by_key(pipe.quarantine("run_a").where("business_key LIKE 'L%'"), "business_key", "reason_codes")
+    assert bad == {k: "invalid_unit_price" for k in ("L0", "L1", "L2", "L3")}
+    assert str(pipe.table.read().where("order_id = 'L4'").first()["unit_price"]) == "999999999999.99"
+    found = {(r["measure"], r["dataset"]): r["value"] for r in pipe.measures("run_a").where("reason IS NULL").collect()}
+    assert found["email_missing", "customers"] == 1 and found["curated_out", "orders"] == 4
