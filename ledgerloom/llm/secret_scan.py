@@ -4,7 +4,7 @@ Each model is a Markov chain over the token alphabet: one of random strings, one
 from labelled samples. A token is added as a secret if its log-likelihood ratio per step reaches `margin`. All work is in
 DataFrame functions: matches and the text between them give every position.
 
-Defined results: a null text is an empty text without spans. Positions are code points, the end is exclusive. Repeated
+Defined results: a null text is an empty text without spans. The columns base, spans, tokens and has_* are the operator's own. Positions are code points, the end is exclusive. Repeated
 rows are judged each for itself. A token that overlaps a pattern's span is not added. A class without samples is
 uniform.
 """

@@ -33,9 +33,10 @@ from ledgerloom.llm.common import parts, total_bytes
 from ledgerloom.llm.ngram_join import mix
 
 LENGTH = 50
-GRAM = 12  # bytes whose hash is minimized
+GRAM = 20  # bytes whose hash is minimized
 BLOCK = 4 << 20  # bytes of text in a block of documents, and whose stretches a shard gets
-SHARD = 3 << 20  # bytes of repeated stretches in one suffix array
+SHARD = 2_000_000  # bytes of repeated stretches in one suffix array, some below the positions that INDEX bits can number
+INDEX = 21
 STEP = 1 << 20  # bytes that array operations take at once
 LAST = np.iinfo(np.int64).max
 
@@ -61,25 +62,31 @@ def stretches(data: np.ndarray, doc_ends: np.ndarray, length: int) -> tuple[np.n
     n = len(data) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    word = words_at(data)[: len(data) - 4]
-    name = word[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-    name += word[4:][: len(name)] * np.uint64(0xD6E8FEB86659FD93)
-    name ^= name >> np.uint64(32)
-    name *= np.uint64(0xBF58476D1CE4E5B9)
+    word, grams = words_at(data), len(data) - GRAM + 1
+    name = word[:grams] * np.uint64(0x9E3779B97F4A7C15)
+    for at in sorted({*range(8, GRAM - 7, 8), GRAM - 8}):
+        name ^= name >> np.uint64(31)
+        name += word[at : at + grams]
+        name *= np.uint64(0xBF58476D1CE4E5B9)
     name ^= name >> np.uint64(29)
     del word
     name = window_min(name, length - GRAM + 1)
     inside = np.ones(n, bool)
     for end in doc_ends[:-1]:
         inside[max(0, end - length + 1) : end] = False
-    new = np.concatenate([[True], (name[1:] != name[:-1]) | ~inside[:-1]]) & inside
     # A name that wins twice in a row by a later equal string is still one stretch; its windows stay in one shard.
-    start = np.flatnonzero(new)
-    index = np.flatnonzero(inside)
-    owner = np.searchsorted(start, index, side="right") - 1
-    count = np.bincount(owner, minlength=len(start)) if len(start) else np.empty(0, np.int64)
+    new = np.empty(n, bool)
+    new[0] = True
+    np.not_equal(name[1:], name[:-1], out=new[1:])
+    new[1:] |= ~inside[:-1]
+    new &= inside
+    marks = np.flatnonzero(new | ~inside)
+    count = np.diff(np.append(marks, n))[new[marks]]
+    start = marks[new[marks]]
     # Very long stretches (a byte repeated on and on) are cut, so that their length is bounded.
     limit = 4 * length
+    if not len(count) or count.max() <= limit:
+        return name[start], start, count
     pieces = -(-count // limit)
     which = np.repeat(np.arange(len(start)), pieces)
     step = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -115,6 +122,20 @@ def hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def equal_runs(data: np.ndarray, name: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal stretches together, by place within them, and which ones equal the one before."""
+    key = hashes(data, first, size)  # equal ones are confirmed byte by byte
+    order = np.lexsort((first, key, name))
+    name, key, first, size = name[order], key[order], first[order], size[order]
+    same = np.zeros(len(name), bool)
+    same[1:] = (name[1:] == name[:-1]) & (key[1:] == key[:-1]) & (size[1:] == size[:-1])
+    pair = np.flatnonzero(same)
+    if len(pair):
+        equal = gather(data, first[pair], size[pair]) == gather(data, first[pair - 1], size[pair])
+        same[pair] = np.logical_and.reduceat(equal, np.cumsum(size[pair]) - size[pair])
+    return order, same
+
+
 class Block:
     """The stretches of some documents, and the distinct ones among those of chosen names."""
 
@@ -146,17 +167,9 @@ class Block:
 
     def distinct(self, chosen: np.ndarray) -> None:
         """Sort the chosen stretches into groups of equal bytes; `lead` is the first of each."""
-        name, first, count, doc = (x[chosen] for x in (self.name, self.first, self.count, self.doc))
-        size = count + self.length - 1
-        key = hashes(self.data, first, size)  # equal ones are confirmed byte by byte
-        order = np.lexsort((first, key, name))
-        name, first, count, size, doc, key = (x[order] for x in (name, first, count, size, doc, key))
-        same = np.zeros(len(name), bool)
-        same[1:] = (name[1:] == name[:-1]) & (key[1:] == key[:-1]) & (count[1:] == count[:-1])
-        pair = np.flatnonzero(same)
-        if len(pair):
-            equal = gather(self.data, first[pair], size[pair]) == gather(self.data, first[pair - 1], size[pair])
-            same[pair] = np.logical_and.reduceat(equal, np.cumsum(size[pair]) - size[pair])
+        first, doc = self.first[chosen], self.doc[chosen]
+        order, same = equal_runs(self.data, self.name[chosen], first, self.count[chosen] + self.length - 1)
+        first, doc = first[order], doc[order]
         self.member_first, self.member_doc = first, doc
         self.lead = np.flatnonzero(~same)
         self.times = np.diff(np.append(self.lead, len(first)))
@@ -173,36 +186,35 @@ def by_shard(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(shard[a]), slice(a, b)
 
 
-def ranks(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes at `windows` in order of their first `length` bytes: positions, and whether each equals the one before.
+def suffix_array(data: np.ndarray, length: int) -> np.ndarray:
+    """Positions in order of the `length` bytes from them.
 
-    Larsson-Sadakane: positions carry the number of their group; only groups of several are sorted on.
+    Larsson-Sadakane: positions carry the number of their group; only groups of several are sorted on, by the group
+    `depth` bytes ahead, which doubles the compared bytes.
     """
-    n = len(data)
-    word = words_at(data)
-    order = np.argsort(word, kind="stable")
-    sorted_word = word[order]
-    first = np.concatenate([[True], sorted_word[1:] != sorted_word[:-1]])
-    rank = np.zeros(n + length, np.int64)
+    n, low = len(data), np.uint64(INDEX)
+    mask = np.uint64((1 << INDEX) - 1)
+    # Key and position in one number: sorting numbers is much faster than sorting their order.
+    packed = np.sort((words_at(data) >> np.uint64(24) << low) | np.arange(n, dtype=np.uint64))
+    order, key = (packed & mask).astype(np.int64), packed >> low
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    rank = np.zeros(n + length, np.uint64)
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1
-    del word, sorted_word
-    depth = 8
+    depth = 5
     while depth < length:
         step = min(depth, length - depth)
-        last = np.append(first[1:], True)
-        tied = np.flatnonzero(~(first & last))
+        tied = np.flatnonzero(~(first & np.append(first[1:], True)))
         if not len(tied):
             break
         at = order[tied]
-        own, ahead = rank[at], rank[at + step]
-        by = np.lexsort((ahead, own))
-        at, own, ahead = at[by], own[by], ahead[by]
-        order[tied] = at
-        new = np.concatenate([[True], (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])])
+        packed = np.sort((rank[at] << (low + low)) | (rank[at + step] << low) | at.astype(np.uint64))
+        order[tied] = at = (packed & mask).astype(np.int64)
+        key = packed >> low
+        new = np.concatenate([[True], key[1:] != key[:-1]])
         first[tied] = new
         rank[at] = tied[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] + 1
         depth += step
-    return order, rank
+    return order
 
 
 def kasai(data: np.ndarray, start: np.ndarray, count: np.ndarray, before: np.ndarray, place: np.ndarray,
@@ -242,7 +254,7 @@ def sorted_windows(data: np.ndarray, start: np.ndarray, count: np.ndarray, low:
     """Classes of equal windows in one suffix array: class of each window (stretch by stretch); first document
     and one position of each class, in the order of their bytes."""
     where = np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
-    order, _ = ranks(data, where, length)
+    order = suffix_array(data, length)
     slot = np.full(len(data), -1, np.int64)
     slot[where] = np.arange(len(where))
     seq = order[slot[order] >= 0]  # windows alone, in suffix order
@@ -291,14 +303,22 @@ def shard_answers(name, low, high, count, data, length: int) -> tuple[np.ndarray
         return np.empty(0, np.int64), np.empty(0, np.int64)
     size = count + length - 1
     offset = np.cumsum(size) - size
-    runs, cut = [], np.cumsum(size[kept]) // SHARD
+    # Blocks send the same stretch again; one of each goes into the arrays, under the first of its documents.
+    order, same = equal_runs(data, name[kept], offset[kept], size[kept])
+    kept, lead = kept[order], np.flatnonzero(~same)
+    one, group = kept[lead], np.cumsum(~same) - 1
+    first_low = np.minimum.reduceat(low[kept], lead)
+    runs, cut = [], np.cumsum(size[one]) // SHARD
     for c in range(int(cut[-1]) + 1):
-        part = kept[cut == c]
+        part = np.flatnonzero(cut == c)
         if len(part):
-            own = gather(data, offset[part], size[part])
-            start = np.cumsum(size[part]) - size[part]
-            runs.append((own, *sorted_windows(own, start, count[part], low[part], length)))
-    return kept, np.concatenate(merged(runs, length) if len(runs) > 1 else [first[klass] for _, klass, first, _ in runs])
+            own = gather(data, offset[one[part]], size[one[part]])
+            start = np.cumsum(size[one[part]]) - size[one[part]]
+            runs.append((own, *sorted_windows(own, start, count[one[part]], first_low[part], length)))
+    found = np.concatenate(merged(runs, length) if len(runs) > 1 else [first[klass] for _, klass, first, _ in runs])
+    windows, each = np.cumsum(count[one]) - count[one], count[kept]
+    at = np.arange(int(each.sum())) + np.repeat(windows[group] - (np.cumsum(each) - each), each)
+    return kept, found[at]
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:

@@ -10,7 +10,7 @@ number of combinations; a rule still matches anywhere in a URL.
 
 Defined results: a null URL or one without `://` has an empty host and path, no rule and no tokens, and is allowed.
 Labels that are null count as good. Pages without labels train nothing; without labelled pages nothing is
-blocked by the method. Repeated pages and labels count as often as they stand there, and are each judged.
+blocked by the method. Columns named like the result's are replaced. Repeated pages and labels count as often as they stand there, and are each judged.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     """
     known = labels.select(F.col(label_key).alias(key), (F.coalesce(F.col("quality") == 0, F.lit(False))
                                                         | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad"))
-    full = parsed(pages)
+    full = parsed(pages.drop("host", "path", "rule", "verdict", "matched"))
     labelled = full.select(key, "url", "host", "path").join(known, key).select(tokens().alias("tokens"), "bad")
     mined = mine(labelled, **limits)
     # Equal URLs are looked up once; the hot ones are combined before they are shuffled.
