@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import clean_text, collapse_spaces, parse_number, parse_utc, title_case
 from ledgerloom.functions.hashing import TIMESTAMP_FORMAT, business_hash
 from ledgerloom.functions.money import add_amounts
 from ledgerloom.operators import contract, curate, merge, staging
+from ledgerloom.operators.median import exact_median
 from ledgerloom.operators.rules import not_in
 from ledgerloom.operators.versions import duplicate_keys, duplicate_members, superseded
 from ledgerloom.plans import formats, rawtext, report, tables
@@ -217,9 +218,32 @@ def source_fingerprints(spark, sf_dir):
 
 @query
 def source_changes(spark, sf_dir):
-    """Landing check: a second fingerprint of unchanged sources differs nowhere."""
-    seen = [file_fingerprints(spark, sf_dir).withColumn("dataset", F.lit("tables")) for _ in range(2)]
-    return changed_files(*seen).agg(F.count(F.lit(1)).alias("changed_files"))
+    """Landing check: files that are gone, new or of other bytes, between two states of one source."""
+    seen = [_bucket_fingerprints(spark, path(spark, sf_dir)).withColumnRenamed("bucket", "file").withColumn(
+        "dataset", F.lit("products")) for path in (rawtext.products_json, rawtext.products_json_later)]
+    return changed_files(*seen).select(F.col("file").alias("bucket"), "recorded_sha256", "current_sha256")
+
+
+def _bucket_fingerprints(spark, path) -> DataFrame:
+    bucket = F.regexp_extract("file", "bucket=([^/]+)/", 1).alias("bucket")
+    return file_fingerprints(spark, path).select(bucket, "bytes", "sha256")
+
+
+@query
+def written_fingerprints(spark, sf_dir):
+    """Byte size and SHA-256 of files whose bytes follow from the tables."""
+    return _bucket_fingerprints(spark, rawtext.products_json(spark, sf_dir))
+
+
+@query
+def superseded_copies(spark, sf_dir):
+    """Superseded versions among rows with nulls, of which a third are there twice."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("line"),
+        F.when(F.col("l_quantity") > 10, F.col("l_quantity")).alias("quantity"), "l_partkey")
+    copied = lines.unionByName(lines.where("l_orderkey % 3 = 0"))
+    order = [F.col("quantity").desc_nulls_last(), F.col("l_partkey").desc()]
+    return superseded(copied, ["l_orderkey", "line"], order)
 
 
 # ------------------------------------------------------------------ text, time, number, JSON
@@ -590,7 +614,9 @@ def misfiled_rows(spark, sf_dir):
 def month_read_comparison(spark, sf_dir):
     rows = _written(spark, sf_dir, "curated", tables.curated_lines)
     compared = formats.compare_month_reads(rows, scratch_path(spark, "month-reads"), YEAR, MONTH, repeats=1)
-    return compared.select("scenario", "partition_key", "row_count")
+    whole = F.max("bytes_in_files_read").over(Window.partitionBy(F.lit(0)))  # four rows
+    fewer = (F.col("bytes_in_files_read") > 0) & (F.col("bytes_in_files_read") < whole)
+    return compared.select("scenario", "partition_key", "row_count", fewer.alias("reads_less"))
 
 
 # ------------------------------------------------------------------ formats
@@ -613,7 +639,7 @@ def format_row_sets(spark, sf_dir):
 def format_comparison(spark, sf_dir):
     rows = _written(spark, sf_dir, "curated", tables.curated_lines)
     results = formats.compare_formats(rows, scratch_path(spark, "compare"), "1-URGENT", repeats=1)
-    return results.select("storage_type", "row_count", "filtered_row_count")
+    return results.select("storage_type", "row_count", "filtered_row_count", (F.col("stored_bytes") > 0).alias("has_bytes"), "dtypes")
 
 
 @query
@@ -638,8 +664,8 @@ def status_filter_scan(spark, sf_dir):
 
 @query
 def median_measurements(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.round(F.median("value"), 6).alias("median_value"))
+    medians = exact_median(table(spark, sf_dir, "events"), "event_type", "value")
+    return medians.select("event_type", F.round("median", 6).alias("median_value"))
 
 
 # ------------------------------------------------------------------ history

@@ -532,7 +532,8 @@ SELECT year(o_orderdate) AS order_year, month(o_orderdate) AS order_month, count
   WHERE date_trunc('month', o_orderdate) <> date_trunc('month', l_shipdate)) AS misfiled, count(*) AS row_count
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
 ORACLES["month_read_comparison"] = f"""
-SELECT scenario, 'order_year=1998/order_month=3' AS partition_key, row_count
+SELECT scenario, 'order_year=1998/order_month=3' AS partition_key, row_count,
+  scenario IN ('partition_filter', 'month_directory') AS reads_less
 FROM (SELECT unnest(['read_all_then_filter', 'time_predicate', 'partition_filter', 'month_directory']) AS scenario),
   (SELECT count(*) AS row_count FROM ({CURATED})
    WHERE year(order_timestamp) = 1998 AND month(order_timestamp) = 3)"""
@@ -541,12 +542,33 @@ ORACLES["format_row_sets"] = f"""
 SELECT storage_type, row_count, hashes, first_hash FROM {_FORMATS},
   (SELECT count(*) AS row_count, count(DISTINCT record_hash) AS hashes, min(record_hash) AS first_hash
    FROM ({CURATED}))"""
+_SHOWN = {
+    "csv": "order_id:string quantity:string unit_price:string net_amount:string order_timestamp:string",
+    "typed": "order_id:string quantity:bigint unit_price:decimal(14,2) net_amount:decimal(16,2) order_timestamp:timestamp",
+}
 ORACLES["format_comparison"] = f"""
-SELECT storage_type, row_count, filtered_row_count FROM {_FORMATS},
+SELECT storage_type, row_count, filtered_row_count, true AS has_bytes, CASE storage_type WHEN 'csv' THEN '{_SHOWN["csv"]}'
+  ELSE '{_SHOWN["typed"]}' END AS dtypes FROM {_FORMATS},
   (SELECT count(*) AS row_count, count(*) FILTER (WHERE status = '1-URGENT') AS filtered_row_count FROM ({CURATED}))"""
 ORACLES["median_measurements"] = """
 SELECT event_type, round(median(value), 6) AS median_value FROM events GROUP BY 1"""
-ORACLES["source_changes"] = "SELECT 0 AS changed_files"
+_ARRAYS = f"""
+SELECT lpad(CAST(p_partkey // 1000 AS VARCHAR), 9, '0') AS bucket, p_partkey // 1000 AS b,
+  '[' || string_agg(record, ',' || chr(10) || ' ' ORDER BY p_partkey, version) || ']' AS value
+FROM ({RAW_PRODUCTS}) GROUP BY ALL"""
+ORACLES["written_fingerprints"] = f"""
+SELECT bucket, strlen(value) + 1 AS bytes, sha256(value || chr(10)) AS sha256 FROM ({_ARRAYS})"""
+ORACLES["source_changes"] = f"""
+SELECT bucket, sha256(value || chr(10)) AS recorded_sha256,
+  CASE WHEN b > 0 THEN sha256(value || ' ' || chr(10)) END AS current_sha256
+FROM ({_ARRAYS}) WHERE b = 0 OR b % 2 = 1
+UNION ALL SELECT 'n', NULL, sha256('[' || count(*) || ']' || chr(10)) FROM region"""
+ORACLES["superseded_copies"] = """
+SELECT l_orderkey, line, quantity, l_partkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, line ORDER BY quantity DESC NULLS LAST, l_partkey DESC) AS rn FROM (
+    SELECT l_orderkey, CASE WHEN l_linenumber < 7 THEN l_linenumber END AS line,
+      CASE WHEN l_quantity > 10 THEN l_quantity END AS quantity, l_partkey
+    FROM lineitem, (SELECT unnest([1, 2]) AS copy) WHERE copy = 1 OR l_orderkey % 3 = 0)) WHERE rn > 1"""
 
 # ------------------------------------------------------------------ history
 

@@ -143,6 +143,18 @@ def products_json(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "products-json", write)
 
 
+def products_json_later(spark: SparkSession, sf_dir: str) -> str:
+    """The same files after a change: the first is gone, every second one of the others ends in a blank, one is new."""
+    def write(path: str) -> None:
+        files = spark.read.text(products_json(spark, sf_dir), wholetext=True).where("bucket > 0")
+        text = F.concat(F.rtrim("value", F.lit("\n")), F.when(F.col("bucket") % 2 == 1, F.lit(" ")).otherwise(F.lit("")))
+        new = table(spark, sf_dir, "region").agg(F.concat(F.lit("["), F.count(F.lit(1)), F.lit("]")).alias("value"))
+        kept = files.select(F.lpad(F.col("bucket").cast("string"), 9, "0").alias("bucket"), text.alias("value"))
+        kept.unionByName(new.select(F.lit("n").alias("bucket"), "value")).repartition("bucket").write.partitionBy("bucket").text(path)
+
+    return once(spark, sf_dir, "products-json-later", write)
+
+
 def products_json_lines(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         raw_text(spark, sf_dir, "products").orderBy("p_partkey", "version").select("record").write.text(path)
@@ -151,9 +163,9 @@ def products_json_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> list[Source]:
-    return [Source("customers", customers_csv(spark, sf_dir), "csv"),
+    return [Source("customers", customers_csv(spark, sf_dir), "csv_lines", CUSTOMER_SOURCE),
             Source("products", products_json(spark, sf_dir), "json"),
-            Source("orders", orders_csv(spark, sf_dir), "csv")]
+            Source("orders", orders_csv(spark, sf_dir), "csv_lines", ORDER_SOURCE)]
 
 
 def numbered(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:

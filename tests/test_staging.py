@@ -99,3 +99,43 @@ def test_classification_is_one_shuffle_with_map_side_limit(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert classified.count() == 2
     assert classified.where(F.col("order_id") == "HOT").first()["source_record_number"] == 50
+
+
+def test_superseded_counts_nulls_and_copies(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators.versions import superseded
+
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("a", 2, None), (None, 1, "x"), (None, 1, "x"), ("b", 1, "y")],
+                               "k string, v int, w string")
+    got = superseded(df, ["k"], [F.col("v").desc(), F.col("w").desc()])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("a", 1, None), ("a", 2, None), (None, 1, "x")], key=repr)
+
+
+def test_a_lost_record_is_caught(spark):
+    import pytest
+
+    from ledgerloom.errors import ContractViolation
+    from ledgerloom.plans.report import reconciliation, require_reconciled
+
+    raw = spark.createDataFrame([("orders", 5)], "dataset string, raw bigint")
+    routes = spark.createDataFrame([("orders", "staged", 3)], "dataset string, route string, row_count bigint")
+    replaced = spark.createDataFrame([("orders", 1)], "dataset string, superseded bigint")
+    with pytest.raises(ContractViolation, match="1 of 5 raw records"):
+        require_reconciled(reconciliation(raw, routes, replaced))
+
+
+def test_exact_median(spark):
+    import random
+    import statistics
+
+    from ledgerloom.operators.median import exact_median
+
+    rng, data = random.Random(5), []
+    for g, n in (("a", 1), ("b", 2), ("c", 999), ("d", 1000), (None, 7)):
+        data += [(g, rng.choice([rng.gauss(0, 1), 3.0, 1e9])) for _ in range(n)]
+    data += [("c", None), ("e", None)]
+    got = {r["g"]: r["median"] for r in exact_median(spark.createDataFrame(data, "g string, v double"), "g", "v").collect()}
+    for g in ("a", "b", "c", "d", None):
+        assert got[g] == statistics.median([v for k, v in data if k == g and v is not None])
+    assert got["e"] is None
