@@ -38,7 +38,8 @@ PART = 8 << 20  # bytes of text in a partition
 
 
 def patterns() -> tuple[str, str]:
-    return r"[^\p{L}\p{N}]+", " (?:(?:" + "|".join(dict.fromkeys(ANCHORS)) + ") )+"
+    """What separates words, and an anchor between its spaces. Neither repeats a group, which Java matches by recursion."""
+    return r"[^\p{L}\p{N}]+", " (?:" + "|".join(dict.fromkeys(ANCHORS)) + ") "
 
 
 def bound(value: Column, use) -> Column:
@@ -49,21 +50,22 @@ def bound(value: Column, use) -> Column:
 def signatures(text: Column, chain: int = CHAIN) -> Column:
     """The sorted set of signatures of a text without nulls."""
     other, anchors = patterns()
-    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), other, " "), F.lit(" "))
+    # Two spaces between words, so that each has its own; then an anchor is a mark in front of the next word.
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), other, "  "), F.lit(" "))
 
     def own(marked: Column, words: Column) -> Column:
         every = ~F.contains(marked, F.lit("~"))
 
         def chained(w: Column, i: Column) -> Column:
             rest = [F.try_element_at(words, (i + k).cast("int")) for k in range(2, chain + 1)]
-            return F.when(every | F.startswith(w, F.lit("~")), F.translate(F.concat_ws(" ", w, *rest), "~", ""))
+            return F.when(every | F.startswith(w, F.lit("~")), F.trim(F.translate(F.concat_ws(" ", w, *rest), "~", "")))
 
         chains = F.filter(F.transform(words, chained), lambda c: c.isNotNull() & (c != ""))
         return F.array_distinct(F.transform(chains, lambda c: F.substring(F.md5(c), 1, DIGITS)))
 
     found = bound(
-        F.regexp_replace(F.regexp_replace(spaced, " +", " "), anchors, " ~"),
-        lambda marked: bound(F.split(F.trim(marked), " "), lambda words: own(marked, words)),
+        F.replace(F.regexp_replace(spaced, anchors, " ~ "), F.lit("~  "), F.lit("~")),
+        lambda marked: bound(F.split(F.trim(marked), "  "), lambda words: own(marked, words)),
     )
     whole = F.when(text == "", F.array().cast("array<string>")).otherwise(F.array(F.substring(F.md5(text), 1, DIGITS)))
     return F.array_sort(bound(found, lambda f: F.when(F.size(f) > 0, f).otherwise(whole)))
@@ -148,16 +150,16 @@ def sql(chain: int = CHAIN) -> str:
     other, anchors = patterns()
 
     def marked(t: str) -> str:
-        return (f"regexp_replace(regexp_replace(' ' || regexp_replace(lower({t}), '{other}', ' ', 'g') || ' ', ' +', ' ', 'g'), "
-                f"'{anchors}', ' ~', 'g')")
+        return (f"replace(regexp_replace(' ' || regexp_replace(lower({t}), '{other}', '  ', 'g') || ' ', "
+                f"'{anchors}', ' ~ ', 'g'), '~  ', '~')")
 
     def sets(t: str, m: str) -> str:
         rest = ", ".join(f"c[i + {k}]" for k in range(1, chain))
         return (f"""(SELECT CASE WHEN len(f) > 0 THEN list_sort(f) WHEN {t} = '' THEN []::VARCHAR[]
                 ELSE [substr(md5({t}), 1, {DIGITS})] END FROM (SELECT list_distinct([substr(md5(x), 1, {DIGITS}) FOR x IN
                 list_transform(c, lambda w, i: CASE WHEN NOT contains({m}, '~') OR starts_with(w, '~')
-                THEN replace(concat_ws(' ', w, {rest}), '~', '') END) IF x IS NOT NULL AND x <> '']) f
-                FROM (SELECT string_split(trim({m}), ' ') c)))""")
+                THEN trim(replace(concat_ws(' ', w, {rest}), '~', ''), ' ') END) IF x IS NOT NULL AND x <> '']) f
+                FROM (SELECT string_split(trim({m}, ' '), '  ') c)))""")
 
     def jaccard(a: str, b: str) -> str:
         both = f"len(list_intersect({a}, {b}))"
