@@ -28,6 +28,11 @@ def parts(df: DataFrame, rows_or_bytes: int, each: int) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows_or_bytes // each))
 
 
+def small(keys: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Marked for broadcast if it has at most `rows` rows (of a few numbers each); else joined as the planner sees fit."""
+    return F.broadcast(keys) if keys.count() <= rows else keys
+
+
 def total_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
 

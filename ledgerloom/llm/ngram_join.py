@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -30,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import parts, slices, stored
+from ledgerloom.llm.common import parts, slices, small, stored
 from ledgerloom.llm.components import components
 
-BINS = 128  # parts of the universe whose shingles the histograms count
+BINS = 128  # least number of parts of the universe whose shingles a histogram counts; large sets have size / 4
 TILE = 1024  # sets compared at once within a bucket
 
 
@@ -127,6 +128,35 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(mix(tokens))), int(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D))))
 
 
+def histogram(tokens: np.ndarray) -> bytes:
+    """Shingles by the top bits of their hashes, one byte a part. Parts are a power of two, so that any two histograms
+    can be folded to one size; counts above 255 stop there, which only hides differences."""
+    bits = max(BINS.bit_length() - 1, (len(tokens) // 4).bit_length() - 1)
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def folded(bins: list[bytes], parts: int) -> np.ndarray:
+    """Histograms as rows of `parts` numbers each."""
+    out, size = np.empty((len(bins), parts), np.int32), np.array([len(b) for b in bins])
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        rows = np.frombuffer(b"".join(bins[i] for i in at), np.uint8).reshape(len(at), parts, n // parts)
+        out[at] = rows.sum(2, dtype=np.int32)
+    return out
+
+
+def gaps(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """Least number of shingles in which the sets of each pair of histograms differ."""
+    size, out = np.array([min(len(a), len(b)) for a, b in zip(one, two)], np.int64), np.zeros(len(one), np.int64)
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        for k in range(0, len(at), max(1, (4 << 20) // int(n))):
+            part = at[k : k + max(1, (4 << 20) // int(n))]
+            out[part] = np.abs(folded([one[i] for i in part], n) - folded([two[i] for i in part], n)).sum(1)
+    return out
+
+
 def sketches(docs: DataFrame, n: int) -> DataFrame:
     """Per row of (doc_id, text): set size, set identity and histogram."""
     schema = T.StructType([
@@ -141,8 +171,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                 tokens = hashed(text or "", n)
                 sizes.append(len(tokens))
                 sets.append(identity(tokens))
-                counts = np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=BINS)
-                bins.append(np.minimum(counts, 65535).astype("<u2").tobytes())
+                bins.append(histogram(tokens))
             longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sizes, *zip(*sets))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(bins, pa.binary())], schema.fieldNames())
 
@@ -219,10 +248,6 @@ def possible(sizes: np.ndarray, others: np.ndarray, apart: np.ndarray, t: float)
     return (low >= t * high - 1e-6) & (apart <= (1 - t) / (1 + t) * (sizes + others) + 1e-6)
 
 
-def counted(bins) -> np.ndarray:
-    return np.frombuffer(b"".join(bins), "<u2").reshape(-1, BINS).astype(np.int32)
-
-
 PAIR = "a long, b long"
 
 
@@ -235,8 +260,8 @@ def hub_pairs(members: DataFrame, t: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = counted(batch.column("bins").to_pylist()), counted(batch.column("other").to_pylist())
-            ok = possible(batch.column("n_shingles").to_numpy(), batch.column("size").to_numpy(), np.abs(x - y).sum(1), t)
+            apart = gaps(batch.column("bins").to_pylist(), batch.column("other").to_pylist())
+            ok = possible(batch.column("n_shingles").to_numpy(), batch.column("size").to_numpy(), apart, t)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return rows.mapInArrow(run, PAIR).distinct()
@@ -250,9 +275,10 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key")
         key, node, group = (rows[c].to_numpy() for c in ("key", "node", "group"))
-        size, bins, out = rows["n_shingles"].to_numpy(), counted(rows["bins"]), [np.empty((0, 2), np.int64)]
+        size, bins, out = rows["n_shingles"].to_numpy(), rows["bins"].tolist(), [np.empty((0, 2), np.int64)]
         edges = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key))
-        for start, stop in zip(edges[:-1], edges[1:]):
+        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            least = min(map(len, bins[start:stop]))
             for i in range(start, stop, TILE):
                 for j in range(i, stop, TILE):
                     p, q = np.arange(i, min(stop, i + TILE)), np.arange(j, min(stop, j + TILE))
@@ -261,9 +287,12 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
                         apart &= p[:, None] < q[None, :]
                     apart &= possible(size[p, None], size[None, q], 0, t)
                     x, y = np.nonzero(apart)
-                    for k in range(0, len(x), 50_000):
-                        u, v = p[x[k : k + 50_000]], q[y[k : k + 50_000]]
-                        ok = possible(size[u], size[v], np.abs(bins[u] - bins[v]).sum(1), t)
+                    one, two = folded(bins[i : i + len(p)], least), folded(bins[j : j + len(q)], least)
+                    step = max(1, (4 << 20) // least)
+                    for k in range(0, len(x), step):
+                        u, v = p[x[k : k + step]], q[y[k : k + step]]
+                        least_gap = np.abs(one[x[k : k + step]] - two[y[k : k + step]]).sum(1)
+                        ok = possible(size[u], size[v], least_gap, t)
                         out.append(np.stack([node[u[ok]], node[v[ok]]], 1))
         return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
 
@@ -274,14 +303,17 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
-    """The pairs of ids whose shingle sets are linked. Rows of one id are all tried."""
+    """The (written) pairs of ids whose shingle sets are linked. Rows of one id are all tried."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    docs = docs.join(small(ids), "doc_id", "left_semi")  # else the texts of all documents would be shuffled
     num, den = int(round(t * 10**6)), 10**6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        known = lru_cache(maxsize=64)(partial(shingles, n=n))  # hubs come again and again
+        for batch in slices(batches, "x", 4 << 20):
             ok = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                p, q = shingles(x or "", n), shingles(y or "", n)
+                p, q = known(x or ""), known(y or "")
                 both = len(p & q)
                 ok.append(den * both >= num * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -293,10 +325,15 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
 
 def one_of_each(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay if each group keeps its smallest id, once. Rows without an id all stay."""
-    groups = ngram_groups(docs, t, n, key, text)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    named = docs.filter(F.col(key).isNotNull()).join(stay, key, "left_semi").dropDuplicates([key])
-    return named.unionByName(docs.filter(F.col(key).isNull()))
+    groups = stored(ngram_groups(docs, t, n, key, text), "groups")
+    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    left = docs.join(small(gone), key, "left_anti")
+    again = groups.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).count().filter("count > 1").select(key)
+    if again.isEmpty():
+        return left
+    # Only ids of several rows are shuffled to keep one of them.
+    again = small(stored(again, "repeated-ids"))
+    return left.join(again, key, "left_anti").unionByName(left.join(again, key, "left_semi").dropDuplicates([key]))
 
 
 def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,12 +355,12 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
     members = stored(buckets.select("key", "node").join(weight.join(sets.select("node", "n_shingles", "bins"), "node"), "node"), "members")
 
-    links = stored(verified(hub_pairs(members, t), docs, t, n), "links")
+    links = stored(verified(stored(hub_pairs(members, t), "hub-pairs"), docs, t, n), "links")
     groups = components(links).select("node", F.col("component").alias("group"))
     grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     open_keys = grouped.groupBy("key").agg(F.min("group").alias("p"), F.max("group").alias("q")).filter("p < q").select("key")
     more = cross_pairs(stored(grouped.join(open_keys, "key"), "open"), t)
-    links = links.unionByName(verified(more, docs, t, n))
+    links = links.unionByName(verified(stored(more, "cross-pairs"), docs, t, n))
 
     # Equal ids of different sets, and sets of equal documents, tie nodes together as links do.
     same = nodes.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
