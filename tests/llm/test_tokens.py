@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from brute import rows, sha
@@ -17,6 +18,9 @@ ODD = [" ", "  ", "\n", "a", "b", "the", "'s", "'", "é", "▁", "\t", "　", "x
        "​", "<s>", "<unk>", "<0x41>", "<|endoftext|>", ",", "é."]
 
 
+TABLE = pq.read_table(f"{SF}/documents.parquet").to_pylist()
+
+
 def odd_texts(n, seed):
     rng = random.Random(seed)
     return ["".join(rng.choice(ODD) for _ in range(rng.randrange(13))) for _ in range(n)] + ["", " ", "x" * 30_000, "word " * 5_000]
@@ -66,8 +70,10 @@ def test_tables_with_nulls_and_clashing_columns(spark):
 
 def test_words_are_the_vocabulary():
     encode = packing.Words(VOCABULARY)
-    for text in odd_texts(4000, 2):
-        assert encode(text) == (encode.direct([text])[0] if text else b""), repr(text[:50])
+    for text in odd_texts(4000, 2) + [r["text"] or "" for r in TABLE]:
+        assert encode(text) == encode.direct(text), repr(text[:50])
+    words = sorted({w for r in TABLE for w in (r["text"] or "").split()})
+    assert all(encode.word(" " + w) == encode.direct(" " + w) for w in words)
 
 
 def test_op5_holds_every_id_once(spark):
