@@ -16,9 +16,9 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     that range are then ranked, equal ones as one row. No task holds the values of a group.
     """
     rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-    ends = rows.groupBy("g").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
-    same = rows["g"].eqNullSafe(ends["g"])
-    ranged = rows.join(ends, same).select(ends["g"], "v", "n", _range_of("v", "low", "high").alias("r")).where("v IS NOT NULL")
+    ends = rows.groupBy(F.col("g").alias("eg")).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+    met = rows.where("v IS NOT NULL").join(ends, F.col("g").eqNullSafe(F.col("eg")))
+    ranged = met.select("g", "v", "n", _range_of("v", "low", "high").alias("r"))
 
     counts = ranged.groupBy("g", "n", "r").agg(F.count(F.lit(1)).alias("here"))
     before = Window.partitionBy("g").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
@@ -28,14 +28,14 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     holds = [(F.col("before") <= m) & (m < F.col("before") + F.col("here")) for m in (first, second)]
     middle = placed.where(holds[0] | holds[1]).select(F.col("g").alias("mg"), F.col("r").alias("mr"), "before")
 
-    inside = ranged.join(middle, ranged["g"].eqNullSafe(middle["mg"]) & (F.col("r") == F.col("mr")))
+    inside = ranged.join(middle, F.col("g").eqNullSafe(F.col("mg")) & (F.col("r") == F.col("mr")))
     values = inside.groupBy("g", "n", "r", "before", "v").agg(F.count(F.lit(1)).alias("copies"))
     smaller = Window.partitionBy("g", "r").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = values.withColumn("rank", F.col("before") + F.coalesce(F.sum("copies").over(smaller), F.lit(0)))
     at = [F.max(F.when((F.col("rank") <= m) & (m < F.col("rank") + F.col("copies")), F.col("v"))) for m in (first, second)]
     found = ranked.groupBy("g").agg(((at[0] + at[1]) / 2).alias("m"))
-    return ends.join(found.withColumnRenamed("g", "fg"), F.col("g").eqNullSafe(F.col("fg")), "left").select(
-        F.col("g").alias(group), F.col("m").alias("median"))
+    return ends.select("eg").join(found, F.col("g").eqNullSafe(F.col("eg")), "left").select(
+        F.col("eg").alias(group), F.col("m").alias("median"))
 
 
 def _range_of(value: str, low: str, high: str) -> Column:

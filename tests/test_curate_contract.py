@@ -126,5 +126,5 @@ def test_table_checks(curated):
 
 def test_row_set_equality(curated):
     contract.require_same_rows(curated, curated, "same")
-    with pytest.raises(AssertionError, match="2 rows read, 1 expected"):
+    with pytest.raises(ContractViolation, match="holds 2 of 1 rows"):
         contract.require_same_rows(curated, curated.unionByName(curated), "twice")
