@@ -32,7 +32,7 @@ HINTS = {
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = "[A-Za-z0-9+/_=-]+"
 TOKEN_LENGTH = 20  # shortest token that the models judge
-MARGIN = 1.0  # nats per step
+MARGIN = 0.5  # nats per step: ten for the shortest token
 SAMPLE_DOCS = 5000  # labelled documents that training reads at most
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
