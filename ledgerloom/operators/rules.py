@@ -100,7 +100,8 @@ def order_rules(raw: ShownOrder) -> list[Rule]:
     lo, hi = raw.limits.min_quantity, raw.limits.max_quantity
     qty, price, pct = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
     cents = F.rint(price * 100)
-    too_large = (cents >= 10.0**PRICE_DIGITS) | (cents * qty >= 10.0**AMOUNT_DIGITS)
+    amount = F.when(qty.between(lo, hi), cents * qty)  # of a quantity that is none, another rule speaks
+    too_large = (cents >= 10.0**PRICE_DIGITS) | (amount >= 10.0**AMOUNT_DIGITS)
     return [
         Rule("missing_customer_id", F.col("customer_id").isNull(), F.lit("customer_id is blank")),
         Rule("missing_product_id", F.col("product_id").isNull(), F.lit("product_id is blank")),

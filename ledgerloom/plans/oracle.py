@@ -544,7 +544,7 @@ SELECT storage_type, row_count, hashes, first_hash FROM {_FORMATS},
    FROM ({CURATED}))"""
 _SHOWN = {
     "csv": "order_id:string quantity:string unit_price:string net_amount:string order_timestamp:string",
-    "typed": "order_id:string quantity:bigint unit_price:decimal(14,2) net_amount:decimal(16,2) order_timestamp:timestamp",
+    "typed": "order_id:string quantity:bigint unit_price:decimal(14,2) net_amount:decimal(16,2) order_timestamp:timestamp_ntz",
 }
 ORACLES["format_comparison"] = f"""
 SELECT storage_type, row_count, filtered_row_count, true AS has_bytes, CASE storage_type WHEN 'csv' THEN '{_SHOWN["csv"]}'
