@@ -8,6 +8,8 @@ pre-aggregated, and row-level joins go against one row per key, which adaptive e
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,19 +26,16 @@ def latest_version(df: DataFrame, keys: Sequence[str | Column], newest_first: Se
 def superseded(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """Every row but the latest version of its key; of equal copies of the latest, all but one.
 
-    Copies are counted first, so a hot key's copies are one row a task; the join meets one winner per key, and adaptive
-    execution splits a hot key there. Nulls are values like any other.
+    Copies are counted first, so they are one row a task. Winners are found again by all their columns, not by key, so the
+    versions of a hot key spread over all tasks. Nulls are values like any other.
     """
     columns = df.columns
     copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    winners = latest_version(df, keys, newest_first).select(*[F.col(c).alias(f"_w_{c}") for c in columns])
-    of_key = [copies[k].eqNullSafe(winners[f"_w_{k}"]) for k in keys]
-    met = copies.join(winners, of_key)
-    is_winner = F.lit(True)
-    for c in columns:
-        is_winner = is_winner & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
-    left = F.col("_copies") - is_winner.cast("bigint")
-    return met.withColumn("_n", F.explode(F.when(left > 0, F.sequence(F.lit(1).cast("bigint"), left)))).select(*columns)
+    won = latest_version(df, keys, newest_first).select(*[F.col(c).alias(f"_w_{c}") for c in columns], F.lit(1).alias("_won"))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in columns))
+    left = F.col("_copies") - F.coalesce("_won", F.lit(0))
+    met = copies.join(won, same, "left").where(left > 0)
+    return met.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), left))).select(*columns)
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

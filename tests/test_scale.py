@@ -46,13 +46,13 @@ def test_hot_key_dedup_keeps_exactly_the_newest(spark):
     expected = df.groupBy("k").agg(F.max_by("n", F.struct("v", "n")).alias("n"))
     assert latest.select("k", "n").exceptAll(expected.select("k", "n")).isEmpty()
     assert latest.count() == expected.count()
-    rest = superseded(df, ["k"], order, ["k", "v", "n"])
+    rest = superseded(df, ["k"], order)
     assert rest.count() + latest.count() == df.count()
 
 
 def test_superseded_rows_of_a_hot_key_spread_over_tasks(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
-    rest = superseded(skewed(spark), ["k"], [F.col("v").desc(), F.col("n").desc()], ["k", "v", "n"])
+    rest = superseded(skewed(spark), ["k"], [F.col("v").desc(), F.col("n").desc()])
     sizes = [r["c"] for r in rest.groupBy(F.spark_partition_id().alias("p")).agg(
         F.count(F.lit(1)).alias("c")).collect()]
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
