@@ -37,7 +37,7 @@ def total_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about `limit` bytes of one column, and at least one row."""
     for batch in batches:
         offset = 0
@@ -47,6 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
                 count = (count + 1) // 2
             yield batch.slice(offset, count)
             offset += count
+        pa.default_memory_pool().release_unused()  # workers live on and would keep what their largest batch took
 
 
 def ragged(values, lengths, kind: pa.DataType) -> pa.Array:

@@ -296,7 +296,7 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
                         out.append(np.stack([node[u[ok]], node[v[ok]]], 1))
         return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
 
-    n = parts(grouped, grouped.count(), 20_000)
+    n = parts(grouped, grouped.count(), 5_000)
     slots = grouped.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(n)))
     pairs = slots.repartition(n, "slot").groupBy("slot").applyInPandas(run, PAIR)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -309,8 +309,8 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
     num, den = int(round(t * 10**6)), 10**6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lru_cache(maxsize=64)(partial(shingles, n=n))  # hubs come again and again
-        for batch in slices(batches, "x", 4 << 20):
+        known = lru_cache(maxsize=4)(partial(shingles, n=n))  # hubs come again and again
+        for batch in slices(batches, "x"):
             ok = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 p, q = known(x or ""), known(y or "")

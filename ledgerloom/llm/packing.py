@@ -28,7 +28,7 @@ from ledgerloom.llm.common import parts, slices
 
 CAPACITY = 2048
 GROUP_ROWS = 4000
-CACHE_ENTRIES = 1_000_000  # distinct words that a worker remembers; the table then starts anew
+CACHE_ENTRIES = 500_000  # distinct words that a worker remembers; the table then starts anew
 
 
 # Fixed value: how the vocabulary's byte-level model splits a text before it merges.
