@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import ragged, slices
 
 MARK = "▁"
-CACHE_ENTRIES = 700_000  # distinct chunks that a worker remembers; the table then starts anew
+CACHE_ENTRIES = 1_000_000  # distinct chunks that a worker remembers; the table then starts anew
 BREAK = re.compile("(?<! ) (?! )")
 
 
@@ -119,6 +119,12 @@ class Encoder:
         )
         self.known: dict[str, bytes] = {}
         self.odd: dict[str, str] = {}  # chunks that decode to something else
+        # Only unknown, control and byte pieces can decode to other than what they stand for.
+        plain = pb.ModelProto.SentencePiece.NORMAL
+        self.special = {i for i, p in enumerate(model.pieces) if p.type != plain}
+        # Marks that no piece holds behind a letter or digit: a word and such a mark at its end are encoded apart.
+        inside = {c for t in texts for b, c in zip(t, t[1:]) if b.isalnum()}
+        self.tails = {c: array("i", self.inner.encode("a" + c)[1:]).tobytes() for c in ",." if c not in inside}
 
     def pieces(self, normal: str) -> np.ndarray:
         """Ids of one normalized text."""
@@ -133,15 +139,24 @@ class Encoder:
     def looked_up(self, chunks: list[str]) -> np.ndarray:
         known = self.known
         try:
-            return np.frombuffer(b"".join([known[c] for c in chunks]), np.int32)
+            return np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.int32)
         except KeyError:
             if len(known) > CACHE_ENTRIES:
                 known.clear()
-            new = list({c for c in chunks if c not in known})
-            found = self.inner.encode([" " + c for c in new])
-            known.update((c, array("i", ids).tobytes()) for c, ids in zip(new, found))
-            # A chunk begins with a space, which decoding takes from the front of a text.
-            self.odd.update((c, t) for c, t in zip(new, self.whole.decode(found)) if c != t)
+            new, tails, special = {c for c in chunks if c not in known}, self.tails, self.special
+            stems = {c: c[:-1] if c[-1:] in tails and c[-2:-1].isalpha() else c for c in new}
+            fresh = [s for s in set(stems.values()) if s not in known]
+            for c, ids in zip(fresh, self.inner.encode([" " + c for c in fresh])):
+                known[c] = array("i", ids).tobytes()
+                if not special.isdisjoint(ids):
+                    text = self.whole.decode(ids)  # without the space that a chunk begins with
+                    if text != c:
+                        self.odd[c] = text
+            for c, s in stems.items():
+                if s is not c:
+                    known[c] = known[s] + tails[c[-1]]
+                    if s in self.odd:
+                        self.odd[c] = self.odd[s] + c[-1]
             return np.frombuffer(b"".join([known[c] for c in chunks]), np.int32)
 
     def lengths(self, ids: np.ndarray, normal: str) -> np.ndarray:
