@@ -251,12 +251,14 @@ def possible(sizes: np.ndarray, others: np.ndarray, apart: np.ndarray, t: float)
 PAIR = "a long, b long"
 
 
-def hub_pairs(members: DataFrame, t: float) -> DataFrame:
-    """Each set of a bucket with its hub, where sizes and histograms allow a link."""
-    best = F.max(F.struct("weight", (-F.col("node")).alias("first"), "n_shingles", "bins"))
+def hub_pairs(members: DataFrame, looks: DataFrame, t: float) -> DataFrame:
+    """Each set of a bucket with its hub, where sizes and histograms allow a link. Histograms join distinct pairs only."""
+    best = F.max(F.struct("weight", (-F.col("node")).alias("first")))
     hubs = members.groupBy("key").agg(best.alias("h")).select(
-        "key", (-F.col("h.first")).alias("a"), F.col("h.n_shingles").alias("size"), F.col("h.bins").alias("other"))
-    rows = members.join(hubs, "key").filter("a <> node").select("a", F.col("node").alias("b"), "size", "other", "n_shingles", "bins")
+        "key", (-F.col("h.first")).alias("a"))
+    pairs = members.join(hubs, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    one = looks.select(F.col("node").alias("a"), F.col("n_shingles").alias("size"), F.col("bins").alias("other"))
+    rows = pairs.join(one, "a").join(looks.withColumnRenamed("node", "b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,7 +266,7 @@ def hub_pairs(members: DataFrame, t: float) -> DataFrame:
             ok = possible(batch.column("n_shingles").to_numpy(), batch.column("size").to_numpy(), apart, t)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return rows.mapInArrow(run, PAIR).distinct()
+    return rows.mapInArrow(run, PAIR)
 
 
 def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
@@ -353,13 +355,14 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     several = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     buckets = buckets.join(several, "key")
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
-    members = stored(buckets.select("key", "node").join(weight.join(sets.select("node", "n_shingles", "bins"), "node"), "node"), "members")
+    members = stored(buckets.select("key", "node").join(weight, "node"), "members")
+    looks = sets.select("node", "n_shingles", "bins")
 
-    links = stored(verified(stored(hub_pairs(members, t), "hub-pairs"), docs, t, n), "links")
+    links = stored(verified(stored(hub_pairs(members, looks, t), "hub-pairs"), docs, t, n), "links")
     groups = components(links).select("node", F.col("component").alias("group"))
     grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     open_keys = grouped.groupBy("key").agg(F.min("group").alias("p"), F.max("group").alias("q")).filter("p < q").select("key")
-    more = cross_pairs(stored(grouped.join(open_keys, "key"), "open"), t)
+    more = cross_pairs(stored(grouped.join(open_keys, "key").join(looks, "node"), "open"), t)
     links = links.unionByName(verified(stored(more, "cross-pairs"), docs, t, n))
 
     # Equal ids of different sets, and sets of equal documents, tie nodes together as links do.
