@@ -35,6 +35,7 @@ ANCHORS = (
 CHAIN = 2
 DIGITS = 8
 PART = 8 << 20  # bytes of text in a partition
+BOUNDS = 40  # sampled places for each range
 
 
 def patterns() -> tuple[str, str]:
@@ -106,29 +107,47 @@ def near_pairs(found: DataFrame, threshold: float = 0.8, key: str = "doc_id") ->
     return scored.filter(F.col("likeness") >= threshold)
 
 
+def range_of(rows: DataFrame, n: int) -> Column:
+    """The range of a row's `at` in descending order, of about `n` that are alike in size. The bounds come from `BOUNDS` sampled
+    places for each range, which reach the driver; found by halving."""
+    share = min(1.0, BOUNDS * n / max(1, rows.count()))
+    places = [r["at"] for r in rows.select("at").sample(share, 7).orderBy(F.col("at").desc()).collect()]
+    cuts = list(dict.fromkeys(places[len(places) * i // n] for i in range(1, n))) if places else []
+    if not cuts:
+        return F.lit(0)
+    kind = rows.schema["at"].dataType
+    bounds = F.array(*(F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c, kind))) for c in cuts))
+    halves = F.array(*(F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))))
+    return F.aggregate(halves, F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.get(bounds, at + step - 1) >= F.col("at"), F.lit(False)), at + step).otherwise(at))
+
+
 def against_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", chain: int = CHAIN) -> DataFrame:
     """Per document its fingerprint and that of an edited copy, with their likeness and that to the next document.
 
     The edit replaces the last third of the code points by the first ones of the next document in descending order of
-    the key (nulls last, equal keys by their text; after the last comes the first). The order is laid out by range, and
-    each range's last row takes the first of the next range, so no task sees more than a range.
+    the key (nulls last, equal keys by their text; after the last comes the first). The order is laid out by ranges between
+    sampled bounds, and each range's last row takes the first of the next range, so no task sees more than a range. The
+    bounds are fixed before any job uses them: a row has the same range in all of them.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = parts(docs, total_bytes(docs, text), PART)
-    order = [F.col("key").desc_nulls_last(), F.xxhash64("text").desc(), F.col("text")]
-    ranged = rows.repartitionByRange(n, *order[:2]).withColumn("part", F.spark_partition_id()).repartition(n, "part")
-    line = Window.partitionBy("part").orderBy(*order)
-    inner = ranged.withColumn("signatures", signatures(F.col("text"), chain))
-    inner = inner.withColumn("next", F.lead(F.struct("text", "signatures")).over(line)).filter("next IS NOT NULL")
-
-    firsts = ranged.withColumn("place", F.row_number().over(line)).filter("place = 1").select("part", F.col("text").alias("head"))
-    firsts = stored(firsts, "range-heads")
+    rows = rows.withColumn("at", F.struct("key", F.xxhash64("text").alias("hash")))
+    ranged = rows.withColumn("part", range_of(rows, n))
+    # Of each range the places of both ends, then their texts alone.
+    edges = ranged.groupBy("part").agg(F.max("at").alias("head_at"), F.min("at").alias("last_at"))
+    ends = stored(ranged.join(F.broadcast(edges), "part").filter("at = head_at OR at = last_at"), "range-ends")
+    inner = ranged.select("key", "text", "at", "part").repartition(n, "part").withColumn("signatures", signatures(F.col("text"), chain))
+    line = Window.partitionBy("part").orderBy(F.col("at").desc(), "text")
+    inner = inner.withColumn("next", F.lead(F.struct("text", "signatures")).over(line)).filter("next IS NOT NULL").drop("at")
+
+    firsts = ends.filter("at = head_at").groupBy("part").agg(F.min("text").alias("head"))
     # As many rows as there are ranges, two numbers each.
     whole = Window.partitionBy(F.lit(0)).orderBy("part")
     follow = firsts.select("part").withColumn("follows", F.lead("part").over(whole))
     follow = follow.withColumn("follows", F.coalesce("follows", F.min("part").over(Window.partitionBy(F.lit(0)))))
     heads = follow.join(firsts.withColumnRenamed("part", "follows"), "follows").select("part", "head")
-    lasts = ranged.withColumn("after", F.lead(F.lit(1)).over(line)).filter("after IS NULL").join(heads, "part")
+    lasts = ends.filter("at = last_at").groupBy("part").agg(F.first("key").alias("key"), F.max("text").alias("text")).join(heads, "part")
     lasts = lasts.withColumn("signatures", signatures(F.col("text"), chain)).select(
         "key", "text", "part", "signatures",
         F.struct(F.col("head").alias("text"), signatures(F.col("head"), chain).alias("signatures")).alias("next"))

@@ -188,6 +188,17 @@ def test_op3_follows_the_order(spark, monkeypatch):
         assert got[d]["near_next"] == (len(a & c) / len(a | c) if a | c else 1.0)
 
 
+def test_order_holds_where_range_bounds_are_sampled(spark, monkeypatch):
+    """Far more rows than Spark samples for the bounds: 300 * 32 / 4 of each input partition's 10,000."""
+    data = [(i, f"the text{i} of {i * 7919 % 40_009} words is here") for i in range(40_000)]
+    monkeypatch.setattr(spotsigs, "PART", sum(len(t) for _, t in data) // 32)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["edited"] for r in spotsigs.against_edits(df).select("doc_id", "edited").collect()}
+    down = data[::-1]
+    want = {d: t[: len(t) - len(t) // 3] + u[: len(t) // 3] for (d, t), (_, u) in zip(down, down[1:] + down[:1])}
+    assert [d for d in want if got.get(d) != want[d]] == [] and len(got) == len(want)
+
+
 @pytest.mark.parametrize("data", [[], [(7, "the one text here")], [(1, None), (1, "the two same ids"), (None, "a null id"), (1, "the two same ids")]])
 def test_orders_of_few_rows(spark, data):
     out = spotsigs.against_edits(spark.createDataFrame(data, "doc_id long, text string")).collect()
