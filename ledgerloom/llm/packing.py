@@ -36,16 +36,16 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 LOOSE = re.compile(r" (?:\s|\Z)")  # a space that does not stand before a word
 
 
-def ranks(path: str) -> dict[bytes, int]:
-    """The vocabulary of a byte-level tokenizer file as bytes and merge ranks. Its strings spell printable bytes as
-    themselves, the others by the characters from 256 on."""
+def ranks(path: str) -> tuple[dict[bytes, int], list[str]]:
+    """The vocabulary of a byte-level tokenizer file as bytes and merge ranks, and its added tokens, which are not among them. Its
+    strings spell printable bytes as themselves, the others by the characters from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spelt = {chr(b): b for b in plain}
     spelt |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
-    special = {t["content"] for t in model["added_tokens"]}
-    return {bytes(spelt[c] for c in s): i for s, i in model["model"]["vocab"].items() if s not in special}
+    added = [t["content"] for t in model["added_tokens"]]
+    return {bytes(spelt[c] for c in s): i for s, i in model["model"]["vocab"].items() if s not in added}, added
 
 
 class Words:
@@ -53,8 +53,8 @@ class Words:
 
     The vocabulary's own splitting never joins characters on both sides of a space that stands before another
     character, so texts are cut there and the parts are encoded apart. Words not met yet are merged by `tiktoken` over the same
-    vocabulary, whose calls for single words cost a third of those of `tokenizers`; whole texts that cannot be cut go to the
-    latter. The ids are the same.
+    vocabulary, whose calls for single words cost a third of those of `tokenizers`; whole texts that cannot be cut, or that hold
+    the string of an added token, go to the latter. The ids are the same as the library's by default.
     """
 
     def __init__(self, path: str):
@@ -62,8 +62,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.merge = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks(path), special_tokens={}).encode_ordinary
+        table, added = ranks(path)
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.merge = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=table, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
         self.tails = {c: self.word(c) for c in ",."}
 
@@ -90,7 +91,7 @@ class Words:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        if LOOSE.search(text):  # runs of white space are split by a rule of their own
+        if LOOSE.search(text) or self.added.search(text):  # runs of white space, and added tokens, are split by rules of their own
             return self.direct(text)
         first, *words = text.split(" ")
         head = self.word(first) if first else b""

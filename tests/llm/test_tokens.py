@@ -76,6 +76,18 @@ def test_words_are_the_vocabulary():
     assert all(encode.word(" " + w) == encode.direct(" " + w) for w in words)
 
 
+def test_special_strings_have_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(VOCABULARY)  # as it comes
+    texts = ["end <|endoftext|> start", "<|endoftext|>", "a<|endoftext|>b c", "no <|endoftext| here", "x  <|endoftext|>\n"] + odd_texts(300, 5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in packing.tokenize(df, VOCABULARY, capacity=1 << 20).collect()}
+    assert got[0] == [437, 220, 50256, 923, 1]
+    for i, t in enumerate(texts):
+        assert got[i] == [*model.encode(t, add_special_tokens=False).ids, 1], t
+
+
 def test_op5_holds_every_id_once(spark):
     from tokenizers import Tokenizer
 
