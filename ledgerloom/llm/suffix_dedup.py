@@ -10,8 +10,8 @@ repeated window. A shard above `SHARD` bytes is built in several arrays whose so
 
 Documents are dealt into blocks by a hash of their id. A block first tells each shard its names, and learns which of them
 another document has. Of those it sends each distinct stretch once, with its first and last document, however many
-documents share it, and gets back the first document of its windows, in runs. So a shard gets from a hot passage one
-stretch a block.
+documents share it, and gets back the first document of its windows, in runs. So a shard gets from the inside of a
+hot passage one stretch a block, but from its edges, which hold each document's own context, one for each document.
 
 Defined results: a null text is empty; a null document id counts as after all others. Documents with equal ids do not
 remove from each other. Texts shorter than `length` bytes stay.
