@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import importance, license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spotsigs, suffix_dedup, topk, url_filter
+from ledgerloom.llm import importance, license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spelling, spotsigs, suffix_dedup, topk, url_filter
 from ledgerloom.llm.common import stored, table
 
 
@@ -82,6 +82,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -93,6 +97,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_spelling": op11_spelling,
 }
 
 OP4_SQL = """
