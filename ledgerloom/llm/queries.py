@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import importance, license_scan, ngram_join, packing, secret_scan, sentencepiece_spans, spelling, spotsigs, suffix_dedup, topk, url_filter
+from ledgerloom.llm import importance, license_scan, mixing, ngram_join, packing, secret_scan, sentencepiece_spans, spelling, spotsigs, suffix_dedup, topk, url_filter
 from ledgerloom.llm.common import stored, table
 
 
@@ -86,6 +86,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -98,6 +102,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_spelling": op11_spelling,
+    "op12_mixing": op12_mixing,
 }
 
 OP4_SQL = """
@@ -114,4 +119,5 @@ ORACLES: dict[str, str] = {
     "op4_topk": OP4_SQL,
     "op3_fingerprints": spotsigs.sql(),
     "op8_licenses": license_scan.sql(),
+    "op12_mixing": mixing.sql(),
 }
