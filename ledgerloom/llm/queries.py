@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import importance, license_scan, mixing, ngram_join, packing, secret_scan, sentencepiece_spans, spelling, spotsigs, suffix_dedup, topk, url_filter
+from ledgerloom.llm import collocations, importance, license_scan, mixing, ngram_join, packing, secret_scan, sentencepiece_spans, spelling, spotsigs, suffix_dedup, topk, url_filter
 from ledgerloom.llm.common import stored, table
 
 
@@ -90,6 +90,10 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -103,6 +107,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_spelling": op11_spelling,
     "op12_mixing": op12_mixing,
+    "op13_collocations": op13_collocations,
 }
 
 OP4_SQL = """
@@ -120,4 +125,5 @@ ORACLES: dict[str, str] = {
     "op3_fingerprints": spotsigs.sql(),
     "op8_licenses": license_scan.sql(),
     "op12_mixing": mixing.sql(),
+    "op13_collocations": collocations.sql(),
 }

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from brute import rows
 
@@ -66,15 +67,37 @@ def odd_documents(seed=5, words=900):
     return docs + [(100, " ".join(vocabulary * 3)), (None, " ".join(vocabulary)), (7, ""), (8, None), docs[3], docs[3], (3, docs[4][1])]
 
 
-@pytest.mark.parametrize("limit, leaf", [(20_000, 20_000), (40, 20)])
-def test_odd_words_in_any_tiles(spark, monkeypatch, limit, leaf):
-    """Nulls, repeated rows and ids, very long runs, ties, anagrams; with subtrees cut into many tiles and large leaves."""
-    monkeypatch.setattr(spelling, "LEAF", leaf)
+@pytest.mark.parametrize("limit", [20_000, 40])
+def test_odd_words_in_any_tiles(spark, limit):
+    """Nulls, repeated rows and ids, very long runs, ties, anagrams; with subtrees cut into many tiles."""
     docs = odd_documents()
     df = spark.createDataFrame([(d, t, "w", 1) for d, t in docs], "doc_id long, text string, word string, n long")
     assert answers(spelling.variants(df, limit=limit)) == brute(docs)
 
 
+@pytest.mark.parametrize("leaf", [20_000, 10, 0])
+def test_search_finds_all_near_words(monkeypatch, leaf):
+    monkeypatch.setattr(spelling, "LEAF", leaf)
+    rng = random.Random(2)
+    base = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 7))) for _ in range(250)]
+    words = sorted({*base, *("".join(rng.sample("abcdef", 6)) for _ in range(100))})
+    groups = np.zeros(256, np.int64)
+    groups[[ord(c) for c in "abcdef"]] = [0, 1, 2, 0, 1, 7]
+    found, w = set(), spelling.Words(words, groups)
+    every = np.arange(len(words))
+    for a, b in spelling.search(w, 0, every, every, np.ones(len(words), bool), np.ones(len(words), bool)):
+        low = (w.size[a] < w.size[b]) | (w.size[a] == w.size[b]) & (a < b)
+        good = spelling.verified(w, a[low], b[low])
+        found |= {(words[i], words[j]) for i, j in zip(a[low][good], b[low][good])}
+
+    def near(x, y):
+        if len(x) == len(y):
+            return sum(p != q for p, q in zip(x, y)) == 1
+        return len(y) == len(x) + 1 and any(y[:i] + y[i + 1 :] == x for i in range(len(y)))
+
+    assert found == {(x, y) for x in words for y in words if near(x, y) and (len(x) < len(y) or x < y)}
+
+
 def test_no_words(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert spelling.variants(df).collect() == []
