@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import parts, slices, stored, total_bytes
 
 LONGEST = 4  # words of an edge
-FLUSH = 3_000_000  # words that a task reads before it gives out what it has combined
+FLUSH = 1_000_000  # words that a task reads before it gives out what it has combined
 SHARD = 400_000  # edges of a shard, about
 SPREAD = 16  # buckets of first two words for each shard
 
