@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from ledgerloom.errors import MissingSource, SnapshotConflict
 from ledgerloom.sources.fingerprint import file_fingerprints
 from ledgerloom.sources.paths import layer_path, path_exists
-from ledgerloom.sources.raw import POSITION, read_raw_csv, read_raw_json_array, read_raw_json_lines
+from ledgerloom.sources.raw import POSITION, read_quoted_csv, read_raw_csv, read_raw_json_array, read_raw_json_lines
 
-# `csv` reads a file whole, so quoted text may hold line ends; `csv_lines` splits files without such texts.
+# In `csv` quoted text may hold line ends. It is scanned twice; `csv_lines` reads files without such texts in one scan.
 READERS: dict[str, Callable[[SparkSession, str, Sequence[str] | None], DataFrame]] = {
-    "csv": lambda spark, path, columns: read_raw_csv(spark, path, columns, multi_line=True),
+    "csv": read_quoted_csv,
     "csv_lines": read_raw_csv,
     "json": lambda spark, path, columns: read_raw_json_array(spark, path),
     "jsonl": lambda spark, path, columns: read_raw_json_lines(spark, path),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.errors import MissingSource
+from ledgerloom.sources import splits
 from ledgerloom.sources.paths import path_exists
 
 POSITION = ("_file", "_block", "_row")
@@ -51,26 +52,51 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return _positioned(rows).withColumn(names[0], checked).drop("_line")
 
 
+def read_quoted_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Header CSV whose quoted texts may hold line ends, all text; a file is read in as many tasks as it has splits.
+
+    The same rows as `read_raw_csv` reads with `multi_line`, for files whose quotes stand around fields and are doubled within.
+    A file that ends inside quotes, a header that is not `columns` (by default that of the first file read), and a record with
+    more fields than it stop the scan; one with fewer ends in nulls."""
+    require_path(spark, path, "CSV source")
+    one = CSV | {"multiLine": "true"}
+    names = list(columns or spark.read.options(**one).csv(path).columns)
+    found = splits.records(spark, path, splits.QuotedLines, "ends inside a quoted text")
+    found = found.withColumn("text", F.regexp_replace("text", "\r$", ""))
+    parse = {k: v for k, v in one.items() if k != "header"} | {"columnNameOfCorruptRecord": "_line"}
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)] + [T.StructField("_line", T.StringType())])
+    rows = found.withColumn("f", F.from_csv("text", wide.simpleString()[7:-1].replace(":", " "), parse))
+    header = F.array(*[F.lower(F.coalesce(F.trim(F.col(f"f.c{i}")), F.lit(""))) for i in range(len(names))])
+    wanted = F.array(*[F.lit(n.strip().lower()) for n in names])
+    long = F.col(f"f.c{len(names)}").isNotNull()
+    problem = F.concat(F.lit("MalformedSource: "), F.col("_file"), F.when(F.col("first"), F.lit(" has another header: ")).otherwise(
+        F.lit(" has a record that does not fit its header: ")), F.col("text"))
+    wrong = F.coalesce(long, F.lit(False)) | F.col("first") & (header != wanted)
+    # The check decides which rows stay, so no reader can prune it away.
+    kept = rows.where(F.when(wrong, F.raise_error(problem).cast("boolean")).otherwise(~F.col("first")))
+    return kept.select(*[F.col(f"f.c{i}").alias(n) for i, n in enumerate(names)], *POSITION)
+
+
 def read_raw_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array of records per file -> one row per record, its text in `record`.
+    """One JSON array of records per file -> one row per record, its text in `record`; a file is read in as many tasks as it has splits.
 
-    A file is one task (an array cannot be split); many files run in parallel. Large catalogues should
-    arrive as JSON Lines, which `read_raw_json_lines` splits.
-    """
+    A file that is not one array, or has an item that is no JSON value, stops the scan. A file of no bytes has no records."""
     require_path(spark, path, "JSON source")
-    whole = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_file"), F.lit(0).cast("bigint").alias("_block"),
-        F.col("value"),
-    )
-    is_array = F.startswith(F.ltrim(F.col("value")), F.lit("["))
-    # As the one field of an object the text must be a whole value: anything behind the array breaks the object.
-    whole_value = F.from_json(F.concat(F.lit('{"a":'), F.col("value"), F.lit("}")), "a array<string>, _bad string",
-                              {"columnNameOfCorruptRecord": "_bad"})
-    items = F.when(whole_value["_bad"].isNull(), whole_value["a"])
-    checked = F.when(is_array & items.isNotNull(), items).otherwise(
-        F.raise_error(F.concat(F.lit("MalformedSource: "), F.col("_file"), F.lit(" is not one JSON array of records"))))
-    return whole.select("_file", "_block", F.posexplode(checked).alias("_pos", "record")).select(
-        "record", "_file", "_block", F.col("_pos").cast("bigint").alias("_row"))
+    problem, blanks = "is not one JSON array of records", F.lit(" \t\r\n")
+    items = splits.records(spark, path, splits.ArrayItems, problem)
+    text = F.trim(F.col("text"), blanks)
+    opened = F.when(F.col("first"), F.when(F.startswith(text, F.lit("[")), F.substring(text, 2, 2**31 - 1))).otherwise(text)
+    items = items.withColumn("text", opened)
+    closed = F.when(F.col("last"), F.when(F.endswith("text", F.lit("]")), F.expr("substring(text, 1, length(text) - 1)"))).otherwise(F.col("text"))
+    items = items.withColumn("text", closed)
+    # As the one item of an array in an object the text must be a whole value: anything else in it breaks the object.
+    items = items.withColumn("value", F.from_json(F.concat(F.lit('{"a":['), F.col("text"), F.lit("]}")), "a array<string>, _bad string",
+                                                  {"columnNameOfCorruptRecord": "_bad"}))
+    sound = F.col("value._bad").isNull() & (F.size("value.a") == 1)
+    nothing = F.col("first") & F.col("last") & (F.trim(F.col("text"), blanks) == "")
+    failed = F.raise_error(F.concat(F.lit("MalformedSource: "), F.col("_file"), F.lit(f" {problem}"))).cast("boolean")
+    kept = items.where(F.when(F.coalesce(sound, F.lit(False)), F.lit(True)).when(F.coalesce(nothing, F.lit(False)), F.lit(False)).otherwise(failed))
+    return kept.select(F.element_at("value.a", 1).alias("record"), *POSITION)
 
 
 def read_raw_json_lines(spark: SparkSession, path: str) -> DataFrame:
