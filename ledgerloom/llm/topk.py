@@ -1,10 +1,11 @@
 """Exact top-k by inner product with the three-phase uniform threshold algorithm.
 
-Vectors are cut into slabs of dimensions, and each slab scores candidates on its own. Phase 1: each slab's best k per
-query give objects whose least possible totals bound the k-th best from below; the bound, less what the other slabs could
-add, is cut evenly into one threshold per slab. Phase 2: every entry at or above its slab's threshold is
-collected; what stays below all thresholds cannot reach the bound. Best possible totals against the new k-th
-least total leave a few candidates. Phase 3: these are scored exactly.
+Vectors are cut into slabs of dimensions, and each slab scores candidates on its own. Phase 1: each slab lists its best k per
+query. A task holds all slabs of its block, so it gives out the whole score of each listed object; the k-th best of these is a safe
+bound. The bound, less what the other slabs could add at least, is cut evenly into one threshold per slab. Phase 2: the bound and
+the thresholds are broadcast with the query blocks, and the objects are collected that reach a slab's threshold and with all slabs the
+bound; what stays below all thresholds cannot reach it. The k-th best of the collected ones is the last bound. Phase 3: what
+reaches it is scored exactly.
 
 Components x become floor(scale * x). Equal integer vectors are one candidate, which carries the k + 1 smallest ids:
 more of them can never be among a query's best. Queries and candidates are packed into blocks of bounded size, and each
@@ -88,35 +89,52 @@ def units(candidates: DataFrame, queries: DataFrame, n_candidates: int) -> DataF
     return candidates.join(spread, ["block", "d"])
 
 
+def slab_scores(q: np.ndarray, x: np.ndarray, d: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Scores by slab, whole scores, and by how much these may be off: not at all while they stay below 2^53."""
+    scores = [dots(q[:, cols], x[:, cols]).astype(float) for cols in halves(d)]
+    size = sum(np.abs(s) for s in scores)
+    return scores, sum(scores), np.where(size < 2.0**53, 0.0, size * 1e-12)
+
+
 def local_lists(k: int):
-    """Phase 1: per slab the best k entries of each query in a block, and the least score of the block."""
+    """Phase 1: per slab the best k objects of each query in a block, the least and the most their whole score can be, and the
+    least score of the slab in the block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
                 x, xs = unpack(r.v, r.numbers, r.d)
                 q, qs = unpack(r.q_v, r.q_numbers, r.d)
-                for slab, cols in enumerate(halves(r.d)):
-                    s = dots(q[:, cols], x[:, cols]).astype(float)
+                scores, total, off = slab_scores(q, x, r.d)
+                for slab, s in enumerate(scores):
                     top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
                     yield pd.DataFrame({
                         "q": np.repeat(qs, top.shape[1]), "slab": slab, "x": xs[top].ravel(),
-                        "score": np.take_along_axis(s, top, 1).ravel(), "least": np.repeat(s.min(1), top.shape[1])})
+                        "low": np.take_along_axis(total - off, top, 1).ravel(), "least": np.repeat(s.min(1), top.shape[1])})
 
     return run
 
 
 def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Phase 2: every entry at or above its slab's threshold."""
+    """Phase 2: every object at or above a slab's threshold whose whole score can reach the bound."""
     for batch in batches:
         for r in batch.itertuples():
             x, xs = unpack(r.v, r.numbers, r.d)
             q, qs = unpack(r.q_v, r.q_numbers, r.d)
-            cuts = np.frombuffer(r.cuts, "<f8").reshape(len(qs), -1)
-            for slab, cols in enumerate(halves(r.d)):
-                s = dots(q[:, cols], x[:, cols]).astype(float)
-                i, j = np.nonzero(s >= cuts[:, slab, None])
-                yield pd.DataFrame({"q": qs[i], "x": xs[j], "slab": slab, "score": s[i, j]})
+            scores, total, off = slab_scores(q, x, r.d)
+            cuts = np.frombuffer(r.cuts, "<f8").reshape(len(qs), -1)  # one a slab, and the bound
+            reach = np.logical_or.reduce([s >= cuts[:, slab, None] for slab, s in enumerate(scores)])
+            i, j = np.nonzero(reach & (total + off >= cuts[:, -1, None]))
+            yield pd.DataFrame({"q": qs[i], "x": xs[j], "low": (total - off)[i, j], "high": (total + off)[i, j]})
+
+
+def bounds(found: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """(q, bound): the k-th largest `low` of each query's objects (q, x, low), an object counting for each of its ids."""
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("low"), "x"))
+    best = found.select("q", "x", "low").distinct().withColumn("place", rank).filter(F.col("place") <= k)
+    line = Window.partitionBy("q").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    held = best.join(sizes, "x").withColumn("held", F.sum("size").over(line)).filter(F.col("held") >= k)
+    return held.groupBy("q").agg(F.max("low").alias("bound"))
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding",
@@ -138,37 +156,26 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", ve
     q_blocks, _ = blocks(distinct, QUERIES, "query-blocks")
 
     # Phase 1. k + 1 entries, as one of them may be the query itself.
-    found = units(x_blocks, q_blocks, n_x).mapInPandas(local_lists(k + 1), "q long, slab int, x long, score double, least double")
+    sizes = classes.select(F.col("no").alias("x"), F.size("ids").alias("size"))
+    found = units(x_blocks, q_blocks, n_x).mapInPandas(local_lists(k + 1), "q long, slab int, x long, low double, least double")
     found = stored(found, "local-lists")
     least = found.groupBy("q", "slab").agg(F.min("least").alias("least"))
-    rank = F.row_number().over(Window.partitionBy("q", "slab").orderBy(F.desc("score"), "x"))
-    best = found.withColumn("place", rank).filter(F.col("place") <= k + 1).drop("place", "least")
     floor = least.groupBy("q").agg(F.sum("least").alias("floor"), F.count("*").alias("slabs"))
-    known = best.join(least, ["q", "slab"]).groupBy("q", "x").agg(F.sum(F.col("score") - F.col("least")).alias("above"))
-    kth = known.join(classes.select(F.col("no").alias("x"), F.size("ids").alias("size")), "x")
-    line = Window.partitionBy("q").orderBy(F.desc("above"), "x").rowsBetween(Window.unboundedPreceding, 0)
-    reach = kth.withColumn("held", F.sum("size").over(line)).filter(F.col("held") >= k + 1)
-    bound = reach.groupBy("q").agg(F.max("above").alias("bound"))
-    # Half a unit below, and some for the rounding of very large scores. Without a bound all entries are collected.
-    share = F.col("least") + F.col("bound") / F.col("slabs") - 0.5 - (F.abs("least") + F.col("bound")) * 1e-12
-    cuts = least.join(floor, "q").join(bound, "q", "left").select(
-        "q", "slab", F.coalesce(share, F.lit(float("-inf"))).alias("cut"))
-    cuts = cuts.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("slab", "cut"))).alias("c"))
-    cuts = stored(cuts.select("q", F.transform("c", lambda c: c["cut"]).alias("cuts")), "cuts")
+    # Half a unit below, and some for the rounding of very large scores. Without a bound all objects are collected.
+    share = F.col("least") + (F.col("bound") - F.col("floor")) / F.col("slabs") - 0.5 - (
+        F.abs("least") + F.abs("floor") + F.abs("bound")) * 1e-12
+    none = F.lit(float("-inf"))
+    cuts = least.join(floor, "q").join(bounds(found, sizes, k + 1), "q", "left").select(
+        "q", "slab", F.coalesce(share, none).alias("cut"), F.coalesce("bound", none).alias("bound"))
+    cuts = cuts.groupBy("q", "bound").agg(F.array_sort(F.collect_list(F.struct("slab", "cut"))).alias("c"))
+    cuts = cuts.select("q", F.concat(F.transform("c", lambda c: c["cut"]), F.array("bound")).alias("cuts"))
 
     # Phase 2: the cutoffs travel with the query blocks, whose size is bounded.
-    cut_blocks, _ = blocks(distinct.join(cuts.withColumnRenamed("q", "no"), "no"), QUERIES, "cut-blocks")
-    collected = units(x_blocks, cut_blocks, n_x).mapInPandas(entries, "q long, x long, slab int, score double")
-    over = cuts.select("q", F.posexplode("cuts").alias("slab", "cut"))
-    low = least.join(over, ["q", "slab"]).groupBy("q").agg(F.sum("least").alias("lows"), F.sum("cut").alias("highs"))
-    seen = stored(collected.join(least, ["q", "slab"]).join(over, ["q", "slab"]).groupBy("q", "x").agg(
-        F.sum(F.col("score") - F.col("least")).alias("lower"), F.sum(F.col("score") - F.col("cut")).alias("upper")), "entries")
-    sized = seen.join(classes.select(F.col("no").alias("x"), F.size("ids").alias("size")), "x").join(low, "q")
-    line = Window.partitionBy("q").orderBy(F.desc("lower"), "x").rowsBetween(Window.unboundedPreceding, 0)
-    second = sized.withColumn("held", F.sum("size").over(line)).filter(F.col("held") >= k + 1)
-    second = second.groupBy("q").agg(F.max(F.col("lower") + F.col("lows")).alias("sure"))
-    left = sized.join(second, "q", "left").filter(
-        F.col("sure").isNull() | (F.col("highs") == float("-inf")) | (F.col("upper") + F.col("highs") >= F.col("sure") - 0.5 - F.abs("sure") * 1e-12))
+    cut_blocks, _ = blocks(distinct.join(stored(cuts, "cuts").withColumnRenamed("q", "no"), "no"), QUERIES, "cut-blocks")
+    collected = units(x_blocks, cut_blocks, n_x).mapInPandas(entries, "q long, x long, low double, high double")
+    collected = stored(collected, "entries")
+    sure = bounds(collected, sizes, k + 1)
+    left = collected.join(sure, "q", "left").filter(F.col("bound").isNull() | (F.col("high") >= F.col("bound")))
 
     # Phase 3: exact scores of what is left.
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
