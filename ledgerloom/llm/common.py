@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is written inside goes to Python in batches of so many rows, for rows that hold whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def parts(df: DataFrame, rows_or_bytes: int, each: int) -> int:
     """Partitions for so much data: at least the session's shuffle setting, more as the data grows."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows_or_bytes // each))

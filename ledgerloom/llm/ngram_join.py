@@ -9,12 +9,14 @@ size band from the signatures it costs and the chance that unlike sets meet. Ban
 band and, as a smaller partner, in the next one.
 
 Sets that meet are compared exactly, shingle by shingle. What is sought are the connected groups, so each signature first
-links its sets with one hub, the set found in the largest buckets; only sets that this leaves in different groups
+links its sets with one hub, at first the set found in the largest buckets, then, turn by turn, others for the sets that still
+stand in different groups; when a turn closes less than half of what is open, all sets left in different groups
 are paired, if sizes and histograms of their shingles over fixed parts of the universe allow a link. No link between groups
 is lost, and a bucket of thousands of near copies makes few pairs. Equal sets are one set from the start.
 
 Defined results: words are runs of other than ASCII white space, A-Z in lower case. A text with fewer words than a
-shingle is one shingle; null, empty or blank texts have none and are linked with nothing. Rows with equal ids are judged
+shingle is one shingle; null, empty or blank texts have none and are linked with nothing. Long texts are read whole, one after
+the other. An empty table gives no rows. Only key and text are read, so other columns cannot clash. Rows with equal ids are judged
 together: their component is that of any of them. Rows without an id have no component.
 """
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import parts, slices, small, stored
+from ledgerloom.llm.common import batches_of, parts, slices, small, stored
 from ledgerloom.llm.components import components
 
 BINS = 128  # least number of parts of the universe whose shingles a histogram counts; large sets have size / 4
@@ -251,12 +253,16 @@ def possible(sizes: np.ndarray, others: np.ndarray, apart: np.ndarray, t: float)
 PAIR = "a long, b long"
 
 
-def hub_pairs(members: DataFrame, looks: DataFrame, t: float) -> DataFrame:
-    """Each set of a bucket with its hub, where sizes and histograms allow a link. Histograms join distinct pairs only."""
-    best = F.max(F.struct("weight", (-F.col("node")).alias("first")))
-    hubs = members.groupBy("key").agg(best.alias("h")).select(
-        "key", (-F.col("h.first")).alias("a"))
-    pairs = members.join(hubs, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+def hub_pairs(grouped: DataFrame, looks: DataFrame, tried: DataFrame | None, t: float, turn: int) -> DataFrame:
+    """Each set of a bucket with the bucket's hub, if they stand in different groups, were not tried before, and sizes and
+    histograms allow a link. Histograms join distinct pairs only. Each turn has other hubs."""
+    lead = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    best = F.max(F.struct(lead.alias("lead"), (-F.col("node")).alias("first"), F.col("group").alias("home")))
+    hubs = grouped.groupBy("key").agg(best.alias("h")).select("key", (-F.col("h.first")).alias("hub"), "h.home")
+    pairs = grouped.join(hubs, "key").filter(F.col("home") != F.col("group"))
+    pairs = pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
     one = looks.select(F.col("node").alias("a"), F.col("n_shingles").alias("size"), F.col("bins").alias("other"))
     rows = pairs.join(one, "a").join(looks.withColumnRenamed("node", "b"), "b")
 
@@ -272,24 +278,26 @@ def hub_pairs(members: DataFrame, looks: DataFrame, t: float) -> DataFrame:
 def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
     """Pairs of a bucket that stand in different groups, where sizes and histograms allow a link.
 
-    A task takes many buckets; a large one is compared tile by tile and only gives out the pairs that remain."""
+    A large bucket is dealt by node to parts of about `TILE` sets, and each two parts (or one with itself) are a tile of their
+    own, so that no task holds a bucket. A task takes many tiles and only gives out the pairs that remain."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key")
-        key, node, group = (rows[c].to_numpy() for c in ("key", "node", "group"))
+        rows = rows.sort_values("tile", kind="stable")
+        tile, node, group, side = (rows[c].to_numpy() for c in ("tile", "node", "group", "side"))
         size, bins, out = rows["n_shingles"].to_numpy(), rows["bins"].tolist(), [np.empty((0, 2), np.int64)]
-        edges = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key))
+        edges = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
         for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            least = min(map(len, bins[start:stop]))
-            for i in range(start, stop, TILE):
-                for j in range(i, stop, TILE):
-                    p, q = np.arange(i, min(stop, i + TILE)), np.arange(j, min(stop, j + TILE))
+            here = np.arange(start, stop)
+            own = (side[start:stop] == 0).all()  # a part with itself, else one against the other
+            for p in chunks(here[side[here] <= 0]):
+                for q in chunks(here if own else here[side[here] > 0]):
                     apart = group[p, None] != group[None, q]
-                    if i == j:
+                    if own:
                         apart &= p[:, None] < q[None, :]
                     apart &= possible(size[p, None], size[None, q], 0, t)
                     x, y = np.nonzero(apart)
-                    one, two = folded(bins[i : i + len(p)], least), folded(bins[j : j + len(q)], least)
+                    least = min(len(bins[k]) for k in (*p.tolist(), *q.tolist()))
+                    one, two = folded([bins[k] for k in p], least), folded([bins[k] for k in q], least)
                     step = max(1, (4 << 20) // least)
                     for k in range(0, len(x), step):
                         u, v = p[x[k : k + step]], q[y[k : k + step]]
@@ -298,21 +306,29 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
                         out.append(np.stack([node[u[ok]], node[v[ok]]], 1))
         return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
 
-    n = parts(grouped, grouped.count(), 5_000)
-    slots = grouped.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(n)))
+    def chunks(rows: np.ndarray) -> list[np.ndarray]:
+        return [rows[k : k + TILE] for k in range(0, len(rows), TILE)]
+
+    ways = grouped.groupBy("key").agg(F.ceil(F.count("*") / TILE).alias("ways"))
+    dealt = grouped.join(ways, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), "ways"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
+    tile = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = dealt.select("node", "group", "n_shingles", "bins", tile.alias("tile"), F.signum(F.col("own") - F.col("other")).cast("int").alias("side"))
+    n = parts(grouped, dealt.count(), 5_000)
+    slots = dealt.withColumn("slot", F.pmod("tile", F.lit(n)))
     pairs = slots.repartition(n, "slot").groupBy("slot").applyInPandas(run, PAIR)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
-    """The (written) pairs of ids whose shingle sets are linked. Rows of one id are all tried."""
+    """Those of the (written) pairs of ids whose shingle sets are linked, written. Rows of one id are all tried."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     docs = docs.join(small(ids), "doc_id", "left_semi")  # else the texts of all documents would be shuffled
     num, den = int(round(t * 10**6)), 10**6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lru_cache(maxsize=4)(partial(shingles, n=n))  # hubs come again and again
-        for batch in slices(batches, "x"):
+        for batch in (half for left in slices(batches, "x") for half in slices(iter([left]), "y")):
             ok = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 p, q = known(x or ""), known(y or "")
@@ -322,7 +338,8 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
 
     one = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
     two = one.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(run, PAIR).distinct()
+    with batches_of(docs.sparkSession, 128):
+        return stored(two.select("a", "b", "x", "y").mapInArrow(run, PAIR).distinct(), "links")
 
 
 def one_of_each(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -358,12 +375,25 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     members = stored(buckets.select("key", "node").join(weight, "node"), "members")
     looks = sets.select("node", "n_shingles", "bins")
 
-    links = stored(verified(stored(hub_pairs(members, looks, t), "hub-pairs"), docs, t, n), "links")
-    groups = components(links).select("node", F.col("component").alias("group"))
-    grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    open_keys = grouped.groupBy("key").agg(F.min("group").alias("p"), F.max("group").alias("q")).filter("p < q").select("key")
-    more = cross_pairs(stored(grouped.join(open_keys, "key").join(looks, "node"), "open"), t)
-    links = links.unionByName(verified(stored(more, "cross-pairs"), docs, t, n))
+    # Hubs again and again, while a turn closes half of what is open; the exact comparison of the rest follows.
+    links = tried = None
+    still, rows_open, turn = members.withColumn("group", F.col("node")), members.count(), 0
+    while rows_open:
+        pairs = stored(hub_pairs(still, looks, tried, t, turn), "hub-pairs")
+        found = verified(pairs, docs, t, n)
+        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
+        groups = components(links).select("node", F.col("component").alias("group"))
+        grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+        open_keys = grouped.groupBy("key").agg(F.min("group").alias("p"), F.max("group").alias("q")).filter("p < q").select("key")
+        still, before, turn = stored(grouped.join(open_keys, "key"), "open"), rows_open, turn + 1
+        rows_open = still.count()
+        if 2 * rows_open > before:
+            break
+    if links is None:
+        links = tried = members.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    if rows_open:
+        rest = cross_pairs(stored(still.join(looks, "node"), "open-looks"), t).join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(verified(stored(rest, "cross-pairs"), docs, t, n))
 
     # Equal ids of different sets, and sets of equal documents, tie nodes together as links do.
     same = nodes.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
