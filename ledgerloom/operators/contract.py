@@ -15,7 +15,6 @@ from ledgerloom.errors import ContractViolation
 from ledgerloom.functions.hashing import CURATED_COLUMNS, business_hash, is_sha256
 from ledgerloom.functions.money import discount_cents, to_basis_points, to_cents
 from ledgerloom.operators.rules import DEFAULT_LIMITS, Limits, not_in
-from ledgerloom.operators.versions import duplicate_keys
 
 SAMPLE_SIZE = 5
 DUPLICATED = "order_id is duplicated"
@@ -65,40 +64,36 @@ def _bad(check: Check) -> Column:
     return F.coalesce(check.bad, F.lit(True))
 
 
-def _duplicates(df: DataFrame) -> DataFrame:
-    return duplicate_keys(df, ["order_id"])
+def _by_key(df: DataFrame, limits: Limits) -> DataFrame:
+    """(order_id, bad): per key, how many of its rows break each check. One scan and one aggregate give all counts;
+    the rows of a repeated key all break the check for duplicates."""
+    checks = contract_checks(limits)
+    rows = df.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(_bad(c)).alias(f"c{i}") for i, c in enumerate(checks)])
+    repeated = F.col("order_id").isNotNull() & (F.col("n") > 1)
+    counts = [F.when(repeated, F.col("n")).otherwise(F.lit(0)) if c.message == DUPLICATED else F.col(f"c{i}") for i, c in enumerate(checks)]
+    return rows.select("order_id", F.array(*counts).alias("bad"))
 
 
 def violation_counts(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """(check_no, message, bad_rows) of every check, broken or not. One scan plus the key aggregate."""
+    """(check_no, message, bad_rows) of every check, broken or not, from one scan."""
     checks = contract_checks(limits)
-    totals = df.agg(*[F.count_if(_bad(c)).alias(f"c{i}") for i, c in enumerate(checks)])
-    unpivoted = totals.select(F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(checks))])).alias(
-        "check_no", "bad_rows"))
-    copies = _duplicates(df).agg(F.coalesce(F.sum("versions"), F.lit(0)).alias("bad_rows"))
-    number = next(i for i, c in enumerate(checks) if c.message == DUPLICATED)
-    by_key = copies.select(F.lit(number).alias("check_no"), "bad_rows")
+    sums = [F.coalesce(F.sum(F.col("bad")[i]), F.lit(0)) for i in range(len(checks))]
+    totals = _by_key(df, limits).agg(F.array(*sums).alias("bad_rows"))
     messages = F.array(*[F.lit(c.message) for c in checks])
-    return (
-        unpivoted.where(F.col("check_no") != number).unionByName(by_key)
-        .withColumn("message", messages[F.col("check_no")])
-        .select("check_no", "message", "bad_rows")
-    )
+    return totals.select(F.posexplode("bad_rows").alias("check_no", "bad_rows")).select(
+        "check_no", messages[F.col("check_no")].alias("message"), "bad_rows")
 
 
 def violation_samples(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """(check_no, sample): the five smallest offending order ids per check, comma separated."""
-    checks = contract_checks(limits)
-    flags = F.array_compact(F.array(*[F.when(_bad(c), F.lit(i)) for i, c in enumerate(checks)]))
+    """(check_no, sample): the five smallest offending order ids per check, comma separated, from one scan.
+
+    An id is named for each of its rows; what is ranked are at most five of a key, and each task passes on five of a check."""
     shown = F.coalesce(F.col("order_id").cast("string"), F.lit("None"))
-    rows = df.select(shown.alias("order_id"), F.explode(flags).alias("check_no"))
-    number = next(i for i, c in enumerate(checks) if c.message == DUPLICATED)
-    copies = _duplicates(df).select(
-        F.explode(F.array_repeat(F.col("order_id").cast("string"),
-                                 F.least("versions", F.lit(SAMPLE_SIZE)).cast("int"))).alias("order_id"),
-        F.lit(number).alias("check_no"))
+    named = F.flatten(F.transform("bad", lambda n, i: F.array_repeat(
+        F.struct(i.alias("check_no"), shown.alias("order_id")), F.least(n, F.lit(SAMPLE_SIZE)).cast("int"))))
+    broken = _by_key(df, limits).select(F.explode(named).alias("b")).select("b.check_no", "b.order_id")
     rank = F.row_number().over(Window.partitionBy("check_no").orderBy("order_id"))
-    smallest = rows.unionByName(copies).withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE_SIZE)
+    smallest = broken.withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE_SIZE)
     return smallest.groupBy("check_no").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "order_id"))),
                                  lambda s: s["order_id"]), ", ").alias("sample"))
