@@ -1,17 +1,20 @@
 """Secrets in texts: fixed patterns, and long tokens that look random to two character models.
 
 Each model is a Markov chain over the token alphabet: one of random strings, one of ordinary identifiers, trained
-from labelled samples. A token is added as a secret if its log-likelihood ratio per step reaches `margin`. All work is in
-DataFrame functions: matches and the text between them give every position.
-
-Defined results: a null text is an empty text without spans. The columns base, spans, tokens and has_* are the operator's own. Positions are code points, the end is exclusive. Repeated
-rows are judged each for itself. A token that overlaps a pattern's span is not added. A class without samples is
-uniform.
+from samples among the labelled documents. The labels at hand tell quality and toxicity, not secrets, so they choose the documents
+and the base patterns choose the class. A token is added as a secret if its log-likelihood ratio per step reaches `margin`. All
+work is in DataFrame functions: matches and the text between them give every position.
+
+Defined results: a null text is an empty text without spans; an empty table gives no rows. The columns base, spans and has_*
+are the operator's own. Positions are code points, the end is exclusive. Repeated rows are judged each for itself. Every token is
+judged, however long, in time linear in its length; one that a base span covers whole is not added, one that goes
+beyond it is. A class without samples is uniform.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +41,8 @@ SAMPLE_DOCS = 5000  # labelled documents that training reads at most
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def located(text: Column, pattern: str, group: int, least: int, rank: int, kind: str) -> Column:
-    """Spans of the leftmost, non-overlapping matches whose group is long enough."""
+def located(text: Column, pattern: str, group: int, least: int, rank: int, kind: str, also: Callable[[Column], Column] | None = None) -> Column:
+    """Spans of the leftmost, non-overlapping matches whose group is long enough; `also` is asked of these matches."""
     hits = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     inner = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1))
     gaps = F.split(text, pattern, -1)
@@ -51,12 +54,16 @@ def located(text: Column, pattern: str, group: int, least: int, rank: int, kind:
         end = begin + x["size"]
         span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
         old = F.coalesce(acc["spans"], F.array().cast(SPAN))
-        return F.struct(end.alias("at"), F.when(x["inner"] >= least, F.concat(old, F.array(span))).otherwise(acc["spans"]).alias("spans"))
+        return F.struct(end.alias("at"), F.when(x["good"], F.concat(old, F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    def good(hit: Column, inner: Column) -> Column:
+        long = F.length(inner) >= least
+        return long if also is None else F.when(long, also(hit)).otherwise(F.lit(False))
 
     zipped = F.zip_with(
-        F.zip_with(hits, inner, lambda h, i: F.struct(F.length(h).alias("size"), F.length(i).alias("inner"))),
+        F.zip_with(hits, inner, lambda h, i: F.struct(F.length(h).alias("size"), good(h, i).alias("good"))),
         F.transform(gaps, lambda g: F.length(g)),
-        lambda m, g: F.struct(g.alias("gap"), m["size"].alias("size"), m["inner"].alias("inner")),
+        lambda m, g: F.struct(g.alias("gap"), m["size"].alias("size"), m["good"].alias("good")),
     )
     # The last gap has no match behind it.
     matches = F.filter(zipped, lambda m: m["size"].isNotNull())
@@ -79,13 +86,10 @@ def code(char: Column) -> Column:
 
 
 def steps_of(token: Column) -> Column:
-    """The overlapping pairs of characters of a token, as numbers."""
-    width = len(ALPHABET) + 1
-    return F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1),
-        lambda i: F.instr(F.lit(ALPHABET), F.substr(token, i, F.lit(1))) * width
-        + F.instr(F.lit(ALPHABET), F.substr(token, i + 1, F.lit(1))),
-    )
+    """The overlapping pairs of characters of a token, as numbers. The token is cut into characters once."""
+    width, n = len(ALPHABET) + 1, F.length(token)
+    codes = F.transform(F.slice(F.split(token, ""), F.lit(1), n), code)
+    return F.zip_with(F.slice(codes, F.lit(1), n - 1), F.slice(codes, F.lit(2), n - 1), lambda a, b: a * width + b)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SAMPLE_DOCS) -> list[float]:
@@ -120,17 +124,17 @@ def find_secrets(docs: DataFrame, ratios: list[float], text: str = "text", margi
     body = F.coalesce(F.col(text), F.lit(""))
     table = F.array(*(F.lit(float(r)) for r in ratios))
     hinted = base_spans(docs, text).withColumn("has_token", body.rlike(TOKEN[:-1] + f"{{{TOKEN_LENGTH}}}"))
-    tokens = F.when(F.col("has_token"), located(body, TOKEN, 0, TOKEN_LENGTH, len(KINDS), "markov")).otherwise(F.array().cast(SPAN))
 
-    def added(s: Column) -> Column:
-        token = F.substr(body, s["start"] + 1, s["end"] - s["start"])
+    def random(token: Column) -> Column:
         score = F.aggregate(steps_of(token), F.lit(0.0), lambda a, p: a + F.element_at(table, p + 1))
-        apart = ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return apart & (score >= margin * (s["end"] - s["start"] - 1))
+        return score >= margin * (F.length(token) - 1)
+
+    tokens = F.when(F.col("has_token"), located(body, TOKEN, 0, TOKEN_LENGTH, len(KINDS), "markov", random)).otherwise(F.array().cast(SPAN))
+
+    def further(s: Column) -> Column:
+        return ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
 
-    return (hinted.withColumn("tokens", tokens)
-            .withColumn("spans", F.array_sort(F.concat("base", F.filter("tokens", added))))
-            .drop("has_token", "tokens"))
+    return hinted.withColumn("spans", F.array_sort(F.concat("base", F.filter(tokens, further)))).drop("has_token")
 
 
 def redact(found: DataFrame, text: str = "text", marker: str = "[SECRET]") -> DataFrame:

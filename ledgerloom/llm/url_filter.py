@@ -2,11 +2,12 @@
 
 Each URL becomes a set of tokens: parts of the host (`h:`), of the path (`p:`) and query keys (`q:`). FP-growth over
 labelled pages finds the combinations that come with a bad label; those with enough support and confidence are rules, and of
-two that say the same the more general one stays. A rule is filed under its rarest token; a URL looks up the rules of its
+two that say the same the more general one stays. A rule is filed under the token that is rarest among the URLs; a URL looks up the rules of its
 tokens and is blocked if all tokens of one are present. Everything is DataFrame operations.
 
-A set of more than `SET` tokens is mined in consecutive sets of that size, so that a long URL cannot have an unbounded
-number of combinations; a rule still matches anywhere in a URL.
+Whole sets are mined, however long the URL. Before, tokens that stand in too few bad URLs to be part of a rule are dropped, and of
+tokens that always stand together one is kept for all, so that what is mined grows with the tokens that matter. What a
+rule then says of the one holds for the others, as they come with it wherever a label is known.
 
 Defined results: a null URL or one without `://` has an empty host and path, no rule and no tokens, and is allowed.
 Labels that are null count as good. Pages without labels train nothing; without labelled pages nothing is
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import stored
 
-SET = 12  # tokens that are mined together
 SUPPORT = 0.002  # least share of mined sets that hold a rule's tokens and the label
 COUNT = 5  # and their least number
 CONFIDENCE = 0.8
@@ -51,13 +51,17 @@ def tokens(url: str = "url") -> Column:
 
 def mine(labelled: DataFrame, support: float = SUPPORT, count: int = COUNT, confidence: float = CONFIDENCE) -> DataFrame:
     """Rules (rule_id, antecedent, confidence, lift, support) from rows of (tokens, bad)."""
-    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("tokens") / SET) - 1)),
-                      lambda i: F.slice("tokens", i.cast("int") * SET + 1, SET))
-    sets = labelled.select("bad", F.explode(cut).alias("part"))
-    sets = stored(sets.select(F.when(F.col("bad"), F.concat("part", F.array(F.lit(BAD)))).otherwise(F.col("part")).alias("items")),
-                  "url-sets")
+    sets = stored(labelled.select(F.monotonically_increasing_id().alias("row"), "bad", "tokens"), "url-sets")
     n = sets.count()
     least = max(support, min(1.0, count / n) if n else 1.0)
+    # A token of a rule stands in at least so many bad URLs; tokens with equal sums of row hashes stand in the same URLs.
+    each = sets.select("row", "bad", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count_if("bad").alias("n_bad"), F.count("*").alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("rows"))
+    useful = each.filter(F.col("n_bad") >= F.lit(least * n - 1e-6)).groupBy("n", "rows").agg(F.min("token").alias("token")).select("token")
+    items = sets.select("row", F.explode("tokens").alias("token")).join(useful, "token").groupBy("row").agg(F.collect_set("token").alias("found"))
+    found = F.coalesce("found", F.array().cast("array<string>"))
+    sets = stored(sets.join(items, "row", "left").select(
+        F.when(F.col("bad"), F.concat(found, F.array(F.lit(BAD)))).otherwise(found).alias("items")), "url-items")
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(sets)
     rules = model.associationRules.filter(F.array_contains("consequent", BAD)).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "lift", "support")
@@ -74,8 +78,10 @@ def mine(labelled: DataFrame, support: float = SUPPORT, count: int = COUNT, conf
 def blocked(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The `url`s among rows of (url, tokens) that a rule matches, through an index of the rules by token."""
     often = rules.select("rule_id", "antecedent", F.explode("antecedent").alias("token"))
-    held = often.groupBy("token").agg(F.count("*").alias("n"))
+    tokens_in_use = often.select("token").distinct()
+    held = urls.select(F.explode("tokens").alias("token")).join(tokens_in_use, "token").groupBy("token").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct("n", "token"))["token"].alias("token")
+    # A rule with a token that no URL has matches none.
     index = often.join(held, "token").groupBy("rule_id").agg(rarest, F.first("antecedent").alias("antecedent"))
     hits = urls.select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token")
     return hits.filter(F.size(F.array_except("antecedent", "tokens")) == 0).select("url").distinct()

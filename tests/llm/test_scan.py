@@ -74,6 +74,36 @@ def test_redaction_and_empty_tables(spark):
     assert secret_scan.find_secrets(empty, flat).count() == 0
 
 
+def test_markov_spans_match_brute_force(spark):
+    """Every token of the alphabet, judged in Python; those inside a base span add nothing, those beyond it do."""
+    rng = random.Random(8)
+    ratios = [rng.uniform(-1, 1.4) for _ in range((len(secret_scan.ALPHABET) + 1) ** 2)]
+    texts = [" ".join("".join(rng.choice(secret_scan.ALPHABET + ".é") for _ in range(rng.randrange(60))) for _ in range(30)) for _ in range(40)]
+    texts += ["Zx9Qk3LmPq7RtY0123456789abcdef01234567WvB8nHs2Dd", "token=" + "aB3" * 9, "", "a" * 19, "b" * 20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secret_scan.find_secrets(df, ratios).select("doc_id", secret_scan.spelled(F.col("spans")).alias("s")).collect()}
+    width, added = len(secret_scan.ALPHABET) + 1, 0
+    for i, text in enumerate(texts):
+        base = [(int(s.split(":")[1]), list(secret_scan.KINDS).index(s.split(":")[0]), int(s.split(":")[2]), s.split(":")[0]) for s in base_spans(text)]
+        spans = list(base)
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            codes = [secret_scan.ALPHABET.index(c) + 1 for c in m[0]]
+            score = sum(ratios[a * width + b] for a, b in zip(codes, codes[1:]))
+            if score >= secret_scan.MARGIN * (len(codes) - 1) and not any(b[0] <= m.start() and m.end() <= b[2] for b in base):
+                spans.append((m.start(), 3, m.end(), "markov"))
+        added += len(spans) > len(base)
+        assert got[i] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans)), text
+    assert added > 5
+
+
+def test_long_and_touching_tokens(spark):
+    up = [1.0] * (len(secret_scan.ALPHABET) + 1) ** 2
+    long = "Qx7" * 350_000
+    df = spark.createDataFrame([(1, "see " + long + " end"), (2, "Zx9Qk3LmPq7RtY0123456789abcdef01234567WvB8nHs2Dd!")], "id int, text string")
+    out = {r["id"]: r["text"] for r in secret_scan.redact(secret_scan.find_secrets(df, up)).collect()}
+    assert out == {1: "see [SECRET] end", 2: "[SECRET]!"}
+
+
 # ---------------------------------------------------------------- URLs
 
 def by_hand(url):
@@ -130,6 +160,20 @@ def test_rules_are_frequent_and_confident_by_count(spark):
         assert not any(other < tokens for other in rules)
 
 
+def test_rules_across_long_urls(spark):
+    """A host and the last of many path words decide together; neither does alone."""
+    pages, labels = [], []
+    for i in range(400):
+        host, word = ("spam", "fair")[i % 2], ("casino", "garden")[i // 2 % 2]
+        middle = "/".join(f"w{(i * 7 + k * k) % 50}x{k}" for k in range(14))
+        pages.append((i, f"http://{host}.net/always/here/{middle}/{word}"))
+        if i < 200:
+            labels.append((i, 0 if i % 4 == 0 else 1, 0))
+    out = {r["page_id"]: r["verdict"] for r in url_filter.judge(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), []).collect()}
+    assert all(out[i] == ("block" if i % 4 == 0 else "allow") for i in range(400))
+
+
 def test_urls_without_labels_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
