@@ -198,6 +198,13 @@ def raw_product_records(spark, sf_dir):
     return rawtext.numbered(spark, sf_dir, "products").select("source_record_number", "record")
 
 
+@query
+def quoted_document_records(spark, sf_dir):
+    """Records of CSV files whose quoted texts hold line ends, read in splits and numbered."""
+    return rawtext.numbered(spark, sf_dir, "documents").select(
+        "source_record_number", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+
+
 @query
 def raw_record_counts(spark, sf_dir):
     from ledgerloom.sources.raw import read_raw_csv, read_raw_json_array
@@ -235,6 +242,13 @@ def written_fingerprints(spark, sf_dir):
     return _bucket_fingerprints(spark, rawtext.products_json(spark, sf_dir))
 
 
+@query
+def chunked_fingerprints(spark, sf_dir):
+    """Trees of chunk digests, as for files above a row's size, of files whose bytes follow from the tables."""
+    bucket = F.regexp_extract("file", "bucket=([^/]+)/", 1).alias("bucket")
+    return file_fingerprints(spark, rawtext.products_json(spark, sf_dir), whole=0, chunk=4096).select(bucket, "bytes", "sha256", "chunk_bytes")
+
+
 @query
 def superseded_copies(spark, sf_dir):
     """Superseded versions among rows with nulls, of which a third are there twice."""

@@ -558,6 +558,13 @@ SELECT lpad(CAST(p_partkey // 1000 AS VARCHAR), 9, '0') AS bucket, p_partkey //
 FROM ({RAW_PRODUCTS}) GROUP BY ALL"""
 ORACLES["written_fingerprints"] = f"""
 SELECT bucket, strlen(value) + 1 AS bytes, sha256(value || chr(10)) AS sha256 FROM ({_ARRAYS})"""
+ORACLES["chunked_fingerprints"] = f"""
+WITH c AS (SELECT bucket, strlen(value) + 1 AS bytes, unnest(range((strlen(value) + 4096) // 4096)) AS i, value || chr(10) AS body FROM ({_ARRAYS}))
+SELECT bucket, bytes, sha256(unhex(string_agg(sha256(substr(body, i * 4096 + 1, 4096)), '' ORDER BY i))) AS sha256,
+  4096::BIGINT AS chunk_bytes FROM c GROUP BY bucket, bytes"""
+ORACLES["quoted_document_records"] = """
+SELECT row_number() OVER (ORDER BY doc_id) AS source_record_number, CAST(doc_id AS VARCHAR) AS doc_id,
+  sha256(coalesce(text, '')) AS sha256 FROM documents"""
 ORACLES["source_changes"] = f"""
 SELECT bucket, sha256(value || chr(10)) AS recorded_sha256,
   CASE WHEN b > 0 THEN sha256(value || ' ' || chr(10)) END AS current_sha256

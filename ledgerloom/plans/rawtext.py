@@ -13,7 +13,7 @@ from ledgerloom.operators.staging import CUSTOMER_SOURCE, ORDER_SOURCE
 from ledgerloom.plans.tables import LINE_COLUMNS, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.landing import Source, read_numbered, write_positioned
-from ledgerloom.sources.raw import read_raw_csv, read_raw_json_array, read_raw_json_lines
+from ledgerloom.sources.raw import read_quoted_csv, read_raw_csv, read_raw_json_array, read_raw_json_lines
 
 _DAY = "cast(cast(o_orderdate AS date) AS string)"
 
@@ -130,6 +130,16 @@ def customers_csv(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "customers-csv", write)
 
 
+def documents_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Whole texts in quotes, with their line ends and quotes, in the order of the ids."""
+    def write(path: str) -> None:
+        docs = table(spark, sf_dir, "documents").orderBy("doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+        docs.write.options(header="true", escape='"', quoteAll="true", ignoreLeadingWhiteSpace="false",
+                           ignoreTrailingWhiteSpace="false", emptyValue="").csv(path)
+
+    return once(spark, sf_dir, "documents-csv", write)
+
+
 def products_json(spark: SparkSession, sf_dir: str) -> str:
     """JSON arrays of at most a fixed number of parts each, in part order."""
     def write(path: str) -> None:
@@ -173,6 +183,7 @@ def numbered(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     readers = {
         "orders": lambda: read_raw_csv(spark, orders_csv(spark, sf_dir), ORDER_SOURCE),
         "customers": lambda: read_raw_csv(spark, customers_csv(spark, sf_dir)),
+        "documents": lambda: read_quoted_csv(spark, documents_csv(spark, sf_dir), ["doc_id", "text"]),
         "products": lambda: read_raw_json_array(spark, products_json(spark, sf_dir)),
         "products_lines": lambda: read_raw_json_lines(spark, products_json_lines(spark, sf_dir)),
     }

@@ -119,7 +119,7 @@ def matches_source(recorded: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def _fingerprints(spark: SparkSession, sources: list[Source]) -> DataFrame:
-    parts = [file_fingerprints(spark, s.path).select(F.lit(s.dataset).alias("dataset"), "file", "bytes", "sha256")
+    parts = [file_fingerprints(spark, s.path).select(F.lit(s.dataset).alias("dataset"), "file", "bytes", "sha256", "chunk_bytes")
              for s in sources]
     return _union(parts)
 
