@@ -1,18 +1,20 @@
 """Quality selection by importance resampling with hashed n-gram models.
 
 Words and symbol runs are hashed into buckets, single ones and pairs (a word next to itself has a bucket of its
-own). Over a bounded sample of labelled documents the target model counts the good ones and the raw model all. The
+own). The raw model counts all documents, and the target model those of them that are good: where a label says so, or
+else a first pair of models, whose counts come from a bounded sample of labelled documents. A target model of labelled documents
+alone would lack most rare words of the raw one, and hold every unlabelled document for worse than it is. The
 log weight of a text is the sum of the log ratios of its buckets, pairs at a fifth; a document weighs as much as its
 worst passage of `WINDOW` words, if that is less than the whole, so that a long text cannot hide one. Buckets that
-the sample lacks are neutral.
+were not counted are neutral.
 
-A fifth of the sample is held out from the counts and fixes the cutoff with the fewest errors on it. As many documents as weigh
+A fifth of the sample is held out: its labels are used for no count, and fix the cutoff with the fewest errors on it. As many documents as weigh
 the cutoff or more are drawn by Gumbel top-k: noise of a small temperature, fixed by id and text, is added to each
 log weight, and the k largest stay.
 
 Defined results: a null text is an empty one; it weighs 0. Labels with a null quality or toxicity are not used. A label
 belongs to all rows with its id. Equal rows have equal keys, so ties at the threshold all stay. Without labels
-of both kinds everything stays. Extra columns stay as they are; `log_weight`, `key` and `kept` are replaced.
+of both kinds everything stays. Long texts are counted and weighed whole; an empty table gives an empty one. Extra columns stay as they are; `log_weight`, `key` and `kept` are replaced.
 """
 
 from __future__ import annotations
@@ -56,7 +58,9 @@ class Model:
     cutoff: float
 
     def weight(self, text: str) -> float:
-        words, pairs = buckets(text)
+        return self.weigh(*buckets(text))
+
+    def weigh(self, words: np.ndarray, pairs: np.ndarray) -> float:
         if not len(words):
             return 0.0
         single = self.ratios[words].astype(np.float64)
@@ -88,34 +92,52 @@ def best_cutoff(weights: np.ndarray, good: np.ndarray) -> float:
     return float(w[at - 1] + w[at]) / 2 if at < len(w) else float("inf")
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SAMPLE) -> Model:
-    """What reaches the driver is bounded: counts by bucket, and the weights of the held-out fifth of `limit` documents."""
-    known = labels.filter(F.col("quality").isNotNull() & F.col("toxic").isNotNull() & F.col(key).isNotNull())
-    ids = known.groupBy(F.col(key).alias("id")).agg(F.min((F.col("quality") > 0) & (F.col("toxic") == 0)).alias("good"))
-    ids = ids.withColumn("at", F.xxhash64("id", F.lit(11))).orderBy("at", "id").limit(limit)
-    ids = ids.withColumn("held_out", F.pmod("at", F.lit(5)) == 0).drop("at")
-    # At most `limit` rows of a number and two flags: half a megabyte.
-    sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id")
+def count_buckets(docs: DataFrame, text: str, good: str, model: Model | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of each bucket in all documents, and in the good ones: those `good` says so of, where it is null those that weigh
+    the cutoff of `model` or more. Each task adds up its own, so the driver gets one row a bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(2 << BITS, np.int64), np.zeros(2 << BITS, np.int64)
         for batch in slices(batches, "text"):
-            for t, good in zip(batch.column("text").to_pylist(), batch.column("good").to_pylist()):
-                found = np.concatenate(buckets(t or ""))
+            for t, known in zip(batch.column("text").to_pylist(), batch.column("good").to_pylist()):
+                words, pairs = buckets(t or "")
+                found = np.concatenate([words, pairs])
                 np.add.at(raw, found, 1)
-                if good:
+                if known or (known is None and model is not None and model.weigh(words, pairs) >= model.cutoff):
                     np.add.at(target, found, 1)
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, raw[used], target[used])], ["bucket", "raw", "target"])
 
-    counted = sample.filter("NOT held_out").mapInArrow(count, "bucket long, raw long, target long")
+    texts = docs.select(F.col(text).alias("text"), F.col(good).alias("good"))
+    counted = texts.mapInArrow(count, "bucket long, raw long, target long")
     raw, target = np.zeros(2 << BITS), np.zeros(2 << BITS)
     for r in counted.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).toLocalIterator():
         raw[r[0]], target[r[0]] = r[1], r[2]
-    model = Model(log_ratios(raw, target), float("-inf"))
-    held = score(sample.filter("held_out").select("id", "text", "good"), model, "id").select("log_weight", "good").collect()
-    cutoff = best_cutoff(np.array([r[0] for r in held]), np.array([r[1] for r in held], bool))
-    return Model(model.ratios, cutoff)
+    return raw, target
+
+
+def with_cutoff(model: Model, held_out: DataFrame) -> Model:
+    """The model with the cutoff that fits the held-out (id, text, good) best."""
+    held = score(held_out, model, "id").select("log_weight", "good").collect()
+    return Model(model.ratios, best_cutoff(np.array([r[0] for r in held]), np.array([r[1] for r in held], bool)))
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SAMPLE) -> Model:
+    """What reaches the driver is bounded: counts by bucket, and the weights of the held-out fifth of `limit` documents."""
+    known = labels.filter(F.col("quality").isNotNull() & F.col("toxic").isNotNull() & F.col(key).isNotNull())
+    ids = known.groupBy(F.col(key).alias("id")).agg(F.min((F.col("quality") > 0) & (F.col("toxic") == 0)).alias("good"))
+    ids = ids.withColumn("at", F.xxhash64("id", F.lit(11))).orderBy("at", "id").limit(limit)
+    # At most `limit` rows of a number and two flags: half a megabyte.
+    ids = F.broadcast(stored(ids.withColumn("held_out", F.pmod("at", F.lit(5)) == 0).drop("at"), "labelled"))
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    sample = texts.join(ids, "id")
+    held_out = sample.filter("held_out").select("id", "text", "good")
+    first = Model(log_ratios(*count_buckets(sample.filter("NOT held_out"), "text", "good")), float("-inf"))
+    first = with_cutoff(first, held_out)
+    # A held-out document is to be judged like one without a label.
+    marked = texts.join(ids, "id", "left").withColumn("good", F.expr("CASE WHEN NOT held_out THEN good END"))
+    whole = Model(log_ratios(*count_buckets(marked, "text", "good", first)), float("-inf"))
+    return with_cutoff(whole, held_out)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

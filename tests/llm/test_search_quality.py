@@ -1,9 +1,12 @@
+import collections
+import math
 import random
 import re
 
 import numpy as np
 import pytest
 from brute import rows
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import importance, topk
@@ -79,6 +82,56 @@ def test_quality_holds_out(spark):
     assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.5 * len(bad)
 
 
+def test_models_count_all_documents(spark):
+    """Weights, cutoff and the drawn documents, as a plain version over all texts gives them."""
+    docs = spark.read.parquet(f"/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/sf0.01/labels.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    sample = [r for r in labels.select("doc_id", "quality", "toxic", F.expr("pmod(xxhash64(doc_id, 11), 5) = 0").alias("held")).collect()
+              if None not in r and r["doc_id"] in texts]
+    good = {r["doc_id"]: r["quality"] > 0 and r["toxic"] == 0 for r in sample}
+    held = {r["doc_id"] for r in sample if r["held"]}
+
+    def ratios(raw, target):
+        out = {}
+        for part in ("w", "p"):
+            size = [sum(n for (kind, _), n in c.items() if kind == part) for c in (raw, target)]
+            for at in (k for k in raw if k[0] == part):
+                out[at] = math.log((target[at] + 0.5) / (raw[at] * size[1] / max(1, size[0]) + 0.5))
+        return out
+
+    def grams(text):
+        words, pairs = importance.buckets(text)
+        return [("w", b) for b in words.tolist()], [("p", b) for b in pairs.tolist()]
+
+    def weight(text, ratio):
+        words, pairs = ([ratio.get(g, 0.0) for g in gs] for gs in grams(text))
+        n = min(importance.WINDOW, len(words))
+        worst = min((sum(words[k:k + n]) for k in range(len(words) - n + 1)), default=0.0)
+        return min(worst, sum(words) + importance.PAIR_SHARE * sum(pairs))
+
+    def model(of, is_good):
+        raw, target = collections.Counter(), collections.Counter()
+        for d in of:
+            found = [g for gs in grams(texts[d]) for g in gs]
+            raw.update(found)
+            target.update(found if is_good(d) else [])
+        ratio = ratios(raw, target)
+        fit = sorted(held)
+        cut = importance.best_cutoff(np.array([weight(texts[d], ratio) for d in fit]), np.array([good[d] for d in fit]))
+        return ratio, cut
+
+    first, cut = model(set(good) - held, good.get)
+    ratio, cut = model(texts, lambda d: good[d] if d in good and d not in held else weight(texts[d], first) >= cut)
+    want = {d: weight(t, ratio) for d, t in texts.items()}
+    got = {r["doc_id"]: r for r in importance.score(docs, importance.train(docs, labels)).collect()}
+    assert set(got) == set(want) and all(abs(got[d]["log_weight"] - w) < 1e-2 for d, w in want.items())
+    k = sum(w >= cut for w in want.values())
+    drawn = sorted(got, key=lambda d: -got[d]["key"])[:k]
+    assert 0 < k < len(want)
+    assert {r["doc_id"] for r in importance.resample(docs, labels).filter("kept").collect()} == set(drawn)
+
+
 def test_quality_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (None, "a b", 0.5), (3, "a b", 0.5), (3, "a b", 0.5), (4, "x" * 50_000, 0.5)],
                                  "doc_id long, text string, log_weight double")
