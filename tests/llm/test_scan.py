@@ -183,6 +183,35 @@ def test_urls_without_labels_or_pages(spark):
 
 # ---------------------------------------------------------------- licences
 
+def wrapped(text, width):
+    import textwrap
+
+    return "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+
+
+def test_licences_at_any_width(spark, tmp_path):
+    """Whole licences from a folder and from the module, wrapped at three widths, under headers of their own."""
+    known = dict(license_scan.NOTICES)
+    rules = "1. You may (c) 2 copies.\n\n(c) You must retain all copyright, patent and trademark notices in whole.\n\n"
+    known["Long-1.0"] = (rules + "Copyright holders grant a licence, licence or license to organisation members. " * 3 + "\n\n") * 40
+    (tmp_path / "Long-1.0.txt").write_text(known["Long-1.0"])
+    licenses = license_scan.known_licenses(spark).unionByName(license_scan.licenses_in(spark, str(tmp_path)))
+    rows = [(i, n, f"Copyright (c) 20{w} A. Nother\n" + wrapped(t, w)) for i, (n, t) in enumerate(known.items()) for w in (40, 72, 99)]
+    df = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    found = license_scan.scan(df, licenses).select("want", "license").collect()
+    assert len(found) == 3 * len(known) and {(r["want"], r["license"]) for r in found} == {(n, n) for n in known}
+
+
+def test_licence_forms(spark):
+    texts = ["licence licence", "license license", "copyright notices stay", "Copyright 2020 X", "# (c) 2020 X\nword", "(c) keep this", "word"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, canonical_sha256 string")
+    none = license_scan.known_licenses(spark).limit(0)
+    got = {r["doc_id"]: r["canonical_sha256"] for r in license_scan.scan(df, none).collect()}
+    assert got[0] == got[1] and got[3] is None and got[4] == got[6]
+    assert len({got[i] for i in (0, 2, 5, 6)}) == 4 and None not in (got[2], got[5])
+    assert license_scan.scan(df.limit(0), license_scan.known_licenses(spark)).count() == 0
+
+
 def test_licences_match_in_any_dress(spark):
     mit = license_scan.NOTICES["MIT"]
     dressed = "/*\n * " + mit.upper().replace("\n", "\n * ").replace("MIT LICENSE", "MIT LICENCE\n * Copyright (c) 2020 Someone, All Rights Reserved\n") + "\n */"
