@@ -591,6 +591,17 @@ def partition_manifest(spark, sf_dir):
     return counts.withColumn("partition_key", partitions.partition_key(F.col("order_year"), F.col("order_month")))
 
 
+@query
+def partition_run_manifest(spark, sf_dir):
+    """Lines of two runs written by month; the manifest of the written files, with the run ids they hold."""
+    run = F.when(F.col("l_linenumber") % 2 == 0, "run_even").otherwise("run_odd")
+    lines = table(spark, sf_dir, "lineitem").select(
+        tables.line_id().alias("order_id"), F.col("l_shipdate").alias("order_timestamp"), run.alias("pipeline_run_id"))
+    path = scratch_path(spark, "manifest")
+    partitions.write_months(lines, f"{path}/rows")
+    return _text_times(partitions.write_manifest(spark, f"{path}/rows", f"{path}/manifest"))
+
+
 @query
 def partition_bounds(spark, sf_dir):
     keyed = partitions.with_partition(_dated_lines(spark, sf_dir))
@@ -746,6 +757,15 @@ def _run_all(spark, sf_dir) -> Pipeline:
     return pipe
 
 
+@query
+def written_row_counts(spark, sf_dir):
+    """Rows each dataset writes to staging, counted by the writing tasks themselves: no job reads them again."""
+    pipe = Pipeline(spark, scratch_path(spark, "run"), rawtext.sources(spark, sf_dir), LIMITS)
+    pipe.extract("run_1")
+    found = [{"dataset": s.dataset, **pipe.write_classified("run_1", s.dataset, AT)} for s in pipe.sources]  # three datasets
+    return spark.createDataFrame(found, "dataset string, rows_out bigint, staged bigint, quarantined bigint")
+
+
 @query
 def full_run_reconciliation(spark, sf_dir):
     """Land, transform, load and validate all derived sources; the reconciliation of the run."""

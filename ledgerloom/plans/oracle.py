@@ -350,6 +350,8 @@ ORACLES["route_reconciliation"] = " UNION ALL ".join(
 FROM (SELECT count(*) FILTER (WHERE route = 'staged') AS staged, count(*) FILTER (WHERE route <> 'staged') AS quarantined
       FROM ({c})), (SELECT count(*) AS raw FROM ({raw}))""" for n, (c, raw) in _STAGED.items())
 ORACLES["full_run_reconciliation"] = ORACLES["route_reconciliation"]
+ORACLES["written_row_counts"] = f"""
+SELECT dataset, CAST(staged + quarantined AS BIGINT) AS rows_out, staged, quarantined FROM ({ORACLES["route_reconciliation"]})"""
 _ALL_REJECTS = " UNION ALL ".join(
     quarantine(c, n, k) for (n, (c, _)), k in zip(_STAGED.items(), ("customer_id", "product_id", "order_id")))
 ORACLES["quarantine_by_reason"] = f"""
@@ -519,6 +521,11 @@ GROUP BY 1, 2"""
 ORACLES["partition_counts"] = ORACLES["partition_manifest"] = """
 SELECT *, 'order_year=' || order_year || '/order_month=' || order_month AS partition_key
 FROM (""" + _BY_MONTH.format(cols="count(*) AS row_count") + ")"
+ORACLES["partition_run_manifest"] = f"""
+SELECT year(l_shipdate) AS order_year, month(l_shipdate) AS order_month,
+  'order_year=' || year(l_shipdate) || '/order_month=' || month(l_shipdate) AS partition_key,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'run_even' ELSE 'run_odd' END AS pipeline_run_id, count(*) AS row_count,
+  {micros('min(l_shipdate)')} AS first_at, {micros('max(l_shipdate)')} AS last_at FROM lineitem GROUP BY ALL"""
 ORACLES["partition_bounds"] = _BY_MONTH.format(
     cols=f"{micros('min(l_shipdate)')} AS first_at, {micros('max(l_shipdate)')} AS last_at")
 _IN_MONTH = f"""

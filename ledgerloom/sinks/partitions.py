@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.errors import MisfiledRows, MissingSource
+from ledgerloom.sinks.metrics import ROWS, counted_write
 from ledgerloom.sources.paths import path_exists
 
 PARTITION_COLUMNS = ("order_year", "order_month")
@@ -43,16 +44,33 @@ def require_month(df: DataFrame, year: int, month: int, where: str) -> None:
         raise MisfiledRows(f"{outside} row(s) in {where} do not belong to {year}-{month:02d}")
 
 
+def by_month(df: DataFrame) -> DataFrame:
+    return with_partition(df).hint("rebalance", *PARTITION_COLUMNS)
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    return df.sortWithinPartitions(*PARTITION_COLUMNS, "order_timestamp", "order_id")
+
+
 def arranged(df: DataFrame) -> DataFrame:
     """Rows laid out for a partitioned write: grouped by month, sorted by time and id within a file."""
-    keyed = with_partition(df)
-    order = [*PARTITION_COLUMNS, "order_timestamp", "order_id"]
-    return keyed.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
+    return in_order(by_month(df))
+
+
+def write_months(df: DataFrame, path: str) -> int:
+    """Write a new, not yet published location; the number of rows written, counted on the way."""
+    return counted_write(by_month(df), lambda rows: in_order(rows).write.mode("overwrite").partitionBy(
+        *PARTITION_COLUMNS).parquet(path))[ROWS]
 
 
-def write_months(df: DataFrame, path: str) -> None:
-    """Write a new, not yet published location."""
-    arranged(df).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
+def write_manifest(spark: SparkSession, path: str, manifest: str, run: str = "pipeline_run_id") -> DataFrame:
+    """Record what a written location holds: (order_year, order_month, partition_key, run, row_count, first_at, last_at), a row for each
+    month and run id, from one scan of two columns. The manifest is written last and read back."""
+    held = spark.read.parquet(path).groupBy(*PARTITION_COLUMNS, run).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("order_timestamp").alias("first_at"), F.max("order_timestamp").alias("last_at"))
+    keyed = held.withColumn("partition_key", partition_key(F.col("order_year"), F.col("order_month")))
+    keyed.write.mode("overwrite").parquet(manifest)
+    return spark.read.schema(keyed.schema).parquet(manifest)
 
 
 def read_month_directory(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
