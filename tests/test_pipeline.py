@@ -221,3 +221,32 @@ def test_large_prices_are_quarantined_and_the_run_goes_on(spark, sources):
     assert str(pipe.table.read().where("order_id = 'L4'").first()["unit_price"]) == "999999999999.99"
     found = {(r["measure"], r["dataset"]): r["value"] for r in pipe.measures("run_a").where("reason IS NULL").collect()}
     assert found["email_missing", "customers"] == 1 and found["curated_out", "orders"] == 4
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    from ledgerloom.sinks.metrics import counted_write
+    from ledgerloom.sinks.partitions import write_manifest, write_months
+
+    rows = spark.range(5000, numPartitions=7)
+    for name, df, want in (("all", rows, (5000, 2500)), ("none", rows.limit(0), (0, 0)), ("shuffled", rows.repartition(3, "id"), (5000, 2500))):
+        got = counted_write(df, lambda d, n=name: d.write.parquet(str(tmp_path / n)), even=F.count_if(F.col("id") % 2 == 0))
+        assert (got["rows_out"], got["even"]) == want
+    months = rows.selectExpr("concat('O', id) AS order_id", "make_timestamp(2025, CAST(id % 3 + 1 AS INT), 1, 0, 0, 0) AS order_timestamp",
+                             "concat('run_', id % 2) AS pipeline_run_id")
+    path = scratch_path(spark, "months")
+    assert write_months(months, f"{path}/rows") == 5000
+    manifest = write_manifest(spark, f"{path}/rows", f"{path}/manifest").collect()
+    assert len(manifest) == 6 and sum(r["row_count"] for r in manifest) == 5000
+    assert {r["partition_key"] for r in manifest} == {f"order_year=2025/order_month={m}" for m in (1, 2, 3)}
+
+
+def test_the_run_keeps_a_manifest(spark, sources):
+    pipe = Pipeline(spark, scratch_path(spark, "run"), sources)
+    with pytest.raises(MissingSource):
+        pipe.partition_manifest("run_m")
+    pipe.extract("run_m")
+    done = pipe.transform("run_m")
+    held = pipe.partition_manifest("run_m").collect()
+    assert {r["pipeline_run_id"] for r in held} == {"run_m"} and sum(r["row_count"] for r in held) == done["rows_out"]
+    assert done["rows_out"] == pipe.curated("run_m").count()
+    assert done["layers"]["rows_quarantined"] == pipe.quarantine("run_m").count()

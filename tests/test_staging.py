@@ -139,3 +139,23 @@ def test_exact_median(spark):
     for g in ("a", "b", "c", "d", None):
         assert got[g] == statistics.median([v for k, v in data if k == g and v is not None])
     assert got["e"] is None
+
+
+def test_median_ranges_are_narrow_despite_outliers(spark):
+    """One huge value, or a value that is most of a group, does not bring the rest of the group into one range."""
+    import statistics
+
+    from ledgerloom.operators import median
+
+    far = [("a", float(i * 7919 % 100_003)) for i in range(100_000)] + [("a", 1e300), ("a", -1e300), ("a", float("inf"))]
+    same = [("b", 5.0)] * 20_000 + [("b", float(i)) for i in range(10_000)]
+    df = spark.createDataFrame(far + same, "g string, v double").repartition(4)
+    want = {g: statistics.median([v for k, v in far + same if k == g]) for g in "ab"}
+    for rounds in (0, 1, 2, 3):
+        assert {r["g"]: r["median"] for r in median.exact_median(df, "g", "v", rounds).collect()} == want
+    n = {"a": len(far), "b": len(same)}
+    ranks = spark.createDataFrame([(g, (k - 1) // 2, k // 2) for g, k in n.items()], "rg string, first bigint, second bigint")
+    inside, left = median.narrowed(df, ranks)
+    kept = {r["g"]: (r["n"], r["values"]) for r in inside.groupBy("g").agg(F.count("*").alias("n"), F.count_distinct("v").alias("values")).collect()}
+    assert kept["a"][0] < 1000 and kept["b"][1] == 1
+    assert all(0 <= r["first"] <= r["second"] < kept[r["rg"]][0] for r in left.collect())
