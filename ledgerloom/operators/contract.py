@@ -17,6 +17,7 @@ from ledgerloom.functions.money import discount_cents, to_basis_points, to_cents
 from ledgerloom.operators.rules import DEFAULT_LIMITS, Limits, not_in
 
 SAMPLE_SIZE = 5
+BUCKETS = 4096  # of keys, in the comparison of row sets
 DUPLICATED = "order_id is duplicated"
 HASH_MISMATCH = "record_hash does not match business columns"
 
@@ -219,24 +220,46 @@ def table_errors(stored: DataFrame, expected: DataFrame, limits: Limits = DEFAUL
     return [f"{name}: {text}" for failed, text in found if failed]
 
 
+def _identities(df: DataFrame) -> DataFrame:
+    """(order_id, record_hash, bucket): the bucket follows from the id, so all rows of an id share one."""
+    ids = df.select(F.col("order_id").cast("string").alias("order_id"), F.col("record_hash").cast("string").alias("record_hash"))
+    return ids.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)))
+
+
+def multiset_digests(df: DataFrame) -> dict[int, tuple[int, ...]]:
+    """bucket -> number of rows and order-free sums of two 64-bit hashes of each row, halves summed apart so that they cannot
+    overflow below two billion rows a bucket. Sums combine before the shuffle; at most `BUCKETS` rows reach the driver."""
+    halves = []
+    for seed in (41, 43):
+        h = F.xxhash64("order_id", "record_hash", F.col("order_id").isNull(), F.col("record_hash").isNull(), F.lit(seed))
+        halves += [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))]
+    sums = _identities(df).groupBy("bucket").agg(F.count(F.lit(1)), *halves).collect()
+    return {r[0]: tuple(r[1:]) for r in sums}
+
+
 def row_set_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """(expected_rows, actual_rows, mismatched): equal sets have equal counts and nothing mismatched.
 
-    Both sides are reduced to one row per (id, hash) before the join, so copies never multiply.
+    Digests by bucket of the key are compared first; only the rows of buckets whose digests differ are shuffled and joined, so equal sets
+    cost a scan each. Two buckets of different rows pass for equal if both their 64-bit sums agree by chance. Both sides are
+    reduced to one row per (id, hash) before the join, so copies never multiply.
     """
+    ours, theirs = multiset_digests(expected), multiset_digests(actual)
+    rows = [sum(d[0] for d in side.values()) for side in (ours, theirs)]
+    differ = sorted(k for k in ours.keys() | theirs.keys() if ours.get(k) != theirs.get(k))
+    if not differ:
+        return expected.sparkSession.createDataFrame([(*rows, 0)], "expected_rows bigint, actual_rows bigint, mismatched bigint")
+
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col("order_id").cast("string").alias("order_id"),
-                          F.col("record_hash").cast("string").alias("record_hash")).agg(
-            F.count(F.lit(1)).alias(name))
+        met = _identities(df)
+        if len(differ) < BUCKETS // 2:
+            met = met.where(F.col("bucket").isin(differ))
+        return met.groupBy("order_id", "record_hash").agg(F.count(F.lit(1)).alias(name))
 
-    on = ["order_id", "record_hash"]
     left, right = side(expected, "expected_rows"), side(actual, "actual_rows")
-    joined = left.join(right, [left[c].eqNullSafe(right[c]) for c in on], "full")
-    return joined.agg(
-        F.coalesce(F.sum("expected_rows"), F.lit(0)).alias("expected_rows"),
-        F.coalesce(F.sum("actual_rows"), F.lit(0)).alias("actual_rows"),
-        F.count_if(~F.col("expected_rows").eqNullSafe(F.col("actual_rows"))).alias("mismatched"),
-    )
+    joined = left.join(right, [left[c].eqNullSafe(right[c]) for c in ("order_id", "record_hash")], "full")
+    unlike = F.count_if(~F.col("expected_rows").eqNullSafe(F.col("actual_rows"))).alias("mismatched")
+    return joined.agg(unlike).select(*[F.lit(n).cast("bigint").alias(c) for n, c in zip(rows, ("expected_rows", "actual_rows"))], "mismatched")
 
 
 def require_same_rows(expected: DataFrame, actual: DataFrame, label: str) -> None:

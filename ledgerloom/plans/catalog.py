@@ -462,7 +462,8 @@ def rows_by_key_list(spark, sf_dir):
 
 @query
 def row_set_equality(spark, sf_dir):
-    new, old = tables.curated_lines(spark, sf_dir), tables.previous_lines(spark, sf_dir)
+    new = _written(spark, sf_dir, "curated", tables.curated_lines)
+    old = _written(spark, sf_dir, "previous", tables.previous_lines)
     same = contract.row_set_difference(new, new.select("order_id", "record_hash").repartition("record_hash"))
     return same.withColumn("pair", F.lit("same")).unionByName(
         contract.row_set_difference(new, old).withColumn("pair", F.lit("old")))

@@ -128,3 +128,22 @@ def test_row_set_equality(curated):
     contract.require_same_rows(curated, curated, "same")
     with pytest.raises(ContractViolation, match="holds 2 of 1 rows"):
         contract.require_same_rows(curated, curated.unionByName(curated), "twice")
+
+
+def test_row_sets_by_digests(spark, monkeypatch):
+    """Against counted pairs: nulls, copies, moved hashes, empty sides; few buckets, so that some agree and some differ."""
+    import random
+    from collections import Counter
+
+    rng, schema = random.Random(9), "order_id string, record_hash string"
+    base = [(rng.choice([None, *map(str, range(40))]), rng.choice([None, "x", "y"])) for _ in range(300)]
+    sides = [base, base[::-1], base[1:], [*base, base[0]], [*base[1:], ("7", "new")], [], [(i, None) for i, _ in base]]
+    for buckets in (4, 64):
+        monkeypatch.setattr(contract, "BUCKETS", buckets)
+        for other in sides:
+            r = contract.row_set_difference(spark.createDataFrame(base, schema), spark.createDataFrame(other, schema)).first()
+            a, b = Counter(base), Counter(other)
+            assert tuple(r) == (len(base), len(other), sum(a[k] != b[k] for k in a.keys() | b.keys()))
+    monkeypatch.undo()
+    same = contract.row_set_difference(spark.createDataFrame(base, schema), spark.createDataFrame(base[::-1], schema))
+    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
