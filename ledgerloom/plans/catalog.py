@@ -767,6 +767,27 @@ def written_row_counts(spark, sf_dir):
     return spark.createDataFrame(found, "dataset string, rows_out bigint, staged bigint, quarantined bigint")
 
 
+def _transformed(spark, sf_dir) -> Pipeline:
+    pipe = Pipeline(spark, scratch_path(spark, "run"), rawtext.sources(spark, sf_dir), LIMITS)
+    pipe.extract("run_1")
+    pipe.transform("run_1")
+    return pipe
+
+
+@query
+def quarantine_report(spark, sf_dir):
+    """Both layers of a run's quarantine: every staging reject and the first curated one of each reason, with the numbers
+    of their raw records."""
+    examples = report.quarantine_examples(_transformed(spark, sf_dir).quarantine("run_1"))
+    return examples.select("layer", "dataset", "business_key", "source_record_number", "reason_codes")
+
+
+@query
+def run_measures(spark, sf_dir):
+    """All counts of a run in one table."""
+    return _transformed(spark, sf_dir).measures("run_1")
+
+
 @query
 def full_run_reconciliation(spark, sf_dir):
     """Land, transform, load and validate all derived sources; the reconciliation of the run."""

@@ -356,6 +356,31 @@ _ALL_REJECTS = " UNION ALL ".join(
     quarantine(c, n, k) for (n, (c, _)), k in zip(_STAGED.items(), ("customer_id", "product_id", "order_id")))
 ORACLES["quarantine_by_reason"] = f"""
 SELECT layer, dataset, reason_codes, count(*) AS records FROM ({_ALL_REJECTS}) GROUP BY ALL"""
+# Staged orders against the staged and the rejected keys of the other two sources.
+_RUN_ROUTED = f"""
+SELECT o.order_id, o.n, concat_ws(';',
+  CASE WHEN c.k IS NULL AND rc.k IS NOT NULL THEN 'customer_rejected_in_staging' END,
+  CASE WHEN c.k IS NULL AND rc.k IS NULL THEN 'orphan_customer_id' END,
+  CASE WHEN p.k IS NULL AND rp.k IS NOT NULL THEN 'product_rejected_in_staging' END,
+  CASE WHEN p.k IS NULL AND rp.k IS NULL THEN 'orphan_product_id' END) AS reference_codes
+FROM (SELECT * FROM ({_ORDERS}) WHERE route = 'staged') o
+LEFT JOIN (SELECT customer_id AS k FROM ({_STAGED_CUSTOMERS}) WHERE route = 'staged') c ON o.customer_id = c.k
+LEFT JOIN (SELECT product_id AS k FROM ({_STAGED_PRODUCTS}) WHERE route = 'staged') p ON o.product_id = p.k
+LEFT JOIN (SELECT DISTINCT business_key AS k FROM ({_ALL_REJECTS}) WHERE dataset = 'customers') rc ON o.customer_id = rc.k
+LEFT JOIN (SELECT DISTINCT business_key AS k FROM ({_ALL_REJECTS}) WHERE dataset = 'products') rp ON o.product_id = rp.k"""
+ORACLES["quarantine_report"] = f"""
+SELECT layer, dataset, business_key, source_record_number, reason_codes FROM ({_ALL_REJECTS})
+UNION ALL SELECT 'curated', 'orders', min(order_id), arg_min(n, order_id), reference_codes
+FROM ({_RUN_ROUTED}) WHERE reference_codes <> '' GROUP BY reference_codes"""
+ORACLES["run_measures"] = f"""
+SELECT measure, dataset, NULL::VARCHAR AS reason, value
+FROM (UNPIVOT ({ORACLES["route_reconciliation"]}) ON "raw", staged, quarantined, superseded INTO NAME measure VALUE value)
+UNION ALL SELECT 'email_missing', 'customers', NULL, count(*) FROM ({_STAGED_CUSTOMERS}) WHERE route = 'staged' AND is_email_missing
+UNION ALL SELECT 'curated_in', 'orders', NULL, count(*) FROM ({_RUN_ROUTED})
+UNION ALL SELECT 'curated_out', 'orders', NULL, count(*) FROM ({_RUN_ROUTED}) WHERE reference_codes = ''
+UNION ALL SELECT 'quarantined_for', dataset, 'staging/' || reason_codes, count(*) FROM ({_ALL_REJECTS}) GROUP BY dataset, reason_codes
+UNION ALL SELECT 'quarantined_for', 'orders', 'curated/' || reference_codes, count(*)
+FROM ({_RUN_ROUTED}) WHERE reference_codes <> '' GROUP BY reference_codes"""
 ORACLES["rejected_keys"] = f"""
 SELECT dataset, business_key, reason_codes FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, business_key

@@ -26,6 +26,13 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in listed if f.isDirectory()]
 
 
+def data_files(spark: SparkSession, path: str) -> int:
+    """How many files Spark has written into a folder, not counting markers."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return sum(f.isFile() and f.getPath().getName()[0] not in "._" for f in listed)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -151,6 +151,42 @@ def test_history_keeps_attempts_and_counts(spark):
     assert attempts["load"]["completed_at_utc"] >= attempts["load"]["started_at_utc"]
 
 
+def test_history_is_read_from_a_bounded_number_of_files(spark):
+    history = RunHistory(spark, scratch_path(spark, "hist"), fold=6)
+    for i in range(20):
+        with history.attempt(f"r{i % 3}", "load", i) as outcome:
+            outcome |= {"rows_in": i, "layers": {"rows_curated": i} if i % 4 else {}}
+        assert len(history.events().inputFiles()) <= 2 * 6 + 1
+    assert history._snapshot() == 6 and min(history._numbers("events") + history._numbers("snapshot")) == 5
+    assert sorted((r["attempt"], r["rows_in"], r["status"]) for r in stage_attempts(history.events()).collect()) == [
+        (i, i, "SUCCESS") for i in range(20)]
+    states = by_key(run_states(history.events()), "pipeline_run_id", "rows_curated")
+    assert states == {"r0": 18, "r1": 19, "r2": 17}
+
+    # A snapshot that broke off is none; an event that comes late to a folded folder is seen, and taken in by the next snapshot.
+    broken = history._folder("snapshot", 7)
+    spark.createDataFrame([], history.events().schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(broken)
+    assert history._snapshot() == 6 and history.events().count() == 40
+    late = history.events().where("attempt = 0").limit(1).withColumn("attempt_id", F.lit("late"))
+    late.write.mode("append").parquet(history._folder("events", 6))
+    assert history.events().count() == 41
+    history.take_snapshot(7)
+    assert history._snapshot() == 7 and history.events().count() == 41 and history._numbers("events")[0] == 6
+
+
+def test_a_failing_snapshot_keeps_the_events(spark, monkeypatch):
+    history = RunHistory(spark, scratch_path(spark, "hist"), fold=2)
+    monkeypatch.setattr(history, "take_snapshot", lambda number: 1 / 0)
+    for i in range(2):
+        with history.attempt("r", "load", i):
+            pass
+    assert history.events().count() == 4
+    monkeypatch.undo()
+    with history.attempt("r", "load", 2):
+        pass
+    assert history._snapshot() == 1 and history.events().count() == 6
+
+
 def test_an_audit_outage_does_not_hide_the_error(spark, monkeypatch):
     history = RunHistory(spark, scratch_path(spark, "hist"))
     history.path = "nosuchfs://nowhere/events"
