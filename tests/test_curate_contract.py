@@ -2,108 +2,133 @@ from decimal import Decimal
 
 import pytest
 from conftest import NOW, RUN
-from fixtures import by_key, customer, customers_raw, order, orders_raw, product, products_raw
+from fixtures import by_key, raw
 from pyspark.sql import functions as F
 
 from ledgerloom.errors import CardinalityError, ContractViolation
+from ledgerloom.functions.hashing import business_hash
 from ledgerloom.operators import contract, curate, staging
 
+# quantity, price and discount of an order, then its gross, discount and net amount. The first is a fixed value: half a cent goes up.
+AMOUNTS = {
+    "B-1": ("1", "48375.06", "0.1", "48375.06", "4837.51", "43537.55"),
+    "B-2": ("3", "19.99", "0.125", "59.97", "7.50", "52.47"),
+    "B-3": ("20", "0.05", "1", "1.00", "1.00", "0.00"),
+    "B-4": ("7", "0.145", "", None, None, None),
+}
+# The references of an order without match, its codes, and one detail.
+LOOSE = {
+    "L-1": ("K-99", "W-5", "orphan_customer_id", "customer_id K-99 not found in staging customers"),
+    "L-2": ("K-17", "W-99", "orphan_product_id", "product_id W-99 not found in staging products"),
+    "L-3": ("K-17", "W-6", "product_rejected_in_staging",
+            "product_id W-6 exists in the source but was quarantined in staging (negative_unit_price)"),
+    "L-4": ("K-18", "W-99", "customer_rejected_in_staging;orphan_product_id",
+            "customer_id K-18 exists in the source but was quarantined in staging (invalid_created_at); "
+            "product_id W-99 not found in staging products"),
+}
+
 
 @pytest.fixture(scope="module")
 def layers(spark):
-    customers, cq = staging.stage(customers_raw(
-        spark, customer("C1"), customer("C9", created="bad")), staging.customers(), RUN, NOW)
-    products, pq = staging.stage(
-        products_raw(spark, product("P1", 48375.06), product("P2", -1.0)), staging.products(), RUN, NOW)
-    orders, oq = staging.stage(orders_raw(
-        spark, order("O1", qty="1", price="48375.06", pct="0.1"), order("O2", cid="C404"),
-        order("O3", pid="P404"), order("O4", pid="P2"), order("O5", cid="C9", pid="P404")),
-        staging.orders(), RUN, NOW)
-    return orders, customers, products, cq.unionByName(pq).unionByName(oq)
+    """(orders, customers, products, rejects): one faultless and one rejected record of each dimension."""
+    priced = [{"order_id": k, "quantity": q, "unit_price": p, "discount_pct": d} for k, (q, p, d, *_) in AMOUNTS.items()]
+    loose = [{"order_id": k, "customer_id": c, "product_id": p} for k, (c, p, *_) in LOOSE.items()]
+    made = {
+        "orders": (raw(spark, "orders", *priced, *loose), staging.orders()),
+        "customers": (raw(spark, "customers", {}, {"customer_id": "K-18", "created_at": "someday"}), staging.customers()),
+        "products": (raw(spark, "products", {}, {"product_id": "W-6", "unit_price": -3}), staging.products()),
+    }
+    staged, rejected = zip(*(staging.stage(*one, RUN, NOW) for one in made.values()))
+    return *staged, rejected[0].unionByName(rejected[1]).unionByName(rejected[2])
 
 
 @pytest.fixture(scope="module")
-def curated(layers):
+def built(layers):
     orders, customers, products, rejected = layers
-    return curate.build_curated(orders, customers, products, RUN, NOW, rejected)[0].cache()
+    return curate.build_curated(orders, customers, products, RUN, NOW, rejected)
 
 
-def test_amounts_and_orphans_are_quarantined_not_dropped(layers, curated):
-    orders, customers, products, rejected = layers
-    _, quarantine = curate.build_curated(orders, customers, products, RUN, NOW, rejected)
-    row = curated.first()
-    assert curated.count() == 1 and row["order_id"] == "O1"
-    assert (row["gross_amount"], row["discount_amount"], row["net_amount"]) == (
-        Decimal("48375.06"), Decimal("4837.51"), Decimal("43537.55"))
-    assert (row["customer_city"], row["category"]) == ("Pasig", "Tablet")
-    assert by_key(quarantine, "business_key", "reason_codes") == {
-        "O2": "orphan_customer_id", "O3": "orphan_product_id", "O4": "product_rejected_in_staging",
-        "O5": "customer_rejected_in_staging;orphan_product_id"}
-    details = by_key(quarantine, "business_key", "reason_detail")
-    assert details["O4"] == ("product_id P2 exists in the source but was quarantined in staging "
-                             "(negative_unit_price)")
-    assert details["O2"] == "customer_id C404 not found in staging customers"
-    assert {(r["layer"], r["dataset"]) for r in quarantine.collect()} == {("curated", "orders")}
-    image = by_key(quarantine, "business_key", "source_record")["O2"]
-    assert '"order_timestamp":"2025-01-01T10:00:00+00:00"' in image and '"quantity":2' in image
-
-
-def test_curated_columns_match_the_declared_schema(layers, curated):
-    fields = [f.split() for f in curate.CURATED_SCHEMA.replace("decimal(14,2)", "decimal(14;2)").replace(
-        "decimal(6,4)", "decimal(6;4)").replace("decimal(16,2)", "decimal(16;2)").split(", ")]
-    assert curated.dtypes == [(n, t.replace(";", ",")) for n, t in fields]
+@pytest.fixture(scope="module")
+def curated(built):
+    """One row that keeps the contract."""
+    return built[0].where("order_id = 'B-1'").cache()
 
 
-def test_duplicate_dimension_key_fails_loudly(layers):
-    orders, customers, products, _ = layers
-    with pytest.raises(CardinalityError, match="customer_id"):
-        curate.build_curated(orders, customers.unionByName(customers), products, RUN, NOW)
+def test_amounts_are_exact_cents(built):
+    got = {r["order_id"]: (r["gross_amount"], r["discount_amount"], r["net_amount"]) for r in built[0].collect()}
+    assert got == {k: tuple(map(Decimal, want)) for k, (_, _, _, *want) in AMOUNTS.items() if want[0]}
+    assert {(r["customer_city"], r["category"], r["brand"]) for r in built[0].collect()} == {("Turin", "Socks", "Fjell")}
 
 
-def test_hash_ignores_run_metadata_and_layout_but_tracks_content(layers, curated):
-    orders, customers, products, _ = layers
-    again, _ = curate.build_curated(orders.repartition(3), customers, products, "run_b", NOW)
-    assert again.first()["record_hash"] == curated.first()["record_hash"]
-    changed, _ = curate.build_curated(orders.withColumn("status", F.lit("DELIVERED")), customers, products, RUN, NOW)
-    assert changed.first()["record_hash"] != curated.first()["record_hash"]
+def test_orders_without_match_go_to_quarantine(layers, built):
+    rows = {r["business_key"]: r for r in built[1].collect()}
+    assert {k: (r["reason_codes"], r["reason_detail"]) for k, r in rows.items()} == {k: (c, d) for k, (_, _, c, d) in LOOSE.items()}
+    assert {(r["layer"], r["dataset"]) for r in rows.values()} == {("curated", "orders")}
+    assert '"order_timestamp":"2024-02-10T12:30:00+00:00"' in rows["L-1"]["source_record"] and '"quantity":3' in rows["L-1"]["source_record"]
+    assert built[0].count() + len(rows) == layers[0].count()  # none is dropped
 
 
-def test_contract_accepts_valid_rows(curated):
-    assert contract.contract_errors(curated) == []
-    contract.require_contract(curated)
-    assert contract.contract_violations(curated).count() == 0
+def test_curated_columns_match_the_declared_schema(spark, curated):
+    declared = spark.createDataFrame([], curate.CURATED_SCHEMA)
+    assert curated.dtypes == declared.dtypes
 
 
-def test_contract_reports_every_broken_check(curated):
-    bad = curated.unionByName(curated.withColumns({
-        "status": F.lit("LOST"), "net_amount": F.lit(Decimal("-5.00"))}))
-    errors = contract.contract_errors(bad)
-    assert errors == [
-        "order_id is duplicated: 2 row(s) (e.g. O1, O1)", "net_amount is negative: 1 row(s) (e.g. O1)",
-        "net_amount != gross_amount - discount_amount: 1 row(s) (e.g. O1)",
-        "status is not an allowed status: 1 row(s) (e.g. O1)"]
+def test_duplicate_dimension_key_fails_loudly(layers):
+    orders, customers, products, _ = layers
+    for twice in ((customers.unionByName(customers), products), (customers, products.unionByName(products))):
+        with pytest.raises(CardinalityError):
+            curate.build_curated(orders, *twice, RUN, NOW)
+
+
+def test_the_hash_follows_the_content_alone(layers, built, curated):
+    orders, customers, products, _ = layers
+    later, _ = curate.build_curated(orders.repartition(3), customers, products, "another run", NOW)
+    assert by_key(later, "order_id", "record_hash") == by_key(built[0], "order_id", "record_hash")
+    was = curated.first()["record_hash"]
+    for column, value in (("customer_city", "Bergen"), ("quantity", 2), ("net_amount", "0.01"), ("status", None), ("discount_pct", "0.2")):
+        other = curated.withColumn(column, F.lit(value).cast(curated.schema[column].dataType))
+        assert other.select(business_hash().alias("h")).first()["h"] != was
+
+
+def test_contract_accepts_valid_rows(built):
+    assert contract.contract_errors(built[0]) == []
+    contract.require_contract(built[0])
+    assert contract.contract_violations(built[0]).count() == 0
+
+
+FAULTS = [
+    ("order_id", None, ["order_id is null: 1 row(s) (e.g. None)"]),
+    ("status", "MISLAID", ["status is not an allowed status: 1 row(s) (e.g. B-1)"]),
+    ("unit_price", None, ["gross_amount != quantity * unit_price: 1 row(s) (e.g. B-1)"]),
+    ("net_amount", "-0.01", ["net_amount is negative: 1 row(s) (e.g. B-1)",
+                             "net_amount != gross_amount - discount_amount: 1 row(s) (e.g. B-1)"]),
+    ("customer_city", "Bergen", ["record_hash does not match business columns: 1 row(s) (e.g. B-1)"]),
+]
+
+
+@pytest.mark.parametrize("column, value, errors", FAULTS)
+def test_one_fault_breaks_its_checks_alone(curated, column, value, errors):
+    bad = curated.withColumn(column, F.lit(value).cast(curated.schema[column].dataType))
+    assert contract.contract_errors(bad) == errors
     lazy = contract.contract_violations(bad).orderBy("check_no").collect()
-    assert [f"{r['message']}: {r['bad_rows']} row(s) (e.g. {r['sample']})" for r in lazy] == errors
+    told = [f"{r['message']}: {r['bad_rows']} row(s) (e.g. {r['sample']})" for r in lazy]
+    assert told[: len(errors)] == errors  # beside them, a changed row also no longer has its hash
+
+
+def test_all_broken_checks_are_counted(curated):
+    bad = curated.withColumns({"status": F.lit("MISLAID"), "net_amount": F.lit(Decimal("-7.00"))})
     with pytest.raises(ContractViolation, match="and 3 more broken checks"):
-        contract.require_contract(bad)
+        contract.require_contract(bad.unionByName(curated))
 
 
-def test_contract_null_key_tampering_mixed_runs_and_missing_price(curated):
-    no_key = curated.withColumn("order_id", F.lit(None).cast("string"))
-    assert contract.contract_errors(no_key) == ["order_id is null: 1 row(s) (e.g. None)"]
-    tampered = curated.withColumn("customer_city", F.lit("Makati"))
-    assert contract.contract_errors(tampered) == [
-        "record_hash does not match business columns: 1 row(s) (e.g. O1)"]
-    mixed = curated.unionByName(curated.withColumns({"pipeline_run_id": F.lit("r2"), "order_id": F.lit("O9")}))
-    assert contract.contract_errors(mixed) == ["curated dataset mixes 2 pipeline_run_id values"]
-    no_price = curated.withColumn("unit_price", F.lit(None).cast("decimal(14,2)"))
-    assert contract.contract_errors(no_price) == [
-        "gross_amount != quantity * unit_price: 1 row(s) (e.g. O1)"]
+def test_a_batch_comes_from_one_run(curated):
+    other = curated.withColumns({"pipeline_run_id": F.lit("an older run"), "order_id": F.lit("B-9")})
+    assert contract.contract_errors(curated.unionByName(other)) == ["curated dataset mixes 2 pipeline_run_id values"]
 
 
-@pytest.mark.parametrize("column", ["order_id", "record_hash", "net_amount"])
-def test_contract_names_missing_columns(curated, column):
-    assert contract.contract_errors(curated.drop(column)) == [f"missing required columns: {column}"]
+def test_contract_names_missing_columns(curated):
+    for gone in (["quantity"], ["order_id", "net_amount"], ["record_hash"]):
+        assert contract.contract_errors(curated.drop(*gone)) == [f"missing required columns: {', '.join(gone)}"]
 
 
 def test_sample_shows_five_smallest_ids(curated):
@@ -116,8 +141,8 @@ def test_sample_shows_five_smallest_ids(curated):
 
 def test_table_checks(curated):
     assert contract.table_errors(curated, curated) == []
-    stored = curated.withColumn("customer_city", F.lit("Makati"))
-    other = curated.withColumns({"order_id": F.lit("O2")})
+    stored = curated.withColumn("customer_city", F.lit("Bergen"))
+    other = curated.withColumns({"order_id": F.lit("B-2")})
     errors = contract.table_errors(stored.unionByName(stored), curated.unionByName(other), name="t")
     assert errors == [
         "t: 2 rows but 1 distinct order_id (0 null)", "t: 1 expected order_id(s) are missing",

@@ -3,7 +3,7 @@ import hashlib
 import json
 
 import pytest
-from fixtures import by_key, customer, order, product
+from fixtures import by_key, fields, record
 from pyspark.sql import functions as F
 
 from ledgerloom.errors import MissingSource, SnapshotConflict, StageFailed
@@ -26,14 +26,20 @@ def write_csv(path, columns, rows):
         writer.writerows(rows)
 
 
+def order(key, **changes):
+    return fields("orders", order_id=key, **{"customer_id": "C1", "product_id": "P1"} | changes)
+
+
 @pytest.fixture
 def sources(tmp_path):
-    write_csv(tmp_path / "customers.csv", CUSTOMER_SOURCE, [
-        customer("C1"), customer("C1", updated="2025-02-01"), customer("C2", email="")])
-    (tmp_path / "products.json").write_text(json.dumps([product("P1", 10.0), product("P2", -1)]))
+    customers = [{"customer_id": "C1"}, {"customer_id": "C1", "updated_at": "2025-02-01"}, {"customer_id": "C2", "email": ""}]
+    products = [{"product_id": "P1"}, {"product_id": "P2", "unit_price": -1}]
+    write_csv(tmp_path / "customers.csv", CUSTOMER_SOURCE, [fields("customers", **c) for c in customers])
+    (tmp_path / "products.json").write_text(json.dumps([record("products", **p) for p in products]))
     write_csv(tmp_path / "orders.csv", ORDER_SOURCE, [
-        order("O1"), order("O2", qty="0"), order("O3", pid="P2"), order("O4", cid="C9"),
-        order("O5", ts="2025-03-01"), order("O5", ts="2025-03-01", updated="2025-03-02"), order("O6", cid="C2")])
+        order("O1"), order("O2", quantity="0"), order("O3", product_id="P2"), order("O4", customer_id="C9"),
+        order("O5", order_timestamp="2025-03-01"), order("O5", order_timestamp="2025-03-01", updated_at="2025-03-02"),
+        order("O6", customer_id="C2")])
     return [Source("customers", str(tmp_path / "customers.csv"), "csv"),
             Source("products", str(tmp_path / "products.json"), "json"),
             Source("orders", str(tmp_path / "orders.csv"), "csv")]
@@ -205,7 +211,7 @@ def test_landing_sees_a_source_change_while_it_reads(spark, sources, monkeypatch
         write(raw, path)
         if path.endswith("customers"):
             with open(sources[0].path, "a", newline="") as f:
-                f.write(",".join(customer("C9")) + "\r\n")
+                f.write(",".join(fields("customers", customer_id="C9")) + "\r\n")
 
     monkeypatch.setattr(landing, "write_positioned", slow)
     with pytest.raises(SnapshotConflict, match="while"):
@@ -249,7 +255,7 @@ def test_blank_json_lines_leave_no_gaps(spark, tmp_path):
 def test_large_prices_are_quarantined_and_the_run_goes_on(spark, sources):
     with open(sources[2].path, "a", newline="") as f:
         for i, price in enumerate(("1e12", "1e17", "1e300", "0.001e310", "999999999999.994")):
-            f.write(",".join(order(f"L{i}", price=price, qty="1")) + "\r\n")
+            f.write(",".join(order(f"L{i}", unit_price=price, quantity="1")) + "\r\n")
     pipe = Pipeline(spark, scratch_path(spark, "pipe"), sources)
     pipe.run_all("run_a")
     bad = by_key(pipe.quarantine("run_a").where("business_key LIKE 'L%'"), "business_key", "reason_codes")

@@ -1,99 +1,115 @@
+import random
+
+import pytest
 from conftest import NOW, RUN
-from fixtures import by_key, customer, customers_raw, iso, order, orders_raw, product, products_raw
+from fixtures import by_key, iso, raw
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import staging
 
-
-def test_customers_keep_latest_version_and_normalize_text(spark):
-    raw = customers_raw(
-        spark, customer("C1"),
-        customer("C1", email=" ANA@EXAMPLE.COM ", city="  quezon   city ", updated="2025-01-03T00:00:00+00:00"),
-        customer("C2", email="", city="Manila"))
-    staged, quarantine = staging.stage(raw, staging.customers(), RUN, NOW)
-    rows = {r["customer_id"]: r for r in staged.withColumn("u", iso("updated_at")).collect()}
-    assert set(rows) == {"C1", "C2"} and quarantine.count() == 0
-    assert rows["C1"]["u"] == "2025-01-03T00:00:00"
-    assert (rows["C1"]["email"], rows["C1"]["city"]) == ("ana@example.com", "Quezon City")
-    assert rows["C2"]["email"] is None and rows["C2"]["is_email_missing"]
-    assert {r["pipeline_run_id"] for r in rows.values()} == {RUN}
+# What is changed in a faultless order, the codes it gets, and the detail.
+ORDER_FAULTS = [
+    ({"customer_id": "\u00a0"}, "missing_customer_id", "customer_id is blank"),
+    ({"product_id": ""}, "missing_product_id", "product_id is blank"),
+    ({"order_timestamp": "10.02.2024"}, "invalid_order_timestamp", "order_timestamp='10.02.2024' is missing or not ISO-8601"),
+    ({"quantity": "a dozen"}, "invalid_quantity", "quantity='a dozen' is not a whole number"),
+    ({"quantity": "2.25"}, "invalid_quantity", "quantity='2.25' is not a whole number"),
+    ({"quantity": "-4"}, "quantity_out_of_range", "quantity='-4' outside allowed range 1..20"),
+    ({"quantity": "20.5"}, "invalid_quantity;quantity_out_of_range",
+     "quantity='20.5' is not a whole number; quantity='20.5' outside allowed range 1..20"),
+    ({"unit_price": "-0.01"}, "invalid_unit_price", "unit_price='-0.01' is missing, not numeric, or negative"),
+    ({"unit_price": "-inf"}, "invalid_unit_price", "unit_price='-inf' is missing, not numeric, or negative"),
+    ({"discount_pct": "1.001"}, "invalid_discount_pct", "discount_pct='1.001' is not a fraction between 0 and 1"),
+    ({"discount_pct": "nan"}, "invalid_discount_pct", "discount_pct='nan' is not a fraction between 0 and 1"),
+    ({"status": "mislaid"}, "invalid_status", "status='mislaid' is not an allowed status"),
+    ({"updated_at": "2024-02-30"}, "invalid_updated_at", "updated_at='2024-02-30' is missing or not ISO-8601"),
+    ({"customer_id": "", "quantity": "0", "status": "?"}, "missing_customer_id;quantity_out_of_range;invalid_status",
+     "customer_id is blank; quantity='0' outside allowed range 1..20; status='?' is not an allowed status"),
+]
+
+
+def test_each_order_rule_names_its_fault(spark):
+    """A file of all faults, one faultless order and one at the edge of every rule."""
+    edge = {"order_id": "edge", "quantity": "20.0", "unit_price": "0", "discount_pct": "1", "status": "\tpending ",
+            "order_timestamp": "2024-02-10T23:15:00-05:45"}
+    faulty = [{**change, "order_id": f"F{i}"} for i, (change, _, _) in enumerate(ORDER_FAULTS)]
+    staged, quarantine = staging.stage(raw(spark, "orders", {}, *faulty, edge), staging.orders(), RUN, NOW)
+    got = {r["business_key"]: (r["reason_codes"], r["reason_detail"], r["layer"], r["source_record_number"]) for r in quarantine.collect()}
+    assert got == {f"F{i}": (code, detail, "staging", i + 2) for i, (_, code, detail) in enumerate(ORDER_FAULTS)}
+    rows = {r["order_id"]: r for r in staged.withColumn("at", iso("order_timestamp")).collect()}
+    assert set(rows) == {"B-1", "edge"} and dict(staged.dtypes)["quantity"] == "bigint"
+    assert (rows["edge"]["quantity"], rows["edge"]["status"], rows["edge"]["at"]) == (20, "PENDING", "2024-02-11T05:00:00")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_the_newest_version_alone_is_judged(spark, seed):
+    """Random versions of few orders against a plain rule: the latest time wins, then the later record; only it is judged."""
+    rng, versions = random.Random(seed), []
+    for _ in range(60):
+        versions.append({"order_id": rng.choice("pqrst"), "updated_at": f"2024-02-{rng.randint(11, 19)}T00:00:00Z",
+                         "quantity": str(rng.choice([0, 1, 2, 21]))})
+    staged, quarantine = staging.stage(raw(spark, "orders", *versions), staging.orders(), RUN, NOW)
+    newest = {}
+    for number, v in enumerate(versions, 1):
+        if v["order_id"] not in newest or v["updated_at"] >= newest[v["order_id"]][1]["updated_at"]:
+            newest[v["order_id"]] = number, v
+    good = {k: n for k, (n, v) in newest.items() if 1 <= int(v["quantity"]) <= 20}
+    assert by_key(staged, "order_id", "source_record_number") == good
+    assert by_key(quarantine, "business_key", "source_record_number") == {k: n for k, (n, _) in newest.items() if k not in good}
+    more = staging.superseded_count(raw(spark, "orders", *versions), staging.orders()).first()["superseded"]
+    assert len(good) + quarantine.count() + more == len(versions)
+
+
+def test_customer_texts_are_cleaned_and_missing_mail_is_marked(spark):
+    texts = [("  Bo.Lund@Post.EXAMPLE\t", "NEW\u00a0 delhi", "bo.lund@post.example", "New Delhi"),
+             (" ", "o'hara-by  the sea", None, "O'Hara-By The Sea"), ("x@y.example", "", "x@y.example", None)]
+    changes = [{"customer_id": f"K{i}", "email": mail, "city": city} for i, (mail, city, _, _) in enumerate(texts)]
+    staged, quarantine = staging.stage(raw(spark, "customers", *changes), staging.customers(), RUN, NOW)
+    got = {r["customer_id"]: (r["email"], r["city"], r["is_email_missing"], r["pipeline_run_id"]) for r in staged.collect()}
+    assert got == {f"K{i}": (mail, city, mail is None, RUN) for i, (_, _, mail, city) in enumerate(texts)}
+    assert quarantine.isEmpty()
 
 
 def test_customer_creation_time_must_be_readable_if_present(spark):
-    raw = customers_raw(spark, customer("C1", created=""), customer("C2", created="soon"))
-    staged, quarantine = staging.stage(raw, staging.customers(), RUN, NOW)
-    assert [r["customer_id"] for r in staged.collect()] == ["C1"]
-    row = quarantine.first()
-    assert row["reason_codes"] == "invalid_created_at"
-    assert row["reason_detail"] == "created_at='soon' is not an ISO-8601 timestamp"
-
-
-def test_products_flatten_category_and_quarantine_bad_prices(spark):
-    raw = products_raw(
-        spark, product("P1", 50.0), product("P1", 55.0, updated="2025-02-01T00:00:00+00:00", name="Item P1 Rev2"),
-        product("P2", -199.0), product("P3", "free"), {**product("P4", 5), "category": "Tablet", "active": "true"})
-    staged, quarantine = staging.stage(raw, staging.products(), RUN, NOW)
+    told = {"none": "", "odd": "in spring", "day": "20190506"}
+    changes = [{"customer_id": k, "created_at": v} for k, v in told.items()]
+    staged, quarantine = staging.stage(raw(spark, "customers", *changes), staging.customers(), RUN, NOW)
+    assert by_key(staged.withColumn("at", iso("created_at")), "customer_id", "at") == {"none": None, "day": "2019-05-06T00:00:00"}
+    assert [(r["business_key"], r["reason_codes"], r["reason_detail"]) for r in quarantine.collect()] == [
+        ("odd", "invalid_created_at", "created_at='in spring' is not an ISO-8601 timestamp")]
+
+
+def test_product_records_are_flattened_and_prices_judged(spark):
+    prices = {"zero": (0, None), "text": ("7.25", None), "below": (-0.5, ("negative_unit_price", "unit_price=-0.5 is negative")),
+              "word": ("gratis", ("invalid_unit_price", "unit_price='gratis' is missing or not numeric")),
+              "none": (None, ("invalid_unit_price", "unit_price=None is missing or not numeric"))}
+    changes = [{"product_id": k, "unit_price": p} for k, (p, _) in prices.items()]
+    loose = {"product_id": "loose", "category": ["Socks"], "active": "perhaps"}
+    newer = {"product_id": "zero", "unit_price": 1, "name": " Wool  socks, long ", "updated_at": "2024-01-16"}
+    staged, quarantine = staging.stage(raw(spark, "products", *changes, loose, newer), staging.products(), RUN, NOW)
     rows = {r["product_id"]: r for r in staged.collect()}
-    assert set(rows) == {"P1", "P4"}
-    assert (rows["P1"]["product_name"], rows["P1"]["unit_price"]) == ("Item P1 Rev2", 55.0)
-    assert (rows["P1"]["category_name"], rows["P1"]["category_department"]) == ("Tablet", "Computing")
-    assert rows["P4"]["category_name"] is None and rows["P4"]["active"] is None
-    assert by_key(quarantine, "business_key", "reason_codes") == {
-        "P2": "negative_unit_price", "P3": "invalid_unit_price"}
-    details = by_key(quarantine, "business_key", "reason_detail")
-    assert details == {"P2": "unit_price=-199.0 is negative", "P3": "unit_price='free' is missing or not numeric"}
-    assert '"unit_price": -199.0' in by_key(quarantine, "business_key", "source_record")["P2"]
-
-
-def test_orders_quarantine_defects_with_reasons_and_parse_utc(spark):
-    raw = orders_raw(
-        spark, order("O1", ts="2025-01-01T18:00:00+08:00"), order("O2", qty="0"), order("O3", qty="21"),
-        order("O4", qty="two"), order("O5", status="UNKNOWN"), order("O6", status=" shipped "),
-        order("O7", updated="not-a-date"), order("O8", qty="25.5"), order("O9", cid="", pid=" ", pct="1.5"),
-        order("O10", price="inf"), order("O11", pct="nan", ts=""))
-    staged, quarantine = staging.stage(raw, staging.orders(), RUN, NOW)
-    rows = {r["order_id"]: r for r in staged.withColumn("t", iso("order_timestamp")).collect()}
-    assert set(rows) == {"O1", "O6"}
-    assert rows["O1"]["t"] == "2025-01-01T10:00:00" and rows["O6"]["status"] == "SHIPPED"
-    assert by_key(quarantine, "business_key", "reason_codes") == {
-        "O2": "quantity_out_of_range", "O3": "quantity_out_of_range", "O4": "invalid_quantity",
-        "O5": "invalid_status", "O7": "invalid_updated_at", "O8": "invalid_quantity;quantity_out_of_range",
-        "O9": "missing_customer_id;missing_product_id;invalid_discount_pct", "O10": "invalid_unit_price",
-        "O11": "invalid_order_timestamp;invalid_discount_pct"}
-    details = by_key(quarantine, "business_key", "reason_detail")
-    assert all(details.values())
-    assert details["O8"] == ("quantity='25.5' is not a whole number; "
-                             "quantity='25.5' outside allowed range 1..20")
-    assert {r["layer"] for r in quarantine.collect()} == {"staging"}
-    assert dict(staged.dtypes)["quantity"] == "bigint"
-
-
-def test_dedup_follows_versions_and_judges_only_the_latest(spark):
-    raw = orders_raw(
-        spark, order("O1", status="PENDING"), order("O1", status="DELIVERED", updated="2025-01-04T00:00:00+00:00"),
-        order("O1", status="SHIPPED", updated="2025-01-03T00:00:00+00:00"), order("O2"),
-        order("O2", status="UNKNOWN", updated="2025-01-05T00:00:00+00:00"),
-        order("O3", qty="3"), order("O3", qty="4"))  # equal version: the later record wins
-    staged, quarantine = staging.stage(raw, staging.orders(), RUN, NOW)
-    assert by_key(staged, "order_id", "status") == {"O1": "DELIVERED", "O3": "PAID"}
-    assert by_key(staged, "order_id", "quantity")["O3"] == 4
-    assert by_key(quarantine, "business_key", "reason_codes") == {"O2": "invalid_status"}
-    assert staged.count() + quarantine.count() + 4 == raw.count()
+    assert {k: r["unit_price"] for k, r in rows.items()} == {"zero": 1.0, "text": 7.25, "loose": 19.9}
+    assert (rows["text"]["category_name"], rows["text"]["category_department"], rows["text"]["active"]) == ("Socks", "Clothing", True)
+    assert (rows["loose"]["category_name"], rows["loose"]["active"]) == (None, None)
+    assert rows["zero"]["product_name"].startswith("Wool") and rows["zero"]["source_record_number"] == 7
+    rejected = {r["business_key"]: (r["reason_codes"], r["reason_detail"]) for r in quarantine.collect()}
+    assert rejected == {k: fault for k, (_, fault) in prices.items() if fault}
+    assert '"unit_price": -0.5' in by_key(quarantine, "business_key", "source_record")["below"]
 
 
 def test_unversionable_records_are_all_kept(spark):
     """Blank keys and unreadable versions never deduplicate one another."""
-    raw = orders_raw(spark, order(""), order(" "), order("O1", updated=""), order("O1", updated="x"), order("O1"))
-    staged, quarantine = staging.stage(raw, staging.orders(), RUN, NOW)
-    assert [r["order_id"] for r in staged.collect()] == ["O1"]
+    no_key, no_time = [{"order_id": k} for k in ("", "\t", "")], [{"updated_at": t} for t in ("", "now", "now")]
+    staged, quarantine = staging.stage(raw(spark, "orders", *no_key, *no_time, {}, {}), staging.orders(), RUN, NOW)
+    assert by_key(staged, "order_id", "source_record_number") == {"B-1": 8}
     assert by_key(quarantine, "source_record_number", "reason_codes") == {
-        1: "missing_order_id", 2: "missing_order_id", 3: "invalid_updated_at", 4: "invalid_updated_at"}
+        i: "missing_order_id" if i < 4 else "invalid_updated_at" for i in range(1, 7)}
 
 
 def test_classification_is_one_shuffle_with_map_side_limit(spark):
     """A hot key is cut to one row per map task before anything moves."""
-    raw = orders_raw(spark, *[order("HOT", qty=str(i % 30)) for i in range(50)], order("O1"))
-    classified = staging.classify(raw, staging.orders())
+    hot = [{"order_id": "HOT", "quantity": str(i % 30)} for i in range(50)]
+    classified = staging.classify(raw(spark, "orders", *hot, {}), staging.orders())
     plan = classified._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in plan and "Partial" in plan
