@@ -7,6 +7,8 @@ room left in each sequence finds it in a logarithmic number of steps. Only the d
 
 Defined results: a null text is an empty text, whose only id is the closing one. Equal or repeated document ids
 are separate documents. Pieces of no length or above the capacity are an error, as they cannot be placed.
+A long text is tokenized whole and cut into pieces; an empty table gives no rows. Only key and text are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ are compared.
 
 Defined results: a null text is an empty one. A text without anchors starts a chain at every word; a text without
 chains has one signature of its own, an empty text has none. Two empty sets are alike (1), an empty and another are
-not (0).
+not (0). A long text is taken whole, as one row's value. Repeated rows each give a row, an empty table none. `against_edits`
+reads key and text alone, so other columns cannot clash; `fingerprints` keeps them and replaces `signatures` and `fingerprint`.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ Defined results: vectors that are null, empty or hold a null or non-finite compo
 lengths are compared only with their own length. Ids that occur in several rows are separate candidates, and a query is
 each distinct (id, vector); its own id is no candidate. Ties go to the smaller id. Scores are 64-bit integers; a table
 whose products could leave 2^53 is scored with integers of any size, and scores beyond 64 bits are clipped to them.
+An empty table, or one without a sound vector, gives no rows. Only key and vector are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

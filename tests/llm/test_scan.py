@@ -280,6 +280,23 @@ def test_orders_of_few_rows(spark, data):
         assert out[0]["edited"] == "the one textthe o" and out[0]["near_next"] == 1.0
 
 
+def test_fingerprints_of_long_texts_beside_clashing_columns(spark):
+    rng = random.Random(8)
+    long = " ".join(rng.choice(["the", "of", *(f"w{i}" for i in range(500))]) for _ in range(120_000))
+    data = [(1, "the short one", "x"), (2, long, None), (3, long, "y"), (3, long, "y"), (4, "é" * 200_000, "z")]
+    clash = ["key", "at", "part", "next", "near_edited", "signatures", "fingerprint", "n_chars", "edited"]
+    df = spark.createDataFrame(data, "doc_id long, text string, more string")
+    df = df.select("*", *(df["more"].alias(c) for c in clash))
+    got = spotsigs.against_edits(df).select("doc_id", "n_chars", "edited", "signatures", "near_next").collect()
+    assert sorted((r["doc_id"], r["n_chars"]) for r in got) == sorted((d, len(t)) for d, t, _ in data)
+    want = {2: long[: len(long) - len(long) // 3] + "the short one", 4: "é" * (200_000 - 200_000 // 3) + long[: 200_000 // 3]}
+    assert {r["doc_id"]: r["edited"] for r in got if r["doc_id"] in want} == want
+    assert all(r["signatures"] == signatures(long) for r in got if r["doc_id"] in (2, 3))
+    assert sorted(r["near_next"] for r in got if r["doc_id"] == 3) == [1.0, 1.0]
+    kept = spotsigs.fingerprints(df.where("doc_id = 1")).first()
+    assert kept["signatures"] == signatures("the short one") and kept["more"] == kept["key"] == "x"
+
+
 def test_near_pairs_lose_nothing(spark):
     rng = random.Random(3)
     base = [f"w{rng.randrange(500)}" for _ in range(80)]
