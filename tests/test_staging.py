@@ -175,3 +175,13 @@ def test_median_ranges_are_narrow_despite_outliers(spark):
     kept = {r["g"]: (r["n"], r["values"]) for r in inside.groupBy("g").agg(F.count("*").alias("n"), F.count_distinct("v").alias("values")).collect()}
     assert kept["a"][0] < 1000 and kept["b"][1] == 1
     assert all(0 <= r["first"] <= r["second"] < kept[r["rg"]][0] for r in left.collect())
+
+
+def test_a_filter_on_the_route_does_not_judge_twice(spark):
+    """The rules stand once in the plan, whatever route is asked for, and in methods small enough to be compiled."""
+    spec = staging.orders()
+    staged, quarantine = staging.stage(raw(spark, "orders", {}, {"order_id": "b", "quantity": "x"}), spec, RUN, NOW)
+    for rows, key in ((staged, "order_id"), (quarantine, "business_key")):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("THEN invalid_discount_pct") == 1
+        assert rows.select(key).count() == 1
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
