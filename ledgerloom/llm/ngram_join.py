@@ -11,7 +11,7 @@ band and, as a smaller partner, in the next one.
 Sets that meet are compared exactly, shingle by shingle. What is sought are the connected groups, so each signature first
 links its sets with one hub, at first the set found in the largest buckets, then, turn by turn, others for the sets that still
 stand in different groups; when a turn closes less than half of what is open, all sets left in different groups
-are paired, if sizes and histograms of their shingles over fixed parts of the universe allow a link. No link between groups
+are paired, if sizes and parities of their shingles over fixed parts of the universe allow a link. No link between groups
 is lost, and a bucket of thousands of near copies makes few pairs. Equal sets are one set from the start.
 
 Defined results: words are runs of other than ASCII white space, A-Z in lower case. A text with fewer words than a
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import batches_of, parts, slices, small, stored
 from ledgerloom.llm.components import components
 
-BINS = 128  # least number of parts of the universe whose shingles a histogram counts; large sets have size / 4
+BITS = 1024  # least number of parts of the universe of whose shingles a parity is kept; large sets have 2 to 4 for each shingle
 TILE = 1024  # sets compared at once within a bucket
 
 
@@ -130,37 +130,43 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(mix(tokens))), int(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D))))
 
 
-def histogram(tokens: np.ndarray) -> bytes:
-    """Shingles by the top bits of their hashes, one byte a part. Parts are a power of two, so that any two histograms
-    can be folded to one size; counts above 255 stop there, which only hides differences."""
-    bits = max(BINS.bit_length() - 1, (len(tokens) // 4).bit_length() - 1)
-    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+def parities(tokens: np.ndarray) -> bytes:
+    """Whether each part of the universe, the shingles of equal low bits, holds an odd number of the set's, a bit a part. Parts are a
+    power of two, so that any two sets can be folded to one number of parts. Where the parities of two sets differ, they
+    differ in a shingle; few differences seldom meet in a part, so hardly one is hidden."""
+    bits = max(BITS.bit_length() - 1, (4 * len(tokens)).bit_length() - 1)
+    counts = np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def folded(bins: list[bytes], parts: int) -> np.ndarray:
-    """Histograms as rows of `parts` numbers each."""
-    out, size = np.empty((len(bins), parts), np.int32), np.array([len(b) for b in bins])
-    for n in np.unique(size):
-        at = np.flatnonzero(size == n)
-        rows = np.frombuffer(b"".join(bins[i] for i in at), np.uint8).reshape(len(at), parts, n // parts)
-        out[at] = rows.sum(2, dtype=np.int32)
+def folded(bins: list[bytes], size: int) -> np.ndarray:
+    """Parities as rows of `size` bytes each, in words."""
+    out, sizes = np.empty((len(bins), size // 8), np.uint64), np.array([len(b) for b in bins])
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        rows = np.frombuffer(b"".join(bins[i] for i in at), np.uint64).reshape(len(at), n // size, size // 8)
+        out[at] = np.bitwise_xor.reduce(rows, axis=1)
     return out
 
 
+def unlike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Least number of shingles in which the sets of each pair of rows differ."""
+    return np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+
+
 def gaps(one: list[bytes], two: list[bytes]) -> np.ndarray:
-    """Least number of shingles in which the sets of each pair of histograms differ."""
+    """The same of pairs of parities of any size."""
     size, out = np.array([min(len(a), len(b)) for a, b in zip(one, two)], np.int64), np.zeros(len(one), np.int64)
     for n in np.unique(size):
         at = np.flatnonzero(size == n)
         for k in range(0, len(at), max(1, (4 << 20) // int(n))):
             part = at[k : k + max(1, (4 << 20) // int(n))]
-            out[part] = np.abs(folded([one[i] for i in part], n) - folded([two[i] for i in part], n)).sum(1)
+            out[part] = unlike(folded([one[i] for i in part], n), folded([two[i] for i in part], n))
     return out
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """Per row of (doc_id, text): set size, set identity and histogram."""
+    """Per row of (doc_id, text): set size, set identity and parities."""
     schema = T.StructType([
         docs.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("n_shingles", "set1", "set2")),
         T.StructField("bins", T.BinaryType()),
@@ -173,7 +179,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                 tokens = hashed(text or "", n)
                 sizes.append(len(tokens))
                 sets.append(identity(tokens))
-                bins.append(histogram(tokens))
+                bins.append(parities(tokens))
             longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sizes, *zip(*sets))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(bins, pa.binary())], schema.fieldNames())
 
@@ -255,7 +261,7 @@ PAIR = "a long, b long"
 
 def hub_pairs(grouped: DataFrame, looks: DataFrame, tried: DataFrame | None, t: float, turn: int) -> DataFrame:
     """Each set of a bucket with the bucket's hub, if they stand in different groups, were not tried before, and sizes and
-    histograms allow a link. Histograms join distinct pairs only. Each turn has other hubs."""
+    parities allow a link. Parities join distinct pairs only. Each turn has other hubs."""
     lead = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
     best = F.max(F.struct(lead.alias("lead"), (-F.col("node")).alias("first"), F.col("group").alias("home")))
     hubs = grouped.groupBy("key").agg(best.alias("h")).select("key", (-F.col("h.first")).alias("hub"), "h.home")
@@ -276,7 +282,7 @@ def hub_pairs(grouped: DataFrame, looks: DataFrame, tried: DataFrame | None, t:
 
 
 def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
-    """Pairs of a bucket that stand in different groups, where sizes and histograms allow a link.
+    """Pairs of a bucket that stand in different groups, where sizes and parities allow a link.
 
     A large bucket is dealt by node to parts of about `TILE` sets, and each two parts (or one with itself) are a tile of their
     own, so that no task holds a bucket. A task takes many tiles and only gives out the pairs that remain."""
@@ -301,7 +307,7 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
                     step = max(1, (4 << 20) // least)
                     for k in range(0, len(x), step):
                         u, v = p[x[k : k + step]], q[y[k : k + step]]
-                        least_gap = np.abs(one[x[k : k + step]] - two[y[k : k + step]]).sum(1)
+                        least_gap = unlike(one[x[k : k + step]], two[y[k : k + step]])
                         ok = possible(size[u], size[v], least_gap, t)
                         out.append(np.stack([node[u[ok]], node[v[ok]]], 1))
         return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])

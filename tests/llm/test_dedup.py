@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from brute import groups, repeats, rows, sha
 
@@ -112,3 +113,19 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (300, 250)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 130)) and got[300] == 250
+
+
+def test_parities_tell_sets_just_below_the_threshold_apart():
+    """A lower bound of the differences, close enough that templates which are no near duplicates make no pairs."""
+    rng = np.random.default_rng(5)
+    shared = rng.integers(0, 2**64, 260, np.uint64, endpoint=False)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 2**64, 40, np.uint64, endpoint=False)])) for _ in range(60)]
+    sets += [np.unique(rng.integers(0, 2**64, n, np.uint64, endpoint=False)) for n in (1, 5, 400, 3000)]
+    bins = [ngram_join.parities(s) for s in sets]
+    close = []
+    for i, j in [(i, j) for i in range(len(sets)) for j in range(i)]:
+        least = ngram_join.gaps([bins[i]], [bins[j]])
+        assert least[0] <= len(np.setxor1d(sets[i], sets[j]))
+        if i < 60:  # a likeness of 0.76
+            close += ngram_join.possible(np.array([len(sets[i])]), np.array([len(sets[j])]), least, 0.8).tolist()
+    assert sum(close) < 0.05 * len(close)
