@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from conftest import NOW, RUN
 from ledgerloom.operators import contract, curate
 from ledgerloom.operators.merge import batch_actions
+from ledgerloom.operators.staging import ORDER_SOURCE
 from ledgerloom.operators.versions import duplicate_keys, duplicate_members, latest_version, superseded
-from ledgerloom.plans import tables
+from ledgerloom.plans import rawtext, tables
 from ledgerloom.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -139,3 +140,14 @@ def test_small_batch_does_not_shuffle_the_table(spark):
     acted = batch_actions(small, touched)
     assert acted.first()["action"] == "update"
     assert "BroadcastHashJoin" in plan_of(acted) and RUN
+
+
+def test_raw_orders_are_sorted_before_they_are_spelled_out(spark):
+    rows = rawtext.ordered_orders(spark, SF)
+    sorted_rows = plan_of(rows).split("rangepartitioning")[1]
+    assert "o_custkey" in sorted_rows and "order_timestamp" not in sorted_rows
+    columns = [*tables.LINE_COLUMNS, *ORDER_SOURCE]
+    plain = rawtext.raw_text(spark, SF, "orders").select(columns)
+    assert rows.select(columns).exceptAll(plain).isEmpty() and rows.count() == plain.count()
+    met = [tuple(r) for r in rows.select(*tables.LINE_COLUMNS).collect()]
+    assert met == sorted(met)
