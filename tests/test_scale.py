@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import NOW, RUN
 from ledgerloom.operators import contract, curate
-from ledgerloom.operators.merge import batch_actions
+from ledgerloom.operators.merge import batch_actions, merged_rows
 from ledgerloom.operators.staging import ORDER_SOURCE
 from ledgerloom.operators.versions import duplicate_keys, duplicate_members, latest_version, superseded
 from ledgerloom.plans import rawtext, tables
@@ -151,3 +151,11 @@ def test_raw_orders_are_sorted_before_they_are_spelled_out(spark):
     assert rows.select(columns).exceptAll(plain).isEmpty() and rows.count() == plain.count()
     met = [tuple(r) for r in rows.select(*tables.LINE_COLUMNS).collect()]
     assert met == sorted(met)
+
+
+def test_merged_rows_shuffle_only_what_is_read(spark):
+    batch, target = tables.curated_lines(spark, SF), tables.previous_lines(spark, SF)
+    merged = merged_rows(batch, target)
+    assert merged.columns == target.columns
+    plan = merged.select("order_id", "order_timestamp", "pipeline_run_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_old_order_timestamp" in plan and "_old_product_name" not in plan and "_new_category" not in plan
