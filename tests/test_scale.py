@@ -159,3 +159,9 @@ def test_merged_rows_shuffle_only_what_is_read(spark):
     assert merged.columns == target.columns
     plan = merged.select("order_id", "order_timestamp", "pipeline_run_id")._jdf.queryExecution().optimizedPlan().toString()
     assert "_old_order_timestamp" in plan and "_old_product_name" not in plan and "_new_category" not in plan
+
+
+def test_json_lines_of_a_scan_are_compressed(spark):
+    rows = QUERIES["json_lines_scan"](spark, SF)
+    assert rows.count() == QUERIES["typed_csv_scan"](spark, SF).count() > 0
+    assert all(name.endswith(".json.gz") for name in rows.inputFiles())
