@@ -49,10 +49,25 @@ def current_lines(spark: SparkSession, sf_dir: str, order: list[Column] | None =
     return latest_version(lines, list(LINE_KEY), order or newest_first())
 
 
-def as_orders(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines in the shape of staged orders, before the rules."""
-    headers = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    return lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
+def with_headers(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order; `_order` tells the rows of orders apart, should a key repeat."""
+    headers = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", F.monotonically_increasing_id().alias("_order"))
+    return lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+
+
+def current_orders(spark: SparkSession, sf_dir: str, order: list[Column] | None = None) -> DataFrame:
+    """One version per order line and row of orders, in the shape of staged orders.
+
+    The versions are joined before the latest is taken: a join by shuffle leaves all of an order in one task, so nothing is shuffled
+    again for the latest, and a hot order is split by the join and limited per task before it is gathered."""
+    lines = with_headers(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), spark, sf_dir)
+    return as_orders(latest_version(lines, [*LINE_KEY, "_order"], order or newest_first()))
+
+
+def as_orders(lines: DataFrame) -> DataFrame:
+    """Lines with their order in the shape of staged orders, before the rules."""
+    return lines.select(
         line_id().alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"), F.col("o_orderdate").alias("order_timestamp"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("unit_price"),
@@ -70,7 +85,7 @@ def line_rules() -> list[Rule]:
 
 
 def judged_lines(spark: SparkSession, sf_dir: str, order: list[Column] | None = None) -> DataFrame:
-    lines = as_orders(current_lines(spark, sf_dir, order), spark, sf_dir)
+    lines = current_orders(spark, sf_dir, order)
     gated = staging.version_gate(lines, "order_id", python_repr(F.col("updated_at").cast("string")))
     return staging.judge(gated, line_rules())
 

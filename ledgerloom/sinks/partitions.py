@@ -14,6 +14,7 @@ from ledgerloom.sinks.metrics import ROWS, counted_write
 from ledgerloom.sources.paths import path_exists
 
 PARTITION_COLUMNS = ("order_year", "order_month")
+COMPRESSION = "zstd"  # the text of a hash has four bits to the byte; the default compression leaves it as long as it is
 
 
 def partition_key(year: Column, month: Column) -> Column:
@@ -59,8 +60,8 @@ def arranged(df: DataFrame) -> DataFrame:
 
 def write_months(df: DataFrame, path: str) -> int:
     """Write a new, not yet published location; the number of rows written, counted on the way."""
-    return counted_write(by_month(df), lambda rows: in_order(rows).write.mode("overwrite").partitionBy(
-        *PARTITION_COLUMNS).parquet(path))[ROWS]
+    return counted_write(by_month(df), lambda rows: in_order(rows).write.mode("overwrite").option(
+        "compression", COMPRESSION).partitionBy(*PARTITION_COLUMNS).parquet(path))[ROWS]
 
 
 def write_manifest(spark: SparkSession, path: str, manifest: str, run: str = "pipeline_run_id") -> DataFrame:

@@ -165,3 +165,20 @@ def test_json_lines_of_a_scan_are_compressed(spark):
     rows = QUERIES["json_lines_scan"](spark, SF)
     assert rows.count() == QUERIES["typed_csv_scan"](spark, SF).count() > 0
     assert all(name.endswith(".json.gz") for name in rows.inputFiles())
+
+
+def test_versions_and_orders_of_a_line_meet_in_one_shuffle(spark, conf, tmp_path):
+    """Joined by shuffle, the lines are dealt by order once; each row of a repeated order keeps the latest version of its lines."""
+    lines = [(1, 1, 1, "a"), (1, 1, 2, "b"), (1, 1, 2, "b"), (2, 1, 3, "c"), (2, 1, 1, "d"), (None, 1, 1, "e"), (None, 1, 4, "f"), (9, None, 5, "g")]
+    spark.createDataFrame(lines, "o long, n long, d int, f string").select(
+        F.col("o").alias("l_orderkey"), F.col("n").alias("l_linenumber"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, d)").alias("l_shipdate"),
+        F.lit(7).cast("long").alias("l_partkey"), F.lit(8).cast("long").alias("l_suppkey"),
+        *[F.col("d").cast("double").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        F.col("f").alias("l_returnflag"), F.col("f").alias("l_linestatus")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 10), (2, 20), (2, 21), (None, 30)], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "timestamp_ntz'2019-01-01' AS o_orderdate", "'1-urgent' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    judged = tables.judged_lines(spark, str(tmp_path))
+    assert plan_of(judged).count("Exchange hashpartitioning") == 2  # lines and orders
+    got = [tuple(r) for r in judged.select("order_id", "customer_id", "quantity").collect()]
+    assert sorted(got, key=repr) == sorted([("1-1", 10, 2.0), ("2-1", 20, 3.0), ("2-1", 21, 3.0), ("1", None, 4.0), ("9", None, 5.0)], key=repr)
