@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import NOW, RUN
+from ledgerloom.functions.hashing import packed_hash
 from ledgerloom.operators import contract, curate
 from ledgerloom.operators.merge import batch_actions, merged_rows
 from ledgerloom.operators.staging import ORDER_SOURCE
@@ -182,3 +183,18 @@ def test_versions_and_orders_of_a_line_meet_in_one_shuffle(spark, conf, tmp_path
     assert plan_of(judged).count("Exchange hashpartitioning") == 2  # lines and orders
     got = [tuple(r) for r in judged.select("order_id", "customer_id", "quantity").collect()]
     assert sorted(got, key=repr) == sorted([("1-1", 10, 2.0), ("2-1", 20, 3.0), ("2-1", 21, 3.0), ("1", None, 4.0), ("9", None, 5.0)], key=repr)
+
+
+def test_unequal_row_sets_are_shuffled_once(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    one, two = (spark.range(5000).select(F.concat(F.lit("l-"), "id").alias("order_id"), F.sha2(F.concat("id", F.lit(x)), 256).alias("record_hash"))
+                for x in "ab")
+    found = contract.row_set_difference(one, two)
+    assert plan_of(found).count("Exchange hashpartitioning") == 1
+    assert tuple(found.first()) == (5000, 5000, 10000)
+
+
+def test_packed_hashes_tell_texts_apart(spark):
+    texts = [None, "", "a" * 64, "A" * 64, "a" * 64 + "\n", "a" * 63, "0" * 64, "\x01" + "a" * 32, "zz"]
+    packed = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "record_hash string").select(packed_hash()).collect()]
+    assert len(set(packed)) == len(texts) and packed[0] is None and len(packed[2]) == 33
