@@ -37,6 +37,7 @@ from ledgerloom.llm.common import batches_of, parts, slices, small, stored
 from ledgerloom.llm.components import components
 
 BITS = 1024  # least number of parts of the universe of whose shingles a parity is kept; large sets have 2 to 4 for each shingle
+THIN = 256  # the same for the parities of a first look, with 1 to 2 for each shingle, which tell most unlike sets apart
 TILE = 1024  # sets compared at once within a bucket
 
 
@@ -130,11 +131,11 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(mix(tokens))), int(np.add.reduce(mix(tokens ^ np.uint64(0x5851F42D4C957F2D))))
 
 
-def parities(tokens: np.ndarray) -> bytes:
+def parities(tokens: np.ndarray, least: int = BITS, each: int = 4) -> bytes:
     """Whether each part of the universe, the shingles of equal low bits, holds an odd number of the set's, a bit a part. Parts are a
     power of two, so that any two sets can be folded to one number of parts. Where the parities of two sets differ, they
     differ in a shingle; few differences seldom meet in a part, so hardly one is hidden."""
-    bits = max(BITS.bit_length() - 1, (4 * len(tokens)).bit_length() - 1)
+    bits = max(least.bit_length() - 1, (each * len(tokens)).bit_length() - 1)
     counts = np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -166,22 +167,23 @@ def gaps(one: list[bytes], two: list[bytes]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """Per row of (doc_id, text): set size, set identity and parities."""
+    """Per row of (doc_id, text): set size, set identity and parities, over few and over many parts."""
     schema = T.StructType([
         docs.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("n_shingles", "set1", "set2")),
-        T.StructField("bins", T.BinaryType()),
+        T.StructField("thin", T.BinaryType()), T.StructField("bins", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sizes, sets, bins = [], [], []
+            sizes, sets, thin, bins = [], [], [], []
             for text in batch.column("text").to_pylist():
                 tokens = hashed(text or "", n)
                 sizes.append(len(tokens))
                 sets.append(identity(tokens))
+                thin.append(parities(tokens, THIN, 2))
                 bins.append(parities(tokens))
             longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sizes, *zip(*sets))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(bins, pa.binary())], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, *(pa.array(x, pa.binary()) for x in (thin, bins))], schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
@@ -259,6 +261,22 @@ def possible(sizes: np.ndarray, others: np.ndarray, apart: np.ndarray, t: float)
 PAIR = "a long, b long"
 
 
+def likely(pairs: DataFrame, looks: DataFrame, t: float) -> DataFrame:
+    """Those of the distinct pairs of nodes whose sizes and parities allow a link. Few parts tell most; the many parts, which take
+    several times the room, are joined to what is left."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = gaps(batch.column("look").to_pylist(), batch.column("other").to_pylist())
+            ok = possible(batch.column("n_shingles").to_numpy(), batch.column("size").to_numpy(), apart, t)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    for look in ("thin", "bins"):
+        one = looks.select(F.col("node").alias("a"), F.col("n_shingles").alias("size"), F.col(look).alias("other"))
+        two = looks.select(F.col("node").alias("b"), "n_shingles", F.col(look).alias("look"))
+        pairs = pairs.join(one, "a").join(two, "b").mapInArrow(run, PAIR)
+    return pairs
+
+
 def hub_pairs(grouped: DataFrame, looks: DataFrame, tried: DataFrame | None, t: float, turn: int) -> DataFrame:
     """Each set of a bucket with the bucket's hub, if they stand in different groups, were not tried before, and sizes and
     parities allow a link. Parities join distinct pairs only. Each turn has other hubs."""
@@ -269,20 +287,11 @@ def hub_pairs(grouped: DataFrame, looks: DataFrame, tried: DataFrame | None, t:
     pairs = pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    one = looks.select(F.col("node").alias("a"), F.col("n_shingles").alias("size"), F.col("bins").alias("other"))
-    rows = pairs.join(one, "a").join(looks.withColumnRenamed("node", "b"), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            apart = gaps(batch.column("bins").to_pylist(), batch.column("other").to_pylist())
-            ok = possible(batch.column("n_shingles").to_numpy(), batch.column("size").to_numpy(), apart, t)
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return rows.mapInArrow(run, PAIR)
+    return likely(pairs, looks, t)
 
 
-def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
-    """Pairs of a bucket that stand in different groups, where sizes and parities allow a link.
+def cross_pairs(grouped: DataFrame, looks: DataFrame, t: float) -> DataFrame:
+    """Pairs of a bucket that stand in different groups, where sizes and parities allow a link: of `grouped` (key, node, group).
 
     A large bucket is dealt by node to parts of about `TILE` sets, and each two parts (or one with itself) are a tile of their
     own, so that no task holds a bucket. A task takes many tiles and only gives out the pairs that remain."""
@@ -315,15 +324,20 @@ def cross_pairs(grouped: DataFrame, t: float) -> DataFrame:
     def chunks(rows: np.ndarray) -> list[np.ndarray]:
         return [rows[k : k + TILE] for k in range(0, len(rows), TILE)]
 
-    ways = grouped.groupBy("key").agg(F.ceil(F.count("*") / TILE).alias("ways"))
-    dealt = grouped.join(ways, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), "ways"))
+    # Buckets of the same sets make the same pairs: one of them is left. Sizes and parities, of few parts, are joined last.
+    rows = grouped.select("key", "node", "group")
+    alike = [F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(38,0)")).alias(f"sum{seed}") for seed in (5, 7)]
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), *alike).groupBy("n", "sum5", "sum7").agg(F.min("key").alias("key"))
+    ways = buckets.select("key", F.ceil(F.col("n") / TILE).alias("ways"))
+    dealt = rows.join(ways, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), "ways"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
     tile = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = dealt.select("node", "group", "n_shingles", "bins", tile.alias("tile"), F.signum(F.col("own") - F.col("other")).cast("int").alias("side"))
+    dealt = stored(dealt.select("node", "group", tile.alias("tile"), F.signum(F.col("own") - F.col("other")).cast("int").alias("side")), "dealt")
     n = parts(grouped, dealt.count(), 5_000)
-    slots = dealt.withColumn("slot", F.pmod("tile", F.lit(n)))
+    thin = looks.select("node", "n_shingles", F.col("thin").alias("bins"))
+    slots = dealt.join(thin, "node").withColumn("slot", F.pmod("tile", F.lit(n)))
     pairs = slots.repartition(n, "slot").groupBy("slot").applyInPandas(run, PAIR)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return likely(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), looks, t)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, t: float, n: int) -> DataFrame:
@@ -367,9 +381,9 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     rows = stored(sketches(docs, n), "sketches")
     same_set = ["set1", "set2", "n_shingles"]
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = stored(full.groupBy(same_set).agg(F.min("doc_id").alias("node"), F.first("bins").alias("bins")), "sets")
+    sets = stored(full.groupBy(same_set).agg(F.min("doc_id").alias("node"), F.first("thin").alias("thin"), F.first("bins").alias("bins")), "sets")
     # The smallest id of a set stands for it, whichever id a task has filed it under.
-    nodes = full.select("doc_id", *same_set).join(sets.drop("bins"), same_set)
+    nodes = full.select("doc_id", *same_set).join(sets.drop("thin", "bins"), same_set)
     # About (1 - t) / (1 + t) * 2 signatures a shingle in each of two bands.
     expected = int((full.agg(F.sum("n_shingles")).first()[0] or 0) * 4.5 * (1 - t) / (1 + t))
     buckets = met(filed(docs, t, n), parts(docs, expected, 1_000_000))
@@ -379,7 +393,7 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     buckets = buckets.join(several, "key")
     weight = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
     members = stored(buckets.select("key", "node").join(weight, "node"), "members")
-    looks = sets.select("node", "n_shingles", "bins")
+    looks = sets.select("node", "n_shingles", "thin", "bins")
 
     # Hubs again and again, while a turn closes half of what is open; the exact comparison of the rest follows.
     links = tried = None
@@ -398,7 +412,7 @@ def ngram_groups(docs: DataFrame, t: float = 0.8, n: int = 5, key: str = "doc_id
     if links is None:
         links = tried = members.select(F.col("node").alias("a"), F.col("node").alias("b"))
     if rows_open:
-        rest = cross_pairs(stored(still.join(looks, "node"), "open-looks"), t).join(tried, ["a", "b"], "left_anti")
+        rest = cross_pairs(still, looks, t).join(tried, ["a", "b"], "left_anti")
         links = links.unionByName(verified(stored(rest, "cross-pairs"), docs, t, n))
 
     # Equal ids of different sets, and sets of equal documents, tie nodes together as links do.

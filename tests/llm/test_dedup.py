@@ -129,3 +129,18 @@ def test_parities_tell_sets_just_below_the_threshold_apart():
         if i < 60:  # a likeness of 0.76
             close += ngram_join.possible(np.array([len(sets[i])]), np.array([len(sets[j])]), least, 0.8).tolist()
     assert sum(close) < 0.05 * len(close)
+
+
+def test_few_parities_take_half_the_room_and_drop_unlike_sets(spark):
+    """The first look at a pair; what it lets pass is looked at again, with the many."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2**64, n, np.uint64, endpoint=False)) for n in (300, 320, 900, 1000, 1000)]
+    sets.append(np.unique(np.concatenate([sets[4][:950], rng.integers(0, 2**64, 50, np.uint64, endpoint=False)])))
+    thin, bins = ([ngram_join.parities(s, *how) for s in sets] for how in ((ngram_join.THIN, 2), ()))
+    assert all(2 * len(x) <= len(y) for x, y in zip(thin, bins))
+    rows = [(i, len(s), bytearray(x), bytearray(y)) for i, (s, x, y) in enumerate(zip(sets, thin, bins))]
+    looks = spark.createDataFrame(rows, "node long, n_shingles long, thin binary, bins binary")
+    pairs = spark.createDataFrame([(i, j) for j in range(len(sets)) for i in range(j)], ngram_join.PAIR)
+    assert [tuple(r) for r in ngram_join.likely(pairs, looks, 0.8).collect()] == [(4, 5)]
+    grouped = spark.createDataFrame([(k, n, n) for k in range(40) for n in (0, 4, 5)] + [(99, 1, 1), (99, 2, 2)], '"key" long, node long, "group" long'.replace('"', "`"))
+    assert [tuple(r) for r in ngram_join.cross_pairs(grouped, looks, 0.8).collect()] == [(4, 5)]
