@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import batches_of, parts, slices, small, stored
+from ledgerloom.llm.common import batches_of, parts, release, slices, small, stored
 from ledgerloom.llm.components import components
 
 BITS = 1024  # least number of parts of the universe of whose shingles a parity is kept; large sets have 2 to 4 for each shingle
@@ -319,7 +319,10 @@ def cross_pairs(grouped: DataFrame, looks: DataFrame, t: float) -> DataFrame:
                         least_gap = unlike(one[x[k : k + step]], two[y[k : k + step]])
                         ok = possible(size[u], size[v], least_gap, t)
                         out.append(np.stack([node[u[ok]], node[v[ok]]], 1))
-        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+        found = pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+        del out, bins
+        release()
+        return found
 
     def chunks(rows: np.ndarray) -> list[np.ndarray]:
         return [rows[k : k + TILE] for k in range(0, len(rows), TILE)]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import parts, total_bytes
+from ledgerloom.llm.common import parts, release, total_bytes
 from ledgerloom.llm.ngram_join import mix
 
 LENGTH = 50
@@ -37,7 +37,7 @@ GRAM = 20  # bytes whose hash is minimized
 BLOCK = 4 << 20  # bytes of text in a block of documents, and whose stretches a shard gets
 SHARD = 2_000_000  # bytes of repeated stretches in one suffix array, some below the positions that INDEX bits can number
 INDEX = 21
-STEP = 1 << 20  # bytes that array operations take at once
+STEP = 1 << 18  # bytes that array operations take at once; each takes ten to fifty times as much memory
 LAST = np.iinfo(np.int64).max
 
 
@@ -196,7 +196,7 @@ def suffix_array(data: np.ndarray, length: int) -> np.ndarray:
     mask = np.uint64((1 << INDEX) - 1)
     # Key and position in one number: sorting numbers is much faster than sorting their order.
     packed = np.sort((words_at(data) >> np.uint64(24) << low) | np.arange(n, dtype=np.uint64))
-    order, key = (packed & mask).astype(np.int64), packed >> low
+    order, key = (packed & mask).astype(np.int32), packed >> low
     first = np.concatenate([[True], key[1:] != key[:-1]])
     rank = np.zeros(n + length, np.uint64)
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1
@@ -253,20 +253,25 @@ def sorted_windows(data: np.ndarray, start: np.ndarray, count: np.ndarray, low:
                    length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of equal windows in one suffix array: class of each window (stretch by stretch); first document
     and one position of each class, in the order of their bytes."""
-    where = np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+    # A position takes four bytes: an array has less than 1 << INDEX of them, or one stretch.
     order = suffix_array(data, length)
-    slot = np.full(len(data), -1, np.int64)
-    slot[where] = np.arange(len(where))
+    where = np.arange(int(count.sum()), dtype=np.int32) + np.repeat((start - (np.cumsum(count) - count)).astype(np.int32), count)
+    slot = np.full(len(data), -1, np.int32)
+    slot[where] = np.arange(len(where), dtype=np.int32)
+    del where
     seq = order[slot[order] >= 0]  # windows alone, in suffix order
-    before = np.full(len(where), -1, np.int64)
+    del order
+    before = np.full(len(seq), -1, np.int32)
     before[slot[seq[1:]]] = seq[:-1]
-    place = np.full(len(data) + 1, -1, np.int64)
-    place[seq] = np.arange(len(seq))
+    place = np.full(len(data) + 1, -1, np.int32)
+    place[seq] = np.arange(len(seq), dtype=np.int32)
     common = kasai(data, start, count, before, place, length)
-    head = common[slot[seq]] < length
-    klass = np.empty(len(where), np.int64)
-    klass[slot[seq]] = np.cumsum(head) - 1
-    lows = np.repeat(low, count)[slot[seq]]
+    del before, place
+    slot = slot[seq]
+    head = common[slot] < length
+    klass = np.empty(len(seq), np.int32)
+    klass[slot] = np.cumsum(head, dtype=np.int32) - 1
+    lows = np.repeat(low, count)[slot]
     lead = np.flatnonzero(head)
     first = np.minimum.reduceat(lows, lead) if len(lead) else lows
     return klass, first, seq[lead]
@@ -292,15 +297,28 @@ def merged(runs: list[tuple], length: int) -> list[np.ndarray]:
 
 def shard_answers(name, low, high, count, data, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(stretches that lose something, first document of each of their windows) of one shard."""
+    kept, at, found = shard_windows(name, low, high, count, data, length)
+    return kept, found[spread(at, count[kept])]
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of all [start, start + count) one after another."""
+    return np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
+def shard_windows(name, low, high, count, data, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretches that lose something, where their windows begin, first document of each window) of one shard; equal stretches
+    share their windows."""
+    none = np.empty(0, np.int64)
     order = np.argsort(name, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], name[order][1:] != name[order][:-1]])) if len(name) else np.empty(0, np.int64)
     if not len(edge):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, none
     lows, highs = np.minimum.reduceat(low[order], edge), np.maximum.reduceat(high[order], edge)
     several = np.repeat(lows < highs, np.diff(np.append(edge, len(order))))
     kept = order[several]
     if not len(kept):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, none
     size = count + length - 1
     offset = np.cumsum(size) - size
     # Blocks send the same stretch again; one of each goes into the arrays, under the first of its documents.
@@ -316,9 +334,7 @@ def shard_answers(name, low, high, count, data, length: int) -> tuple[np.ndarray
             start = np.cumsum(size[one[part]]) - size[one[part]]
             runs.append((own, *sorted_windows(own, start, count[one[part]], first_low[part], length)))
     found = np.concatenate(merged(runs, length) if len(runs) > 1 else [first[klass] for _, klass, first, _ in runs])
-    windows, each = np.cumsum(count[one]) - count[one], count[kept]
-    at = np.arange(int(each.sum())) + np.repeat(windows[group] - (np.cumsum(each) - each), each)
-    return kept, found[at]
+    return kept, (np.cumsum(count[one]) - count[one])[group], found
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
@@ -362,6 +378,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
         shard, names, several, _ = Block(ordered(rows), length).names(shards)
         half, block = (mix(names ^ np.uint64(LAST)) >> np.uint64(32)).astype(np.uint32), int(rows["block"].iat[0])
         out = [(block, k, half[at].tobytes(), np.packbits(several[at]).tobytes()) for k, at in by_shard(shard)]
+        release()
         return pd.DataFrame(out, columns=["block", "shard", "names", "several"])
 
     def census(rows: pd.DataFrame) -> pd.DataFrame:
@@ -396,30 +413,40 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
             blob = pack_arrays(names[i], low[i], high[i], count[i].astype(np.int16), first[i].astype(np.int32),
                                gather(b.data, first[i], count[i] + length - 1))
             out.append((int(rows["block"].iat[0]), k, blob))
+        del b
+        release()
         return pd.DataFrame(out, columns=["block", "shard", "blob"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         """Runs of windows with the same first document, where that is before some document of the stretch."""
+        release()  # what the shard before took
         sent = [unpack_arrays(x, "<u8", "<i8", "<i8", "<i2", "<i4", "<u1") for x in rows["blob"]]
-        owner = np.repeat(np.arange(len(sent)), [len(x[0]) for x in sent])
+        owner = np.repeat(np.arange(len(sent), dtype=np.int32), [len(x[0]) for x in sent])
         names, low, high, count, place, data = (np.concatenate(x) for x in zip(*sent))
+        del sent
         count = count.astype(np.int64)
-        kept, first = shard_answers(names, low, high, count, data, length)
-        which = np.repeat(kept, count[kept])
-        window = np.arange(len(which)) - np.repeat(np.cumsum(count[kept]) - count[kept], count[kept])
-        use = first < high[which]
-        which, window, first = which[use], window[use], first[use]
-        new = np.ones(len(which), bool)
-        new[1:] = (which[1:] != which[:-1]) | (first[1:] != first[:-1]) | (window[1:] != window[:-1] + 1)
-        lead = np.flatnonzero(new)
-        run = np.diff(np.append(lead, len(which))).astype(np.int16)
-        which, window, first = which[lead], window[lead].astype(np.int16), first[lead]
+        kept, at, windows = shard_windows(names, low, high, count, data, length)
+        runs = [(np.empty(0, np.int64), np.empty(0, np.int16), np.empty(0, np.int16), np.empty(0, np.int64))]
+        for part in steps(count[kept]):
+            own, each = kept[part], count[kept[part]]
+            which, first, window = np.repeat(own, each), windows[spread(at[part], each)], spread(np.zeros(len(own), np.int64), each)
+            use = first < high[which]
+            which, window, first = which[use], window[use], first[use]
+            new = np.ones(len(which), bool)
+            new[1:] = (which[1:] != which[:-1]) | (first[1:] != first[:-1]) | (window[1:] != window[:-1] + 1)
+            lead = np.flatnonzero(new)
+            run = np.diff(np.append(lead, len(which))).astype(np.int16)
+            runs.append((which[lead], window[lead].astype(np.int16), run, first[lead]))
+        del names, low, high, count, data, kept, at, windows
+        which, window, run, first = (np.concatenate(x) for x in zip(*runs))
         by = np.argsort(owner[which], kind="stable")
         out = []
         for i, part in by_shard(owner[which][by]):
             m = by[part]
             blob = pack_arrays(place[which[m]], window[m], run[m], first[m])
             out.append((int(rows["block"].iat[i]), int(rows["shard"].iat[i]), blob))
+        del place, which, window, run, first, runs
+        release()
         return pd.DataFrame(out, columns=["block", "shard", "blob"])
 
     result = T.StructType([
@@ -448,20 +475,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
             at = (b.member_first[who] + np.repeat(window, times))[hit]
             np.add.at(change, at, 1)
             np.add.at(change, at + np.repeat(run, times)[hit] + length - 1, -1)
-        gone = np.cumsum(change[:-1]) > 0
-        if whole_characters:  # a character stays if any of its bytes does
-            lead = np.flatnonzero((b.data & 0xC0) != 0x80)
-            if len(lead):
-                gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(b.data))))
+        np.cumsum(change, out=change)
+        gone = change[:-1] > 0
         out, start = [], 0
         for raw, end in zip(rows["bytes"], b.ends.tolist()):
             own = gone[start:end]
+            if whole_characters and len(own):  # a character stays if any of its bytes does
+                leads = (b.data[start:end] & 0xC0) != 0x80
+                leads[0] = True
+                lead = np.flatnonzero(leads)
+                own = np.repeat(np.logical_and.reduceat(own, lead), np.diff(np.append(lead, len(own))))
             flips = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
             begins, ends = flips[::2].astype(np.int32), flips[1::2].astype(np.int32)
             kept = b.data[start:end][~own].tobytes() if len(begins) else raw
             out.append((end - start, int(own.sum()), len(begins), begins, ends, kept))
             start = end
         out = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "begins", "ends", "kept"])
+        del b, change, gone
+        release()
         return pd.concat([rows[["key", *(f"carry{i}" for i in range(len(carry)))]], out], axis=1)
 
     named = dealt.groupBy("block").applyInPandas(name, "block long, shard long, names binary, several binary")

@@ -53,6 +53,34 @@ def test_shards_of_several_arrays_agree(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, cut))
 
 
+def test_a_block_is_cut_into_stretches_in_little_memory():
+    """The working arrays of a block of text of 4 MB stay within 40 MB beside what they leave (of repeats, F: pipeline)."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 4096, np.uint8).tobytes() for _ in range(512)]
+    rows = pd.DataFrame({"id": range(1024), "bytes": texts + texts})
+    tracemalloc.start()
+    block = suffix_dedup.Block(rows, 50)
+    block.distinct(np.arange(len(block.name)))
+    left, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(block.data) == 4 << 20 and most - left < 40e6
+    assert len(block.lead) * 2 == len(block.name)
+
+
+def test_characters_of_many_documents_stay_apart(spark):
+    """A run is cut back to the characters of its own document, whichever stand beside it in a block."""
+    shared = "é" * 30 + "x"
+    docs = [(k, f"{chr(0x20AC + k)}{shared}{chr(0xE0 + k)}") for k in range(1, 9)] + [(0, shared), (9, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r["doc_id"]: bytes(r["kept"]).decode() for r in suffix_dedup.remove_repeats(df, whole_characters=True).collect()}
+    assert kept == {0: shared, 9: ""} | {k: f"{chr(0x20AC + k)}{chr(0xE0 + k)}" for k in range(1, 9)}
+
+
 def test_whole_characters_stay(spark):
     shared = "é" * 40
     df = spark.createDataFrame([(1, "x" + shared), (2, "€" + shared + "ü")], "doc_id long, text string")
