@@ -54,7 +54,7 @@ def test_shards_of_several_arrays_agree(monkeypatch):
 
 
 def test_a_block_is_cut_into_stretches_in_little_memory():
-    """The working arrays of a block of text of 4 MB stay within 40 MB beside what they leave (of repeats, F: pipeline)."""
+    """The working arrays of a block of text of 4 MB stay within 40 MB beside what they leave."""
     import tracemalloc
 
     import numpy as np
