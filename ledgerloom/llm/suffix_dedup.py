@@ -6,7 +6,8 @@ have equal names, so stretches are sharded by name, and windows that could be eq
 shard first drops the names that only one document uses; of the rest it builds a suffix array by Larsson-Sadakane refinement
 (sort by the first bytes, then double the compared length within the groups that are still tied, up to
 `length`), takes common prefixes with the neighbours by Kasai's scan, and has the first document of each
-repeated window. A shard above `SHARD` bytes is built in several arrays whose sorted windows are merged by binary search.
+repeated window. It takes about `PIECE` bytes of whole names at a time, as windows of other names cannot be equal; a name above
+`SHARD` bytes is built in several arrays whose sorted windows are merged by binary search.
 
 Documents are dealt into blocks by a hash of their id. A block first tells each shard its names, and learns which of them
 another document has. Of those it sends each distinct stretch once, with its first and last document, however many
@@ -35,7 +36,8 @@ from ledgerloom.llm.ngram_join import mix
 LENGTH = 50
 GRAM = 20  # bytes whose hash is minimized
 BLOCK = 4 << 20  # bytes of text in a block of documents, and whose stretches a shard gets
-SHARD = 2_000_000  # bytes of repeated stretches in one suffix array, some below the positions that INDEX bits can number
+PIECE = 1 << 19  # bytes of repeated stretches in one suffix array, more where the stretches of one name have more
+SHARD = 2_000_000  # most bytes of repeated stretches in one suffix array, some below the positions that INDEX bits can number
 INDEX = 21
 STEP = 1 << 18  # bytes that array operations take at once; each takes ten to fifty times as much memory
 LAST = np.iinfo(np.int64).max
@@ -326,15 +328,27 @@ def shard_windows(name, low, high, count, data, length: int) -> tuple[np.ndarray
     kept, lead = kept[order], np.flatnonzero(~same)
     one, group = kept[lead], np.cumsum(~same) - 1
     first_low = np.minimum.reduceat(low[kept], lead)
-    runs, cut = [], np.cumsum(size[one]) // SHARD
-    for c in range(int(cut[-1]) + 1):
-        part = np.flatnonzero(cut == c)
-        if len(part):
-            own = gather(data, offset[one[part]], size[one[part]])
-            start = np.cumsum(size[one[part]]) - size[one[part]]
-            runs.append((own, *sorted_windows(own, start, count[one[part]], first_low[part], length)))
-    found = np.concatenate(merged(runs, length) if len(runs) > 1 else [first[klass] for _, klass, first, _ in runs])
-    return kept, (np.cumsum(count[one]) - count[one])[group], found
+    found = []
+    for names in whole_names(name[one], size[one]):
+        runs, some, lows = [], one[names], first_low[names]
+        cut = np.cumsum(size[some]) // SHARD
+        for c in range(int(cut[-1]) + 1):
+            part = np.flatnonzero(cut == c)
+            if len(part):
+                own = gather(data, offset[some[part]], size[some[part]])
+                start = np.cumsum(size[some[part]]) - size[some[part]]
+                runs.append((own, *sorted_windows(own, start, count[some[part]], lows[part], length)))
+        found += merged(runs, length) if len(runs) > 1 else [first[klass] for _, klass, first, _ in runs]
+    return kept, (np.cumsum(count[one]) - count[one])[group], np.concatenate(found)
+
+
+def whole_names(name: np.ndarray, size: np.ndarray) -> Iterator[slice]:
+    """Consecutive slices of rows sorted by name, of about PIECE bytes; none cuts a name."""
+    edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+    own = np.add.reduceat(size, edge)
+    lead = edge[np.flatnonzero(np.diff((np.cumsum(own) - own) // PIECE, prepend=-1))]
+    for a, b in zip(lead.tolist(), [*lead[1:].tolist(), len(name)]):
+        yield slice(a, b)
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
@@ -460,7 +474,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     def cut(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = ordered(rows)
         b = Block(rows, length)
-        change = np.zeros(len(b.data) + 1, np.int32)
+        # Each run that covers a byte does so by a window of its own, so at most `length` do.
+        change = np.zeros(len(b.data) + 1, np.int16 if length < 1 << 14 else np.int32)
         if len(answers):
             told = [unpack_arrays(x, "<i4", "<i2", "<i2", "<i8") for x in answers["blob"]]
             place, window, run, first = (np.concatenate(x).astype(np.int64) for x in zip(*told))
@@ -475,7 +490,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
             at = (b.member_first[who] + np.repeat(window, times))[hit]
             np.add.at(change, at, 1)
             np.add.at(change, at + np.repeat(run, times)[hit] + length - 1, -1)
-        np.cumsum(change, out=change)
+            del place, window, run, first, group, who, hit, at
+        np.cumsum(change, dtype=change.dtype, out=change)
         gone = change[:-1] > 0
         out, start = [], 0
         for raw, end in zip(rows["bytes"], b.ends.tolist()):

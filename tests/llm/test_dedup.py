@@ -53,6 +53,38 @@ def test_shards_of_several_arrays_agree(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, cut))
 
 
+def test_arrays_of_whole_names_agree_with_one_array(monkeypatch):
+    """Names in arrays of their own, some of them cut into several, give what one array gives."""
+    rng = np.random.default_rng(2)
+    text = rng.choice(np.frombuffer(b"ab", np.uint8), 6000)
+    first = np.concatenate([np.arange(0, 5900, 40)] * 2)
+    count, doc = np.full(len(first), 11), np.arange(len(first)) % 9
+    data = suffix_dedup.gather(text, first, count + 49)
+    name = np.concatenate([np.where(np.arange(148) < 60, 5, np.arange(148))] * 2).astype(np.uint64)
+    whole = suffix_dedup.shard_answers(name, doc, doc, count, data, 50)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 900)
+    alone = suffix_dedup.shard_answers(name, doc, doc, count, data, 50)
+    monkeypatch.setattr(suffix_dedup, "SHARD", 700)
+    cut = suffix_dedup.shard_answers(name, doc, doc, count, data, 50)
+    assert len(whole[0]) and all((a == b).all() and (a == c).all() for a, b, c in zip(whole, alone, cut))
+
+
+def test_a_shard_is_answered_in_little_memory():
+    """Suffix arrays over 1.5 MB of names that two documents share take less than 50 MB beside what they leave."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    count = np.full(16_000, 51)
+    own = rng.integers(97, 123, int((count + 49).sum()), np.uint8)
+    data, name = np.concatenate([own, own]), np.tile(np.arange(16_000, dtype=np.uint64), 2)
+    doc = np.repeat([1, 2], 16_000)
+    tracemalloc.start()
+    kept, _, windows = suffix_dedup.shard_windows(name, doc, doc, np.tile(count, 2), data, 50)
+    left, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(kept) == 32_000 and (windows == 1).all() and most - left < 50e6
+
+
 def test_a_block_is_cut_into_stretches_in_little_memory():
     """The working arrays of a block of text of 4 MB stay within 40 MB beside what they leave."""
     import tracemalloc
