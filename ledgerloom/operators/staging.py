@@ -7,7 +7,7 @@ Where a row goes is the column `route`: write the classified rows once, partitio
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -190,22 +190,33 @@ def settled(judged: DataFrame) -> DataFrame:
     return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
-def classify(numbered: DataFrame, spec: Dataset) -> DataFrame:
+def classify(numbered: DataFrame, spec: Dataset, *only: str) -> DataFrame:
     """Typed, judged winners plus early rejects of one numbered raw source.
 
     Columns: the staging fields, source_record_number, route, reason_codes, reason_detail and, for
-    rejects only, source_record.
+    rejects only, source_record. With `only`, these columns alone: the others are then neither shuffled nor computed.
     """
     slim = numbered.select("source_record_number", *_raw_inputs(numbered, spec), spec.raw.alias("raw"))
     versioned = slim.withColumns({spec.key: spec.fields[spec.key], "updated_at": spec.fields["updated_at"]})
-    latest = keep_latest(version_gate(versioned, spec.key, spec.shown_updated_at), [spec.key],
-                         [F.col("source_record_number").desc()])
+    gated = version_gate(versioned, spec.key, spec.shown_updated_at)
+    latest = by_columns(gated, lambda rows: keep_latest(rows, [spec.key], [F.col("source_record_number").desc()]))
     typed = latest.withColumns({n: c for n, c in spec.fields.items() if n not in (spec.key, "updated_at")})
     judged = judge(typed, spec.rules)
-    return settled(judged.select(
+    whole = judged.select(
         *spec.fields, "source_record_number", "route", "reason_codes", "reason_detail",
         F.when(F.col("route") != STAGED, spec.source_record).alias("source_record"),
-    ))
+    )
+    return settled(whole.select(*only) if only else whole)
+
+
+def by_columns(gated: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`step` over rows whose raw values are columns of their own, which take less room in a shuffle than a struct. The parsed
+    struct of a JSON source stays whole, as it may be null."""
+    if "record" in gated.columns:
+        return step(gated)
+    names = gated.schema["raw"].dataType.names
+    apart = step(gated.withColumns({f"_raw_{n}": F.col(f"raw.`{n}`") for n in names}).drop("raw"))
+    return apart.withColumn("raw", F.struct(*[F.col(f"_raw_{n}").alias(n) for n in names])).drop(*[f"_raw_{n}" for n in names])
 
 
 def _raw_inputs(numbered: DataFrame, spec: Dataset) -> list[str]:

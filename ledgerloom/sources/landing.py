@@ -36,7 +36,7 @@ def write_positioned(raw: DataFrame, path: str) -> None:
     The positions are written before they are used, so a lost executor cannot renumber anything.
     """
     spark = raw.sparkSession
-    raw.write.mode("overwrite").parquet(f"{path}/records")
+    raw.write.mode("overwrite").parquet(f"{path}/records", compression="zstd")
     blocks = (
         spark.read.parquet(f"{path}/records").groupBy("_file", "_block")
         .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("records"))
