@@ -63,6 +63,24 @@ def test_scores_beyond_doubles_are_exact(spark):
     assert [g[3] for g in got] == [c[3] for c in clipped]
 
 
+def test_queries_are_sent_in_waves_and_listed_once_a_task(spark, monkeypatch):
+    """Of many small blocks: several waves, and no list for each pair of blocks."""
+    for name, size in (("CANDIDATES", 8), ("QUERIES", 4), ("WAVE", 200)):
+        monkeypatch.setattr(topk, name, size, raising=False)
+    found = {}
+    whole = topk.scratch_path
+    monkeypatch.setattr(topk, "scratch_path", lambda s, label: found.setdefault(label, whole(s, label)))
+    rng = random.Random(7)
+    data = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(300)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, df["vec_id"] % 10 == 0).collect()))
+    assert got == best([(i, [int(np.floor(256 * x)) for x in v]) for i, v in data], lambda i: i % 10 == 0, 5)
+    lists = spark.read.parquet(found["local-lists"])
+    assert lists.select("wave").distinct().count() > 1
+    tasks = lists.select(F.input_file_name()).distinct().count()
+    assert lists.count() <= 30 * tasks and lists.agg(F.max(F.size("x"))).first()[0] <= 6
+
+
 def test_search_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, df["vec_id"] % 5 == 0).count() == 0
