@@ -14,8 +14,7 @@ from ledgerloom.functions.text import WHITESPACE
 
 # The accepted formats. Each pair rewrites an ISO-8601 spelling the cast does not know.
 _ISO_SPELLINGS = (
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[T ])", "$1-$2-$3"),                 # 20250105
-    (r"^([0-9]{4})([/. ])([0-9]{1,2})\2([0-9]{1,2})(?=$|[T ])", "$1-$3-$4"),    # 2025/01/05
+    (r"^([0-9]{4})(?:([0-9]{2})([0-9]{2})|([/. ])([0-9]{1,2})\4([0-9]{1,2}))(?=$|[T ])", "$1-$2$5-$3$6"),  # 20250105, 2025/01/05
     (r"([T ][0-9]{2})([0-9]{2})([0-9]{2})(?=$|[ .Z+-])", "$1:$2:$3"),           # T100000
     (r"([T ][0-9]{2})([0-9]{2})(?=$|[ Z+-])", "$1:$2"),                         # T1000
     (r"([T ][0-9]{1,2})(?= ?[Z+-])", "$1:00"),                                  # T10Z
@@ -25,10 +24,10 @@ _ISO_SPELLINGS = (
 _YEAR = r"(167[89]|16[89][0-9]|1[7-9][0-9]{2}|2[01][0-9]{2}|22[0-5][0-9]|226[01])"
 _EDGE_DATE = r"1677-(09-(2[2-9]|30)|1[0-2]-[0-9]{2})|2262-(0[1-3]-[0-9]{2}|04-(0[0-9]|1[01]))"
 _TIME = r"[T ][0-9]{1,2}(:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]*)?( ?(Z|[+-][0-9]{1,2}(:?[0-9]{2})?))?)?)?"
-# The usual spelling, which the cast reads as it is.
+# The usual spelling without white space around it, which the cast reads as it is.
 _ISO_USUAL = (
     rf"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}"
-    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?)?$"
+    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?)?\z"
 )
 _ISO = rf"^({_YEAR}(-[0-9]{{1,2}}(-[0-9]{{1,2}}({_TIME})?)?)?|({_EDGE_DATE})({_TIME})?)$"
 _EXPONENT = r"[eE][+-]?[0-9]+"
@@ -41,14 +40,13 @@ def parse_utc(col: Column) -> Column:
 
     `now` and `today` are not ISO-8601 and count as unreadable, as do offsets beyond 18 hours.
     """
-    text = F.btrim(col.cast("string"), F.lit(WHITESPACE))
-    other = text
+    raw = col.cast("string")
+    other = F.btrim(raw, F.lit(WHITESPACE))
     for spelling, extended in _ISO_SPELLINGS:
         other = F.regexp_replace(other, spelling, extended)
-    return (
-        F.when(F.rlike(text, F.lit(_ISO_USUAL)), text.try_cast("timestamp"))
-        .when(F.rlike(other, F.lit(_ISO)), other.try_cast("timestamp"))
-    )
+    # What is not ISO-8601 comes out as empty text. The chain of rewritings is named once, so it is run once.
+    rewritten = F.regexp_extract(other, _ISO, 0).try_cast("timestamp")
+    return F.when(F.rlike(raw, F.lit(_ISO_USUAL)), raw.try_cast("timestamp")).otherwise(rewritten)
 
 
 def parse_number(col: Column) -> Column:
