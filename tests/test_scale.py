@@ -198,3 +198,41 @@ def test_packed_hashes_tell_texts_apart(spark):
     texts = [None, "", "a" * 64, "A" * 64, "a" * 64 + "\n", "a" * 63, "0" * 64, "\x01" + "a" * 32, "zz"]
     packed = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "record_hash string").select(packed_hash()).collect()]
     assert len(set(packed)) == len(texts) and packed[0] is None and len(packed[2]) == 33
+
+
+def test_both_sides_of_a_merge_are_joined_once(spark, conf, tmp_path):
+    """Rows with nulls and copies give the same frames as each built alone, and what both sides join is shuffled once."""
+    lines = [(1, 1, 1, "a"), (1, 1, 2, "b"), (1, 1, 2, "b"), (2, 1, 3, "c"), (2, 1, None, "d"), (2, 2, 5, "h"), (2, 2, 5, "h"), (None, 1, 1, "e"),
+             (None, 1, 4, "f"), (9, None, 5, "g"), (3, 1, 6, None), (3, 1, 6, "k")]
+    spark.createDataFrame(lines, "o long, n long, d int, f string").select(
+        F.col("o").alias("l_orderkey"), F.col("n").alias("l_linenumber"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, d)").alias("l_shipdate"),
+        F.lit(7).cast("long").alias("l_partkey"), F.lit(8).cast("long").alias("l_suppkey"), F.col("d").cast("double").alias("l_quantity"),
+        F.col("d").cast("double").alias("l_extendedprice"), *[F.lit(0.05).alias(c) for c in ("l_discount", "l_tax")],
+        F.col("f").alias("l_returnflag"), F.col("f").alias("l_linestatus")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 10), (2, 10), (2, 11), (3, 10), (None, 10)], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "timestamp_ntz'2019-01-01' AS o_orderdate", "'1-urgent' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT c AS c_custkey, 1D AS c_acctbal, 2L AS c_nationkey, 'X' AS c_mktsegment FROM VALUES (10L), (11L) t(c)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 7L AS p_partkey, 3 AS p_size, 'n' AS p_name, 't' AS p_type, 'b' AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    sf = str(tmp_path)
+    both = tables.curated_and_previous(spark, sf)
+    for got, want in zip(both, (tables.curated_lines(spark, sf), tables.previous_lines(spark, sf))):
+        assert got.columns == want.columns and got.count() == want.count() > 3
+        assert got.exceptAll(want).isEmpty()
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    plan = plan_of(merged_rows(*tables.curated_and_previous(spark, sf)))
+    assert plan.count("- Exchange hashpartitioning(l_orderkey") == 1 and "ReusedExchange" in plan
+    alone = plan_of(merged_rows(tables.curated_lines(spark, sf), tables.previous_lines(spark, sf)))
+    dealt = [p.count("- Exchange hashpartitioning(") for p in (plan, alone)]
+    assert dealt[0] < dealt[1]
+
+
+def test_merged_rows_shuffle_hashes_as_bytes(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    sides = [spark.createDataFrame(rows, "order_id string, record_hash string, v int") for rows in (
+        [("A", "ab" * 32, 1), ("B", "cd" * 32, 1), ("C", None, 1), ("D", "odd", 1)],
+        [("A", "ab" * 32, 2), ("B", "CD" * 32, 2), ("C", None, 2), ("E", None, 2)])]
+    merged = merged_rows(*sides)
+    assert sorted((r["order_id"], r["record_hash"], r["v"]) for r in merged.collect()) == [
+        ("A", "ab" * 32, 2), ("B", "cd" * 32, 1), ("C", None, 2), ("D", "odd", 1), ("E", None, 2)]
+    below = plan_of(merged).split("Exchange hashpartitioning")[1:]
+    assert len(below) == 2 and all("unhex" in side for side in below)
