@@ -236,3 +236,16 @@ def test_merged_rows_shuffle_hashes_as_bytes(spark, conf):
         ("A", "ab" * 32, 2), ("B", "cd" * 32, 1), ("C", None, 2), ("D", "odd", 1), ("E", None, 2)]
     below = plan_of(merged).split("Exchange hashpartitioning")[1:]
     assert len(below) == 2 and all("unhex" in side for side in below)
+
+
+def test_hashes_are_counted_as_bytes(spark, conf):
+    from ledgerloom.plans.catalog import _hash_summary
+
+    texts = ["ab" * 32, "ab" * 32, "AB" * 32, "zz", "", None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "record_hash string")
+    want = df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("record_hash").alias("hashes"), F.min("record_hash").alias("first_hash"))
+    assert _hash_summary(df).columns == want.columns
+    assert _hash_summary(df).first() == want.first() and _hash_summary(df.limit(0)).first() == want.first().__class__(0, 0, None)
+    conf(spark__sql__adaptive__enabled="false")
+    shuffled = plan_of(_hash_summary(df)).split("Exchange hashpartitioning")[1]
+    assert "unhex" in shuffled and "min" not in shuffled
