@@ -108,3 +108,13 @@ def test_what_is_not_one_array_stops(spark, tmp_path, tiny_splits, text):
     (tmp_path / "x.json").write_text(text)
     with pytest.raises(Exception, match="is not one JSON array"):
         read_raw_json_array(spark, str(tmp_path / "x.json")).agg(F.count("*")).collect()
+
+
+def test_arrays_of_one_split_are_cut_once(spark, tmp_path):
+    """Files that are not cut by a split need no second look for records across edges, and a value is parsed once."""
+    for i, text in enumerate(['[{"a": 1}, {"b": "x, y"}]', "[ 7 ]", ""]):
+        (tmp_path / f"f{i}.json").write_text(text)
+    rows = read_raw_json_array(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("from_json") == 1
+    assert sorted(r["record"] for r in rows.collect()) == ["7", '{"a":1}', '{"b":"x, y"}']
